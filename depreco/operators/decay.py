@@ -70,7 +70,7 @@ def fit_cells(kept: DataFrame, p: Params) -> DataFrame:
     w = Window.partitionBy("Schedule")
     c = kept.withColumns(
         {
-            "N": F.sum("n").over(w),
+            "n_tot": F.sum("n").over(w),
             "n_cells": F.count(F.lit(1)).over(w),
             "_sx": F.sum(F.col("n") * F.col("x")).over(w),
             "_sy": F.sum("sy").over(w),
@@ -79,9 +79,9 @@ def fit_cells(kept: DataFrame, p: Params) -> DataFrame:
     )
     c = c.withColumns(
         {
-            "xbar": F.col("_sx") / F.col("N"),
-            "ybar": F.col("_sy") / F.col("N"),
-            "dx": (F.col("AgeMonths") - F.col("_snm") / F.col("N")) / 12.0,
+            "xbar": F.col("_sx") / F.col("n_tot"),
+            "ybar": F.col("_sy") / F.col("n_tot"),
+            "dx": (F.col("AgeMonths") - F.col("_snm") / F.col("n_tot")) / 12.0,
         }
     )
     c = c.withColumns(
@@ -95,14 +95,14 @@ def fit_cells(kept: DataFrame, p: Params) -> DataFrame:
         {
             "b": F.when(single, F.lit(0.0)).otherwise(F.col("_sxy") / F.col("_sxx")),
             "k": F.when(single, F.lit(1)).otherwise(F.lit(2)),
-            "h": F.lit(1.0) / F.col("N") + F.when(single, F.lit(0.0)).otherwise(F.col("dx") ** 2 / F.col("_sxx")),
+            "h": F.lit(1.0) / F.col("n_tot") + F.when(single, F.lit(0.0)).otherwise(F.col("dx") ** 2 / F.col("_sxx")),
         }
     )
     c = c.withColumn("a", F.col("ybar") - F.col("b") * F.col("xbar"))
     c = c.withColumn(
         "sse_c", F.col("ss") + F.col("n") * (F.col("sy") / F.col("n") - F.col("a") - F.col("b") * F.col("x")) ** 2
     )
-    c = c.withColumn("s2", F.sum("sse_c").over(w) / (F.col("N") - F.col("k")))
+    c = c.withColumn("s2", F.sum("sse_c").over(w) / (F.col("n_tot") - F.col("k")))
     lev = F.when(
         (F.lit(1.0) - F.col("h") > HAT_ONE_TOL) & (F.col("s2") > 0),
         F.col("h") / (F.lit(1.0) - F.col("h")) ** 2 / (F.col("k") * F.col("s2")),
@@ -116,7 +116,7 @@ def fit_cells(kept: DataFrame, p: Params) -> DataFrame:
     )
     c = c.withColumn("mean_cooks", safe_div(F.col("_dsum"), F.col("_dn")))
     return c.select(
-        "Schedule", "AgeMonths", "x", "n", "N", "a", "b", "s2", "lev", "mean_cooks",
+        "Schedule", "AgeMonths", "x", "n", "n_tot", "a", "b", "s2", "lev", "mean_cooks",
         (F.lit(p.cook_multiplier) * F.col("mean_cooks")).alias("threshold"),
     )
 
@@ -127,9 +127,9 @@ def decay_fit(rows: DataFrame, p: Params, sd_multiplier: float | None = None) ->
     Schedules under ``min_fit_rows`` rows get factor 0 and n 0 (or NULL, ``small_group='null'``)."""
     k = p.sd_multiplier if sd_multiplier is None else sd_multiplier
     cells = sd_filter_cells(age_cells(rows), k).where("keep")
-    per_sched = cells.groupBy("Schedule").agg(F.sum("n").alias("N"))
+    per_sched = cells.groupBy("Schedule").agg(F.sum("n").alias("n_tot"))
     fitted = fit_cells(cells, p)
-    fitted = fitted.join(per_sched.where(F.col("N") >= p.min_fit_rows).select("Schedule"), "Schedule", "left_semi")
+    fitted = fitted.join(per_sched.where(F.col("n_tot") >= p.min_fit_rows).select("Schedule"), "Schedule", "left_semi")
     # Bounded by (number of schedules) x (ages in the band): safe to broadcast.
     cell_fit = F.broadcast(fitted.select("Schedule", "AgeMonths", "a", "b", "lev", "threshold"))
     r = rows.join(cell_fit, ["Schedule", "AgeMonths"])
@@ -147,12 +147,12 @@ def decay_fit(rows: DataFrame, p: Params, sd_multiplier: float | None = None) ->
         F.first("mean_cooks").alias("mean_cooks"),
     )
     out = per_sched.join(fit, "Schedule", "left").join(diag, "Schedule", "left")
-    big = F.col("N") >= p.min_fit_rows
+    big = F.col("n_tot") >= p.min_fit_rows
     small_value = F.lit(0.0) if p.small_group == "zero" else F.lit(None).cast("double")
     factor = F.when(big, F.exp(F.lit(p.target_age) * safe_div(F.col("sxy"), F.col("sxx")))).otherwise(small_value)
     n_used = F.when(big, F.col("n_fit")).otherwise(F.lit(0).cast("long"))
     return out.select(
-        "Schedule", F.col("N").alias("rows_in"), n_used.alias("n"), "n_influential", "intercept", "slope", "s2",
+        "Schedule", F.col("n_tot").alias("rows_in"), n_used.alias("n"), "n_influential", "intercept", "slope", "s2",
         "mean_cooks", factor.alias("factor"),
     )
 

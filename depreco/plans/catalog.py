@@ -174,3 +174,57 @@ def q_schedule_assignment(spark, sf_dir):
     c = cost_rows(spark, sf_dir)
     a = assign_schedules(c, schedules_in(spark, sf_dir))
     return a.select("Schedule", "CustomerAssetId", "ModelYear", "Age", r6("CostRatio").alias("CostRatio"), "Flag")
+
+
+# ---------------------------------------------------------------------------------------------
+# DOM-02..04: outlier removal and the decay (residual) factor
+# ---------------------------------------------------------------------------------------------
+from depreco.operators import decay as D  # noqa: E402
+
+SD_TEST_K = 1.2
+
+
+def regression_rows(spark, sf_dir):
+    return D.regression_rows(cost_rows(spark, sf_dir), schedules_in(spark, sf_dir), P)
+
+
+@register("age_sd_filter", O.with_ctes(f"""
+SELECT Schedule, count(*) AS rows_in,
+       count(*) FILTER (WHERE AgeMonths <= mu + {SD_TEST_K} * sd AND AgeMonths >= mu - {SD_TEST_K} * sd) AS rows_kept,
+       round(max(mu), 6) AS mean_months, round(max(sd), 6) AS sd_months
+FROM sd_in GROUP BY Schedule""", O.DECAY))
+def q_age_sd_filter(spark, sf_dir):
+    cells = D.sd_filter_cells(D.age_cells(regression_rows(spark, sf_dir)), SD_TEST_K)
+    return cells.groupBy("Schedule").agg(
+        F.first("N_in").alias("rows_in"),
+        F.sum(F.when(F.col("keep"), F.col("n")).otherwise(0)).alias("rows_kept"),
+        r6(F.first("mean_m")).alias("mean_months"), r6(F.first("sd_m")).alias("sd_months"),
+    )
+
+
+@register("cooks_distance", O.with_ctes("""
+SELECT m.Schedule, m.N AS n, round(m.a, 6) AS intercept, round(m.b, 6) AS slope, round(m.s2, 6) AS s2,
+       round(m.mean_cooks, 6) AS mean_cooks, count(*) FILTER (WHERE f.influential) AS n_influential
+FROM cook_mean m JOIN cook_flag f ON m.Schedule = f.Schedule
+GROUP BY m.Schedule, m.N, m.a, m.b, m.s2, m.mean_cooks""", O.DECAY))
+def q_cooks_distance(spark, sf_dir):
+    d = D.decay_fit(regression_rows(spark, sf_dir), P)
+    return d.where(F.col("rows_in") >= P.min_fit_rows).select(
+        "Schedule", F.col("rows_in").alias("n"), r6("intercept").alias("intercept"), r6("slope").alias("slope"),
+        r6("s2").alias("s2"), r6("mean_cooks").alias("mean_cooks"), "n_influential",
+    )
+
+
+@register("decay_factor", O.with_ctes(
+    "SELECT Schedule, rows_in, n, round(factor, 6) AS factor FROM outregression", O.DECAY))
+def q_decay_factor(spark, sf_dir):
+    d = D.decay_fit(regression_rows(spark, sf_dir), P)
+    return d.select("Schedule", "rows_in", "n", r6("factor").alias("factor"))
+
+
+@register("residual_by_class", O.with_ctes(
+    "SELECT MarketCode, ClassificationId, round(ResidSF, 6) AS ResidSF FROM join_out", O.DECAY))
+def q_residual_by_class(spark, sf_dir):
+    capped = D.capped_residual(D.decay_fit(regression_rows(spark, sf_dir), P), P)
+    r = D.residual_by_class(capped, schedules_out(spark, sf_dir), P)
+    return r.withColumn("ResidSF", r6("ResidSF"))
