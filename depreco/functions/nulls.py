@@ -52,6 +52,11 @@ def safe_div(a, b) -> Column:
     return F.try_divide(_col(a), _col(b))
 
 
+# Added before rounding so a value sitting on a half-way point (e.g. a mean of 2-decimal
+# ratios over 32 rows) rounds the same way whatever its last-bit error in either engine.
+TIE_NUDGE = 1e-11
+
+
 def r6(x) -> Column:
     """Round a double to 6 decimals (stable output for cross-engine comparison)."""
-    return F.round(_col(x), 6)
+    return F.round(_col(x) + F.lit(TIE_NUDGE), 6)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from depreco.session import cut_lineage
+
 LEVELS = ("Category", "SubcatGroup", "Make")
 # Maps and taxonomies hold one row per schedule / class; beyond this size they are joined
 # with a shuffle (AQE splits skewed partitions) instead of being broadcast.
@@ -12,9 +14,19 @@ MAX_BROADCAST_ROWS = 500_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the row count; otherwise leave the join to a shuffle."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Hint a broadcast only if ``df``'s checked row count is within ``max_rows``; beyond it
+    the frame is materialized once (reliable checkpoint) and joins shuffle (AQE splits skew)."""
+    return bounded_broadcast_all([df], max_rows)[0]
+
+
+def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """Size check of several small relations in one job (a tagged union counted per tag)."""
+    tagged = [d.select(F.lit(i).alias("_t")).limit(max_rows + 1) for i, d in enumerate(dfs)]
+    u = tagged[0]
+    for t in tagged[1:]:
+        u = u.unionByName(t)
+    counts = {r["_t"]: r["n"] for r in u.groupBy("_t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(d) if counts.get(i, 0) <= max_rows else cut_lineage(d) for i, d in enumerate(dfs)]
 
 
 def assign_schedules(fact: DataFrame, schedules: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from depreco.config import Params
 from depreco.functions import age_years_4dp, clamp, safe_div
 from depreco.operators.assign import assign_schedules
+from depreco.session import cut_lineage
 
 # Leverage this close to 1 is treated as exactly 1 (Cook's distance undefined).
 HAT_ONE_TOL = 1e-9
@@ -126,7 +127,8 @@ def decay_fit(rows: DataFrame, p: Params, sd_multiplier: float | None = None) ->
     ``exp(target_age * sum(xy)/sum(x^2))`` of the through-origin fit on non-influential rows.
     Schedules under ``min_fit_rows`` rows get factor 0 and n 0 (or NULL, ``small_group='null'``)."""
     k = p.sd_multiplier if sd_multiplier is None else sd_multiplier
-    cells = sd_filter_cells(age_cells(rows), k).where("keep")
+    # The kept cells are small (schedules x ages) and feed four branches: materialize once.
+    cells = cut_lineage(sd_filter_cells(age_cells(rows), k).where("keep"))
     per_sched = cells.groupBy("Schedule").agg(F.sum("n").alias("n_tot"))
     fitted = fit_cells(cells, p)
     fitted = fitted.join(per_sched.where(F.col("n_tot") >= p.min_fit_rows).select("Schedule"), "Schedule", "left_semi")

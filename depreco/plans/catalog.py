@@ -228,3 +228,181 @@ def q_residual_by_class(spark, sf_dir):
     capped = D.capped_residual(D.decay_fit(regression_rows(spark, sf_dir), P), P)
     r = D.residual_by_class(capped, schedules_out(spark, sf_dir), P)
     return r.withColumn("ResidSF", r6("ResidSF"))
+
+
+# ---------------------------------------------------------------------------------------------
+# DOM-05..18: economic factors, inheritance and publication (stages of the full run)
+# ---------------------------------------------------------------------------------------------
+from depreco.operators import publish as PB  # noqa: E402
+from depreco.operators import ratios as R  # noqa: E402
+from depreco.plans import pipeline as PL  # noqa: E402
+
+
+def stages(spark, sf_dir) -> PL.Stages:
+    return PL.build(FX.load_inputs(spark, sf_dir, P), P)
+
+
+def _round(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.withColumns({c: r6(c) for c in cols})
+
+
+@register("weighted_rollup", O.with_ctes("""
+SELECT 'recession' AS period, Schedule, NULL::INTEGER AS SaleYear, yearAge, totalunits, round(avg, 6) AS avg
+FROM comb_recession
+UNION ALL SELECT 'current', Schedule, NULL::INTEGER, yearAge, totalunits, round(avg, 6) FROM comb_current
+UNION ALL SELECT 'best', Schedule, SaleYear, yearAge, totalunits, round(avg, 6) FROM comb_best""", O.PIPELINE))
+def q_weighted_rollup(spark, sf_dir):
+    cells = stages(spark, sf_dir).retail_cells
+    parts = [
+        R.rollup(cells, R.RECESSION, ["Schedule", "yearAge"]).withColumns(
+            {"period": F.lit("recession"), "SaleYear": F.lit(None).cast("int")}),
+        R.rollup(cells, R.CURRENT, ["Schedule", "yearAge"]).withColumns(
+            {"period": F.lit("current"), "SaleYear": F.lit(None).cast("int")}),
+        R.rollup(cells, R.BEST, ["Schedule", "SaleYear", "yearAge"]).withColumn("period", F.lit("best")),
+    ]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return u.select("period", "Schedule", "SaleYear", "yearAge", "totalunits", r6("avg").alias("avg"))
+
+
+@register("worst_retail_ratio", O.with_ctes(
+    "SELECT Schedule, round(factor, 6) AS factor, recession_n, current_n FROM worst_calc", O.PIPELINE))
+def q_worst_retail_ratio(spark, sf_dir):
+    return _round(stages(spark, sf_dir).worst_retail_ratio, ["factor"])
+
+
+@register("best_retail_ratio", O.with_ctes(
+    "SELECT Schedule, SaleYear, round(factor, 6) AS factor, bestEcon_n, current_n FROM best_calc", O.PIPELINE))
+def q_best_retail_ratio(spark, sf_dir):
+    return _round(stages(spark, sf_dir).best_retail_ratio, ["factor"])
+
+
+@register("best_year_pick", O.with_ctes(
+    "SELECT Schedule, round(factor, 6) AS factor, bestEcon_n, current_n, sy FROM best_pick", O.PIPELINE))
+def q_best_year_pick(spark, sf_dir):
+    return _round(stages(spark, sf_dir).best_year_pick, ["factor"])
+
+
+@register("recency_factor", O.with_ctes("""
+SELECT Schedule, n, round(v0, 6) AS recFactor_v0, round(v1, 6) AS recFactor_v1, round(recFactor, 6) AS recFactor
+FROM recent_ret_factor""", O.PIPELINE))
+def q_recency_factor(spark, sf_dir):
+    return _round(stages(spark, sf_dir).recency, ["recFactor_v0", "recFactor_v1", "recFactor"])
+
+
+@register("schedule_list_outer", O.with_ctes(
+    "SELECT Schedule, round(factor, 6) AS factor FROM worst_out", O.PIPELINE))
+def q_schedule_list_outer(spark, sf_dir):
+    return _round(stages(spark, sf_dir).worst_out, ["factor"])
+
+
+@register("recency_by_class", O.with_ctes(
+    "SELECT ClassificationId, round(recFactor, 6) AS recFactor FROM ret_recent_out", O.PIPELINE))
+def q_recency_by_class(spark, sf_dir):
+    return _round(stages(spark, sf_dir).recency_class, ["recFactor"])
+
+
+@register("global_value", O.with_ctes("""
+SELECT round((SELECT gval FROM resid_glob), 6) AS ResidSF, round((SELECT gval FROM best_glob), 6) AS SFBestRetail,
+       round((SELECT gval FROM worst_glob), 6) AS SFWorstRetail,
+       round((SELECT gval FROM best_auc_glob), 6) AS SFBestAuction,
+       round((SELECT gval FROM worst_auc_glob), 6) AS SFWorstAuction""", O.PIPELINE))
+def q_global_value(spark, sf_dir):
+    s = stages(spark, sf_dir)
+    g = s.globals
+    return g.agg(*[r6(F.max(F.when(F.col("kind") == s.KINDS[n], F.col("glob")))).alias(n) for n in PB.FACTORS])
+
+
+@register("inherit_factor", O.with_ctes(
+    "SELECT ClassificationId, round(factor, 6) AS factor, resolved_from FROM worst_inh", O.PIPELINE))
+def q_inherit_factor(spark, sf_dir):
+    return _round(stages(spark, sf_dir).worst_class.select("ClassificationId", "factor", "resolved_from"), ["factor"])
+
+
+@register("retail_worst", O.with_ctes(
+    "SELECT ClassificationId, round(SFWorstRetail, 6) AS SFWorstRetail FROM we_outvf", O.PIPELINE))
+def q_retail_worst(spark, sf_dir):
+    return _round(stages(spark, sf_dir).worst_retail, ["SFWorstRetail"])
+
+
+@register("retail_best", O.with_ctes(
+    "SELECT ClassificationId, round(SFBestRetail, 6) AS SFBestRetail FROM be_outvf", O.PIPELINE))
+def q_retail_best(spark, sf_dir):
+    return _round(stages(spark, sf_dir).best_retail, ["SFBestRetail"])
+
+
+@register("auction_ratio", O.with_ctes("""
+SELECT 'recession' AS period, Schedule, PublishYear, round(avg_auc, 6) AS avg_auc, round(factoret, 6) AS factoret,
+       round(r, 6) AS ratio FROM comb_recession_auc
+UNION ALL SELECT 'best', Schedule, PublishYear, round(avg_auc, 6), round(factoret, 6), round(r, 6) FROM comb_best_auc
+UNION ALL SELECT 'current', Schedule, PublishYear, round(avg_auc, 6), round(factoret, 6), round(r, 6)
+FROM comb_current_auc""", O.PIPELINE))
+def q_auction_ratio(spark, sf_dir):
+    s = stages(spark, sf_dir)
+    parts = [
+        d.select(F.lit(name).alias("period"), "Schedule", "PublishYear", r6("avg_auc").alias("avg_auc"),
+                 r6("factoret").alias("factoret"), r6(f"{name}_r").alias("ratio"))
+        for name, d in (("recession", s.auction_recession), ("best", s.auction_best_years),
+                        ("current", s.auction_current))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("auction_worst", O.with_ctes(
+    "SELECT ClassificationId, round(SFWorstAuction, 6) AS SFWorstAuction FROM we_outvf_auc", O.PIPELINE))
+def q_auction_worst(spark, sf_dir):
+    return _round(stages(spark, sf_dir).worst_auction, ["SFWorstAuction"])
+
+
+@register("auction_best", O.with_ctes(
+    "SELECT ClassificationId, round(SFBestAuction, 6) AS SFBestAuction FROM be_outvf_auc", O.PIPELINE))
+def q_auction_best(spark, sf_dir):
+    return _round(stages(spark, sf_dir).best_auction, ["SFBestAuction"])
+
+
+FACTOR_SQL = ", ".join(f"round({f}, 6) AS {f}" for f in PB.FACTORS)
+
+
+@register("factor_assembly", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM resid_tb", O.PIPELINE))
+def q_factor_assembly(spark, sf_dir):
+    return _round(stages(spark, sf_dir).assembled, PB.FACTORS)
+
+
+@register("global_row", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM global_row", O.PIPELINE))
+def q_global_row(spark, sf_dir):
+    return _round(stages(spark, sf_dir).global_row, PB.FACTORS)
+
+
+@register("gap_enforced", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM resid_tb_glob",
+                                      O.PIPELINE))
+def q_gap_enforced(spark, sf_dir):
+    return _round(stages(spark, sf_dir).gapped, PB.FACTORS)
+
+
+LAST_COLS = ["Residlm", "RetailEconSfBest", "RetailEconSfWorst", "AuctionEconSfBest", "AuctionEconSfWorst"]
+
+
+@register("mom_limited", O.with_ctes(
+    f"SELECT MarketCode, ClassificationId, {FACTOR_SQL}, "
+    + ", ".join(f"round({c}, 6) AS {c}" for c in LAST_COLS) + " FROM share_page", O.PIPELINE))
+def q_mom_limited(spark, sf_dir):
+    return _round(stages(spark, sf_dir).limited.select("MarketCode", "ClassificationId", *PB.FACTORS, *LAST_COLS),
+                  PB.FACTORS + LAST_COLS)
+
+
+@register("mom_delta", O.with_ctes(
+    "SELECT MarketCode, ClassificationId, " + ", ".join(f"round({c}, 6) AS {c}" for c in PB.DELTAS)
+    + " FROM share_page", O.PIPELINE))
+def q_mom_delta(spark, sf_dir):
+    s = stages(spark, sf_dir).share_page
+    return _round(s.select("MarketCode", "ClassificationId", *PB.DELTAS), list(PB.DELTAS))
+
+
+@register("reconciliation_checks", O.with_ctes("SELECT * FROM checks", O.PIPELINE))
+def q_reconciliation_checks(spark, sf_dir):
+    return stages(spark, sf_dir).checks
+
+
+@register("published_factors", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM share_page",
+                                           O.PIPELINE))
+def q_published_factors(spark, sf_dir):
+    return _round(stages(spark, sf_dir).upload, PB.FACTORS)

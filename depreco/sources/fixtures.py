@@ -11,8 +11,8 @@ Joins: ``lineitem`` x ``part`` for sales, values and taxonomy; asset costs also
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,8 +69,8 @@ def sales_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cost_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = sales_base(spark, sf_dir)
+def cost_assets(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = base if base is not None else sales_base(spark, sf_dir)
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     b = b.join(od, b.l_orderkey == od.o_orderkey)
     q, ln, cat = F.col("l_quantity"), F.col("l_linenumber"), F.col("CategoryId")
@@ -96,8 +96,8 @@ def cost_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def comparables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = sales_base(spark, sf_dir)
+def comparables(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = base if base is not None else sales_base(spark, sf_dir)
     cost, dsc, tax = F.col("Cost"), F.col("dsc"), F.col("tax")
     auction = (F.col("l_returnflag") == "R") | (F.col("SubcategoryId") == 52) | (F.col("CategoryId") == 4)
     return b.select(
@@ -146,8 +146,8 @@ def classifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _levels(b, []).distinct().withColumn("ModelId", F.lit(None).cast("long"))
 
 
-def class_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = sales_base(spark, sf_dir).withColumns(
+def class_values(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = (base if base is not None else sales_base(spark, sf_dir)).withColumns(
         {
             "pub": F.last_day("SaleDate"),
             "flv": F.lit(100.0) * (F.lit(0.30) + F.lit(5.0) * F.col("dsc")),
@@ -196,8 +196,8 @@ def _map_rows(classes: DataFrame) -> DataFrame:
     )
 
 
-def in_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _map_rows(classifications(spark, sf_dir))
+def in_map(spark: SparkSession, sf_dir: str, classes: DataFrame | None = None) -> DataFrame:
+    rows = _map_rows(classes if classes is not None else classifications(spark, sf_dir))
     usa = rows.withColumn("Country", F.lit("USA"))
     can = rows.where(F.col("Level2") == "Category").withColumns(
         {"Country": F.lit("CAN"), "Schedule": F.concat(F.col("Schedule"), F.lit(" CAN"))}
@@ -217,8 +217,8 @@ def _rba_parents(classes: DataFrame) -> DataFrame:
     )
 
 
-def in_borrow_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cls = classifications(spark, sf_dir)
+def in_borrow_map(spark: SparkSession, sf_dir: str, classes: DataFrame | None = None) -> DataFrame:
+    cls = classes if classes is not None else classifications(spark, sf_dir)
     rba = _rba_parents(cls).select(
         F.lit("USA").alias("Country"),
         F.concat(F.lit("RS RbA "), F.col("ClassificationId").cast("string")).alias("Schedule"),
@@ -243,14 +243,15 @@ def in_borrow_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def out_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_map(spark, sf_dir).select(
+def out_map(spark: SparkSession, sf_dir: str, inputs_map: DataFrame | None = None) -> DataFrame:
+    src = inputs_map if inputs_map is not None else in_map(spark, sf_dir)
+    return src.select(
         "Country", "ClassificationId", "Schedule", "SubcategoryId", "SubcategoryName", "Level2", "Plot"
     )
 
 
-def out_borrow_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cls = classifications(spark, sf_dir)
+def out_borrow_map(spark: SparkSession, sf_dir: str, classes: DataFrame | None = None) -> DataFrame:
+    cls = classes if classes is not None else classifications(spark, sf_dir)
     parents = _rba_parents(cls).select(
         F.col("SubcategoryId").alias("psub"), F.col("ClassificationId").alias("pid")
     )
@@ -265,8 +266,9 @@ def out_borrow_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def last_month_factors(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> DataFrame:
-    cls = classifications(spark, sf_dir).where(F.col("ClassificationId") % LAST_MONTH_DROP_MODULUS != 0)
+def last_month_factors(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS,
+                       classes: DataFrame | None = None) -> DataFrame:
+    cls = (classes if classes is not None else classifications(spark, sf_dir)).where(F.col("ClassificationId") % LAST_MONTH_DROP_MODULUS != 0)
     cid = F.col("ClassificationId")
 
     def month(d: date, bump: float) -> DataFrame:
@@ -285,33 +287,61 @@ def last_month_factors(spark: SparkSession, sf_dir: str, params: Params = FIXTUR
     return month(last, 0.0).unionByName(month(shift_month_end(last, -1), 0.05))
 
 
-@dataclass
 class Inputs:
-    """The logical input relations of one run."""
+    """The logical input relations of one run, each built on first use.
 
-    cost_assets: DataFrame
-    comparables: DataFrame
-    class_values: DataFrame
-    class_values_in_progress: DataFrame
-    classifications: DataFrame
-    in_map: DataFrame
-    in_borrow_map: DataFrame
-    out_map: DataFrame
-    out_borrow_map: DataFrame
-    last_month: DataFrame
+    Raw tables are read once per instance and the taxonomy is derived once, so the maps
+    and last month's factors share one ``classifications`` plan."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS):
+        self.spark, self.sf_dir, self.params = spark, sf_dir, params
 
-def load_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
-    return Inputs(
-        cost_assets=cost_assets(spark, sf_dir),
-        comparables=comparables(spark, sf_dir),
-        class_values=class_values(spark, sf_dir),
-        class_values_in_progress=class_values_in_progress(spark, sf_dir, params),
-        classifications=classifications(spark, sf_dir),
-        in_map=in_map(spark, sf_dir),
-        in_borrow_map=in_borrow_map(spark, sf_dir),
-        out_map=out_map(spark, sf_dir),
-        out_borrow_map=out_borrow_map(spark, sf_dir),
-        last_month=last_month_factors(spark, sf_dir, params),
-    )
+    @cached_property
+    def sales_base(self) -> DataFrame:
+        return sales_base(self.spark, self.sf_dir)
+
+    @cached_property
+    def cost_assets(self) -> DataFrame:
+        return cost_assets(self.spark, self.sf_dir, self.sales_base)
+
+    @cached_property
+    def comparables(self) -> DataFrame:
+        return comparables(self.spark, self.sf_dir, self.sales_base)
+
+    @cached_property
+    def class_values(self) -> DataFrame:
+        return class_values(self.spark, self.sf_dir, self.sales_base)
+
+    @cached_property
+    def class_values_in_progress(self) -> DataFrame:
+        return self.class_values.where(
+            F.col("AppraisalBookPublishDate") == F.lit(self.params.effective_date)
+        ).drop("AppraisalBookPublishDate", "PublishYear")
+
+    @cached_property
+    def classifications(self) -> DataFrame:
+        return classifications(self.spark, self.sf_dir)
 
+    @cached_property
+    def in_map(self) -> DataFrame:
+        return in_map(self.spark, self.sf_dir, self.classifications)
+
+    @cached_property
+    def in_borrow_map(self) -> DataFrame:
+        return in_borrow_map(self.spark, self.sf_dir, self.classifications)
+
+    @cached_property
+    def out_map(self) -> DataFrame:
+        return out_map(self.spark, self.sf_dir, self.in_map)
+
+    @cached_property
+    def out_borrow_map(self) -> DataFrame:
+        return out_borrow_map(self.spark, self.sf_dir, self.classifications)
+
+    @cached_property
+    def last_month(self) -> DataFrame:
+        return last_month_factors(self.spark, self.sf_dir, self.params, self.classifications)
+
+
+def load_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
+    return Inputs(spark, sf_dir, params)
