@@ -1,7 +1,8 @@
 """Residual (decay) factor: outlier removal and a log-linear fit per schedule (DOM-02..04).
 
-Scale design. Within one run every cost row of a model year has the same age, so a
-schedule's rows fall into at most a handful of (schedule, age) cells. The fact is reduced
+Scale design. Within one run every cost row of a model year has the same age (ages are
+measured at the effective date, so they are whole years apart), so a schedule's rows fall
+into at most a handful of (schedule, age) cells. The fact is reduced
 to those cells with one partial/final aggregate (a hot schedule costs one row per task and
 cell, never one task for the whole schedule). The standard-deviation filter, the fit with
 intercept, the hat values and the mean Cook's distance are then exact functions of the

@@ -30,16 +30,21 @@ def test_assignment_bag_semantics_and_null_keys(spark):
     assert got == [(1, "C1"), (1, "CS1"), (1, "M1"), (2, "C1"), (3, "CSnull")]
 
 
+def _age4(m):
+    return float(np.round(m * 2500 / 3)) / 10000.0
+
+
 def _regression_rows(spark, xs, ys, sched="S"):
-    data = [(sched, int(round(x * 12)), float(x), float(y)) for x, y in zip(xs, ys)]
+    data = [(sched, int(round(x * 12)), _age4(int(round(x * 12))), float(y)) for x, y in zip(xs, ys)]
     return spark.createDataFrame(data, "Schedule string, AgeMonths int, x double, y double")
 
 
 def test_cooks_distance_matches_hat_matrix(spark):
-    # cook_40: 40 points on a noisy log line (ages on whole months) with one gross outlier.
+    # cook_40: 40 points on a noisy log line with one gross outlier. As in a real run, all ages
+    # share the effective month, so they are whole years apart (k + 1/12, rounded to 4 places).
     rng = np.random.default_rng(7)
-    months = rng.integers(30, 118, size=40)
-    x = months / 12.0
+    months = 12 * rng.integers(2, 10, size=40) + 1
+    x = np.array([_age4(m) for m in months])
     y = 0.02 * x + rng.normal(0, 0.01, 40)
     y[5] += 0.4
     df = _regression_rows(spark, x, y)
@@ -103,13 +108,13 @@ def test_best_year_pick_ties_go_to_latest_year(spark):
 
 def test_period_ratio_weights(spark):
     a = spark.createDataFrame([("S", 4, 10, 0.5), ("S", 5, 30, 0.6)], "Schedule string, yearAge int, totalunits long, avg double")
-    b = spark.createDataFrame([("S", 4, 20, 0.4), ("S", 5, 5, 0.5)], "Schedule string, yearAge int, totalunits long, avg double")
+    b = spark.createDataFrame([("S", 4, 10, 0.4), ("S", 5, 5, 0.5)], "Schedule string, yearAge int, totalunits long, avg double")
     out = R.period_ratio(a, b, ["Schedule", "yearAge"], ["Schedule"], P).collect()
-    assert out == []  # b side has 25 units only... both sides must exceed 20
+    assert out == []  # the b side holds 15 units: both sides must exceed 20
     b2 = b.withColumn("totalunits", F.col("totalunits") + 10)
     r = R.period_ratio(a, b2, ["Schedule", "yearAge"], ["Schedule"], P).collect()[0]
     # reference weights: (min/mean(min)) * sum
-    mins, sums, ratios = np.array([10, 15]), np.array([40, 45]), np.array([0.5 / 0.4, 0.6 / 0.5])
+    mins, sums, ratios = np.array([10, 15]), np.array([30, 45]), np.array([0.5 / 0.4, 0.6 / 0.5])
     w = mins / mins.mean() * sums
     assert r.factor == pytest.approx((w * ratios).sum() / w.sum(), rel=1e-12)
 
