@@ -238,10 +238,15 @@ from depreco.operators import ratios as R  # noqa: E402
 from depreco.plans import pipeline as PL  # noqa: E402
 
 
-def stages(spark, sf_dir) -> PL.Stages:
+def stages(spark, sf_dir) -> PL.Run:
     return PL.build(FX.load_inputs(spark, sf_dir, P), P)
 
 
+def full_run(spark, sf_dir) -> PL.Run:
+    """A run whose three fact passes are materialized concurrently (for class-level stages)."""
+    return stages(spark, sf_dir).prepare()
+
+
 def _round(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: r6(c) for c in cols})
 
@@ -292,7 +297,7 @@ def q_recency_factor(spark, sf_dir):
 @register("schedule_list_outer", O.with_ctes(
     "SELECT Schedule, round(factor, 6) AS factor FROM worst_out", O.PIPELINE))
 def q_schedule_list_outer(spark, sf_dir):
-    return _round(stages(spark, sf_dir).worst_out, ["factor"])
+    return _round(full_run(spark, sf_dir).worst_out, ["factor"])
 
 
 @register("recency_by_class", O.with_ctes(
@@ -307,7 +312,7 @@ SELECT round((SELECT gval FROM resid_glob), 6) AS ResidSF, round((SELECT gval FR
        round((SELECT gval FROM best_auc_glob), 6) AS SFBestAuction,
        round((SELECT gval FROM worst_auc_glob), 6) AS SFWorstAuction""", O.PIPELINE))
 def q_global_value(spark, sf_dir):
-    s = stages(spark, sf_dir)
+    s = full_run(spark, sf_dir)
     g = s.globals
     return g.agg(*[r6(F.max(F.when(F.col("kind") == s.KINDS[n], F.col("glob")))).alias(n) for n in PB.FACTORS])
 
@@ -315,13 +320,13 @@ def q_global_value(spark, sf_dir):
 @register("inherit_factor", O.with_ctes(
     "SELECT ClassificationId, round(factor, 6) AS factor, resolved_from FROM worst_inh", O.PIPELINE))
 def q_inherit_factor(spark, sf_dir):
-    return _round(stages(spark, sf_dir).worst_class.select("ClassificationId", "factor", "resolved_from"), ["factor"])
+    return _round(full_run(spark, sf_dir).worst_class.select("ClassificationId", "factor", "resolved_from"), ["factor"])
 
 
 @register("retail_worst", O.with_ctes(
     "SELECT ClassificationId, round(SFWorstRetail, 6) AS SFWorstRetail FROM we_outvf", O.PIPELINE))
 def q_retail_worst(spark, sf_dir):
-    return _round(stages(spark, sf_dir).worst_retail, ["SFWorstRetail"])
+    return _round(full_run(spark, sf_dir).worst_retail, ["SFWorstRetail"])
 
 
 @register("retail_best", O.with_ctes(
@@ -350,7 +355,7 @@ def q_auction_ratio(spark, sf_dir):
 @register("auction_worst", O.with_ctes(
     "SELECT ClassificationId, round(SFWorstAuction, 6) AS SFWorstAuction FROM we_outvf_auc", O.PIPELINE))
 def q_auction_worst(spark, sf_dir):
-    return _round(stages(spark, sf_dir).worst_auction, ["SFWorstAuction"])
+    return _round(full_run(spark, sf_dir).worst_auction, ["SFWorstAuction"])
 
 
 @register("auction_best", O.with_ctes(
@@ -364,18 +369,18 @@ FACTOR_SQL = ", ".join(f"round({f}, 6) AS {f}" for f in PB.FACTORS)
 
 @register("factor_assembly", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM resid_tb", O.PIPELINE))
 def q_factor_assembly(spark, sf_dir):
-    return _round(stages(spark, sf_dir).assembled, PB.FACTORS)
+    return _round(full_run(spark, sf_dir).assembled, PB.FACTORS)
 
 
 @register("global_row", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM global_row", O.PIPELINE))
 def q_global_row(spark, sf_dir):
-    return _round(stages(spark, sf_dir).global_row, PB.FACTORS)
+    return _round(full_run(spark, sf_dir).global_row, PB.FACTORS)
 
 
 @register("gap_enforced", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM resid_tb_glob",
                                       O.PIPELINE))
 def q_gap_enforced(spark, sf_dir):
-    return _round(stages(spark, sf_dir).gapped, PB.FACTORS)
+    return _round(full_run(spark, sf_dir).gapped, PB.FACTORS)
 
 
 LAST_COLS = ["Residlm", "RetailEconSfBest", "RetailEconSfWorst", "AuctionEconSfBest", "AuctionEconSfWorst"]
@@ -385,7 +390,7 @@ LAST_COLS = ["Residlm", "RetailEconSfBest", "RetailEconSfWorst", "AuctionEconSfB
     f"SELECT MarketCode, ClassificationId, {FACTOR_SQL}, "
     + ", ".join(f"round({c}, 6) AS {c}" for c in LAST_COLS) + " FROM share_page", O.PIPELINE))
 def q_mom_limited(spark, sf_dir):
-    return _round(stages(spark, sf_dir).limited.select("MarketCode", "ClassificationId", *PB.FACTORS, *LAST_COLS),
+    return _round(full_run(spark, sf_dir).limited.select("MarketCode", "ClassificationId", *PB.FACTORS, *LAST_COLS),
                   PB.FACTORS + LAST_COLS)
 
 
@@ -393,16 +398,16 @@ def q_mom_limited(spark, sf_dir):
     "SELECT MarketCode, ClassificationId, " + ", ".join(f"round({c}, 6) AS {c}" for c in PB.DELTAS)
     + " FROM share_page", O.PIPELINE))
 def q_mom_delta(spark, sf_dir):
-    s = stages(spark, sf_dir).share_page
+    s = full_run(spark, sf_dir).share_page
     return _round(s.select("MarketCode", "ClassificationId", *PB.DELTAS), list(PB.DELTAS))
 
 
 @register("reconciliation_checks", O.with_ctes("SELECT * FROM checks", O.PIPELINE))
 def q_reconciliation_checks(spark, sf_dir):
-    return stages(spark, sf_dir).checks
+    return full_run(spark, sf_dir).checks
 
 
 @register("published_factors", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM share_page",
                                            O.PIPELINE))
 def q_published_factors(spark, sf_dir):
-    return _round(stages(spark, sf_dir).upload, PB.FACTORS)
+    return _round(full_run(spark, sf_dir).upload, PB.FACTORS)

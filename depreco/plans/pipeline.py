@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,22 @@ class Run:
     def __init__(self, inputs: Inputs, p: Params):
         self.inputs, self.p = inputs, p
 
+    def prepare(self) -> "Run":
+        """Materialize the three independent fact passes concurrently.
+
+        The decay fit, the retail cells and the auction means read different facts and share
+        only the (already resolved) maps, so their jobs are submitted from three driver threads
+        and Spark's scheduler runs them side by side instead of one after another."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        _ = self._maps
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            futures = [pool.submit(lambda name=n: getattr(self, name))
+                       for n in ("decay", "retail_cells", "auction_means")]
+            for f in futures:
+                f.result()
+        return self
+
     # -- maps and taxonomy (size-checked, broadcast) ----------------------------------------
     @cached_property
     def _maps(self) -> list[DataFrame]:
@@ -64,7 +81,12 @@ class Run:
     @cached_property
     def decay(self) -> DataFrame:
         cost = X.cost_extract(self.inputs.cost_assets, self.p)
-        return cut_lineage(D.decay_fit(D.regression_rows(cost, self.schedules, self.p), self.p))
+        # The slim assigned rows feed both passes of the fit: keep them (memory, spill to disk)
+        # for the two jobs, then release them once the per-schedule result is checkpointed.
+        rows = D.regression_rows(cost, self.schedules, self.p).persist(StorageLevel.MEMORY_AND_DISK)
+        out = cut_lineage(D.decay_fit(rows, self.p))
+        rows.unpersist()
+        return out
 
     @cached_property
     def schedule_list(self) -> DataFrame:
