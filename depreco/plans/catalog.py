@@ -184,6 +184,17 @@ from depreco.operators import decay as D  # noqa: E402
 SD_TEST_K = 1.2
 
 
+def _run(spark, sf_dir):
+    from depreco.plans.pipeline import Run
+
+    return Run(FX.load_inputs(spark, sf_dir, P), P)
+
+
+def decay_stage(spark, sf_dir) -> DataFrame:
+    """The per-schedule decay table of a run (persisted rows, checked maps, checkpointed)."""
+    return _run(spark, sf_dir).decay
+
+
 def regression_rows(spark, sf_dir):
     return D.regression_rows(cost_rows(spark, sf_dir), schedules_in(spark, sf_dir), P)
 
@@ -208,7 +219,7 @@ SELECT m.Schedule, m.N AS n, round(m.a, 6) AS intercept, round(m.b, 6) AS slope,
 FROM cook_mean m JOIN cook_flag f ON m.Schedule = f.Schedule
 GROUP BY m.Schedule, m.N, m.a, m.b, m.s2, m.mean_cooks""", O.DECAY))
 def q_cooks_distance(spark, sf_dir):
-    d = D.decay_fit(regression_rows(spark, sf_dir), P)
+    d = decay_stage(spark, sf_dir)
     return d.where(F.col("rows_in") >= P.min_fit_rows).select(
         "Schedule", F.col("rows_in").alias("n"), r6("intercept").alias("intercept"), r6("slope").alias("slope"),
         r6("s2").alias("s2"), r6("mean_cooks").alias("mean_cooks"), "n_influential",
@@ -218,15 +229,14 @@ def q_cooks_distance(spark, sf_dir):
 @register("decay_factor", O.with_ctes(
     "SELECT Schedule, rows_in, n, round(factor, 6) AS factor FROM outregression", O.DECAY))
 def q_decay_factor(spark, sf_dir):
-    d = D.decay_fit(regression_rows(spark, sf_dir), P)
+    d = decay_stage(spark, sf_dir)
     return d.select("Schedule", "rows_in", "n", r6("factor").alias("factor"))
 
 
 @register("residual_by_class", O.with_ctes(
     "SELECT MarketCode, ClassificationId, round(ResidSF, 6) AS ResidSF FROM join_out", O.DECAY))
 def q_residual_by_class(spark, sf_dir):
-    capped = D.capped_residual(D.decay_fit(regression_rows(spark, sf_dir), P), P)
-    r = D.residual_by_class(capped, schedules_out(spark, sf_dir), P)
+    r = _run(spark, sf_dir).residual_class
     return r.withColumn("ResidSF", r6("ResidSF"))
 
 
