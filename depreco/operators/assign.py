@@ -37,27 +37,21 @@ def assign_schedules(fact: DataFrame, schedules: DataFrame) -> DataFrame:
     the map. Keys compare null-safe, so a missing id matches a missing id (the merge
     semantics of the original). Returns ``fact``'s columns plus ``Schedule``.
     """
-    lvl = F.col("Level2")
-    m = schedules.where(lvl.isin(*LEVELS)).select(
-        F.col("Schedule"),
-        lvl.alias("_ml"),
-        F.col("CategoryId").alias("_mc"),
-        F.when(lvl != "Category", F.col("SubcategoryId")).alias("_ms"),
-        F.when(lvl == "Make", F.col("MakeId")).alias("_mm"),
+    m = schedules.where(F.col("Level2").isin(*LEVELS)).selectExpr(
+        "Schedule",
+        "Level2 AS _ml",
+        "CategoryId AS _mc",
+        "CASE WHEN Level2 <> 'Category' THEN CAST(SubcategoryId AS INT) END AS _ms",
+        "CASE WHEN Level2 = 'Make' THEN CAST(MakeId AS INT) END AS _mm",
     )
-    null_i = F.lit(None).cast("int")
-    cat, sub, make = F.col("CategoryId"), F.col("SubcategoryId"), F.col("MakeId")
-    keys = F.array(
-        F.struct(F.lit("Category").alias("l"), cat.alias("c"), null_i.alias("s"), null_i.alias("m")),
-        F.struct(F.lit("SubcatGroup").alias("l"), cat.alias("c"), sub.cast("int").alias("s"), null_i.alias("m")),
-        F.struct(F.lit("Make").alias("l"), cat.alias("c"), sub.cast("int").alias("s"), make.cast("int").alias("m")),
+    # the three level keys of a row; unused levels are NULL on both sides
+    keys = F.expr(
+        "explode(array("
+        "named_struct('l', 'Category', 'c', CategoryId, 's', CAST(NULL AS INT), 'm', CAST(NULL AS INT)),"
+        "named_struct('l', 'SubcatGroup', 'c', CategoryId, 's', CAST(SubcategoryId AS INT), 'm', CAST(NULL AS INT)),"
+        "named_struct('l', 'Make', 'c', CategoryId, 's', CAST(SubcategoryId AS INT), 'm', CAST(MakeId AS INT))))"
     )
     cols = fact.columns
-    f = fact.select(*cols, F.explode(keys).alias("_k"))
-    cond = (
-        (F.col("_k.l") == F.col("_ml"))
-        & F.col("_k.c").eqNullSafe(F.col("_mc"))
-        & F.col("_k.s").eqNullSafe(F.col("_ms"))
-        & F.col("_k.m").eqNullSafe(F.col("_mm"))
-    )
+    f = fact.select(*cols, keys.alias("_k"))
+    cond = F.expr("_k.l = _ml AND _k.c <=> _mc AND _k.s <=> _ms AND _k.m <=> _mm")
     return f.join(m, cond).select(*cols, "Schedule")
