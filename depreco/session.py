@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove reliable-checkpoint files once the checkpointed frames are garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -45,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
         configured = tempfile.mkdtemp(prefix="depreco-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
