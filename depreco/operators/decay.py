@@ -26,15 +26,26 @@ from depreco.session import cut_lineage
 HAT_ONE_TOL = 1e-9
 
 
-def regression_rows(cost_rows: DataFrame, schedules: DataFrame, p: Params) -> DataFrame:
-    """Assigned cost rows in the age band with an in-band ratio: (Schedule, AgeMonths, x, y)."""
-    slim = cost_rows.select("CategoryId", "SubcategoryId", "MakeId", "AgeMonths", "Age", "CostRatio", "Flag")
-    rows = assign_schedules(slim, schedules)
-    return rows.where(F.col("Age").between(p.cost_age_low, p.cost_age_high) & (F.col("Flag") == "inUse")).select(
-        "Schedule", "AgeMonths", F.col("Age").alias("x"), F.log(F.col("CostRatio")).alias("y")
+def regression_input(cost_rows: DataFrame, p: Params) -> DataFrame:
+    """Cost rows in the age band with an in-band ratio, reduced to the fit's columns.
+
+    Both filters are properties of the row, so they run before the schedule explode."""
+    keep = F.col("Age").between(p.cost_age_low, p.cost_age_high) & (F.col("Flag") == "inUse")
+    return cost_rows.where(keep).select(
+        "CategoryId", "SubcategoryId", "MakeId", "AgeMonths", F.col("Age").alias("x"),
+        F.log(F.col("CostRatio")).alias("y"),
     )
 
 
+def regression_rows(cost_rows: DataFrame, schedules: DataFrame, p: Params) -> DataFrame:
+    """Assigned regression rows: (Schedule, AgeMonths, x, y)."""
+    return assign_rows(regression_input(cost_rows, p), schedules)
+
+
+def assign_rows(slim: DataFrame, schedules: DataFrame) -> DataFrame:
+    return assign_schedules(slim, schedules).select("Schedule", "AgeMonths", "x", "y")
+
+
 def age_cells(rows: DataFrame) -> DataFrame:
     """(Schedule, AgeMonths) -> n, sum(y), within-cell sum of squares of y."""
     n = F.count(F.lit(1))

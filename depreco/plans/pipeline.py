@@ -81,11 +81,12 @@ class Run:
     @cached_property
     def decay(self) -> DataFrame:
         cost = X.cost_extract(self.inputs.cost_assets, self.p)
-        # The slim assigned rows feed both passes of the fit: keep them (memory, spill to disk)
-        # for the two jobs, then release them once the per-schedule result is checkpointed.
-        rows = D.regression_rows(cost, self.schedules, self.p).persist(StorageLevel.MEMORY_AND_DISK)
-        out = cut_lineage(D.decay_fit(rows, self.p))
-        rows.unpersist()
+        # The slim filtered rows feed both passes of the fit: keep them (memory, spill to disk)
+        # before the schedule explode (up to 3x smaller), release them once the per-schedule
+        # result is checkpointed. Re-exploding against the broadcast map is a narrow step.
+        slim = D.regression_input(cost, self.p).persist(StorageLevel.MEMORY_AND_DISK)
+        out = cut_lineage(D.decay_fit(D.assign_rows(slim, self.schedules), self.p))
+        slim.unpersist()
         return out
 
     @cached_property
