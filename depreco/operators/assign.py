@@ -19,14 +19,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return bounded_broadcast_all([df], max_rows)[0]
 
 
-def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[DataFrame]:
-    """Size check of several small relations in one job (a tagged union counted per tag)."""
-    tagged = [d.select(F.lit(i).alias("_t")).limit(max_rows + 1) for i, d in enumerate(dfs)]
+def capped_row_counts(dfs: list[DataFrame], cap: int) -> list[int]:
+    """Row count of each frame, counted up to ``cap + 1``, all in one job (tagged union)."""
+    tagged = [d.select(F.lit(i).alias("_t")).limit(cap + 1) for i, d in enumerate(dfs)]
     u = tagged[0]
     for t in tagged[1:]:
         u = u.unionByName(t)
     counts = {r["_t"]: r["n"] for r in u.groupBy("_t").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(d) if counts.get(i, 0) <= max_rows else cut_lineage(d) for i, d in enumerate(dfs)]
+    return [counts.get(i, 0) for i in range(len(dfs))]
+
+
+def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """Size check of several small relations in one job; broadcast those within the bound,
+    materialize the others for shuffle joins."""
+    counts = capped_row_counts(dfs, max_rows)
+    return [F.broadcast(d) if n <= max_rows else cut_lineage(d) for d, n in zip(dfs, counts)]
 
 
 def assign_schedules(fact: DataFrame, schedules: DataFrame) -> DataFrame:

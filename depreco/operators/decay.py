@@ -143,7 +143,8 @@ def decay_fit(rows: DataFrame, p: Params, sd_multiplier: float | None = None) ->
     cells = cut_lineage(sd_filter_cells(age_cells(rows), k).where("keep"))
     per_sched = cells.groupBy("Schedule").agg(F.sum("n").alias("n_tot"))
     fitted = fit_cells(cells, p)
-    fitted = fitted.join(per_sched.where(F.col("n_tot") >= p.min_fit_rows).select("Schedule"), "Schedule", "left_semi")
+    big = F.broadcast(per_sched.where(F.col("n_tot") >= p.min_fit_rows).select("Schedule"))
+    fitted = fitted.join(big, "Schedule", "left_semi")
     # Bounded by (number of schedules) x (ages in the band): safe to broadcast.
     cell_fit = F.broadcast(fitted.select("Schedule", "AgeMonths", "a", "b", "lev", "threshold"))
     r = rows.join(cell_fit, ["Schedule", "AgeMonths"])
@@ -160,7 +161,8 @@ def decay_fit(rows: DataFrame, p: Params, sd_multiplier: float | None = None) ->
         F.first("a").alias("intercept"), F.first("b").alias("slope"), F.first("s2").alias("s2"),
         F.first("mean_cooks").alias("mean_cooks"),
     )
-    out = per_sched.join(fit, "Schedule", "left").join(diag, "Schedule", "left")
+    # fit and diag are schedule-grain (bounded by the schedule map): broadcast them.
+    out = per_sched.join(F.broadcast(fit), "Schedule", "left").join(F.broadcast(diag), "Schedule", "left")
     big = F.col("n_tot") >= p.min_fit_rows
     small_value = F.lit(0.0) if p.small_group == "zero" else F.lit(None).cast("double")
     factor = F.when(big, F.exp(F.lit(p.target_age) * safe_div(F.col("sxy"), F.col("sxx")))).otherwise(small_value)

@@ -26,7 +26,7 @@ from depreco.operators import decay as D
 from depreco.operators import hierarchy as H
 from depreco.operators import publish as PB
 from depreco.operators import ratios as R
-from depreco.operators.assign import bounded_broadcast_all
+from depreco.operators.assign import MAX_BROADCAST_ROWS, capped_row_counts
 from depreco.session import cut_lineage
 from depreco.sources import extracts as X
 from depreco.sources import maps as M
@@ -58,12 +58,24 @@ class Run:
     # -- maps and taxonomy (size-checked, broadcast) ----------------------------------------
     @cached_property
     def _maps(self) -> list[DataFrame]:
+        """Schedule inputs, schedule outputs and the taxonomy, size-checked in one job.
+
+        Within the bound they are broadcast, and so is every schedule- or class-grain stage
+        derived from them (``_small``): those hold at most one row per schedule or class."""
         i, p = self.inputs, self.p
-        return bounded_broadcast_all([
+        maps = [
             M.schedule_inputs(i.in_map, i.in_borrow_map, p),
             M.schedule_outputs(i.out_map, i.out_borrow_map, p),
             X.taxonomy_parents(i.classifications, p),
-        ])
+        ]
+        counts = capped_row_counts(maps, MAX_BROADCAST_ROWS)
+        self._bounded = all(n <= MAX_BROADCAST_ROWS for n in counts)
+        return [F.broadcast(d) if n <= MAX_BROADCAST_ROWS else cut_lineage(d) for d, n in zip(maps, counts)]
+
+    def _small(self, df: DataFrame) -> DataFrame:
+        """Broadcast hint for a class- or schedule-grain stage when the maps are bounded."""
+        _ = self._maps
+        return F.broadcast(df) if self._bounded else df
 
     @cached_property
     def schedules(self) -> DataFrame:
@@ -171,11 +183,11 @@ class Run:
 
     @cached_property
     def worst_retail(self) -> DataFrame:
-        return PB.retail_worst(self.worst_class, self.recency_class, self.p)
+        return PB.retail_worst(self._small(self.worst_class), self.recency_class, self.p)
 
     @cached_property
     def best_retail(self) -> DataFrame:
-        return PB.retail_best(self.best_class, self.recency_class, self.p)
+        return PB.retail_best(self._small(self.best_class), self.recency_class, self.p)
 
     # -- auction --------------------------------------------------------------------------------
     @cached_property
@@ -224,17 +236,18 @@ class Run:
 
     @cached_property
     def worst_auction(self) -> DataFrame:
-        return PB.auction_worst(self._class("worst_auction"), self.worst_retail)
+        return PB.auction_worst(self._class("worst_auction"), self._small(self.worst_retail))
 
     @cached_property
     def best_auction(self) -> DataFrame:
-        return PB.auction_best(self._class("best_auction"), self.best_retail)
+        return PB.auction_best(self._small(self._class("best_auction")), self.best_retail)
 
     # -- publication ----------------------------------------------------------------------------
     @cached_property
     def assembled(self) -> DataFrame:
-        return PB.assemble(self.residual_class, self.best_retail, self.worst_retail, self.best_auction,
-                           self.worst_auction)
+        s = self._small
+        return PB.assemble(self.residual_class, s(self.best_retail), s(self.worst_retail), s(self.best_auction),
+                           s(self.worst_auction))
 
     @cached_property
     def globals(self) -> DataFrame:
@@ -255,7 +268,7 @@ class Run:
 
     @cached_property
     def limited(self) -> DataFrame:
-        return PB.mom_limit(PB.attach_last_month(self.gapped, self.last_month), self.p)
+        return PB.mom_limit(PB.attach_last_month(self.gapped, self._small(self.last_month)), self.p)
 
     @cached_property
     def share_page(self) -> DataFrame:
