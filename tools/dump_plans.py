@@ -66,7 +66,7 @@ def main():
         summary = ", ".join(f"{k}: {v}" for k, v in sorted(ops.items()) if k.split(" ")[0] in (
             "Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "BroadcastNestedLoopJoin",
             "Window", "FileScan", "Generate"))
-        if "tail" in title:
+        if title.startswith("publication tail"):
             print(f"### {title}\noperator counts: {summary}\n")
         else:
             print(f"### {title}\noperator counts: {summary}\n```\n{t}\n```\n")
