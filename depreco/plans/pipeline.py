@@ -70,7 +70,15 @@ class Run:
         ]
         counts = capped_row_counts(maps, MAX_BROADCAST_ROWS)
         self._bounded = all(n <= MAX_BROADCAST_ROWS for n in counts)
-        return [F.broadcast(d) if n <= MAX_BROADCAST_ROWS else cut_lineage(d) for d, n in zip(maps, counts)]
+        # unhinted copies for joins where the map is the preserved (outer) side
+        self._maps_plain = maps if self._bounded else [cut_lineage(d) for d in maps]
+        return [F.broadcast(d) if n <= MAX_BROADCAST_ROWS else m for d, n, m in zip(maps, counts, self._maps_plain)]
+
+    @cached_property
+    def outputs_plain(self) -> DataFrame:
+        """The output map without a broadcast hint (it is the preserved side of outer joins)."""
+        _ = self._maps
+        return self._maps_plain[1]
 
     def _small(self, df: DataFrame) -> DataFrame:
         """Broadcast hint for a class- or schedule-grain stage when the maps are bounded."""
@@ -107,7 +115,7 @@ class Run:
 
     @cached_property
     def residual_class(self) -> DataFrame:
-        return D.residual_by_class(D.capped_residual(self.decay, self.p), self.outputs, self.p)
+        return D.residual_by_class(self._small(D.capped_residual(self.decay, self.p)), self.outputs_plain, self.p)
 
     # -- retail ---------------------------------------------------------------------------------
     @cached_property
@@ -132,7 +140,7 @@ class Run:
 
     @cached_property
     def recency_class(self) -> DataFrame:
-        return R.recency_by_class(self.recency, self.outputs)
+        return R.recency_by_class(self._small(self.recency), self.outputs_plain)
 
     @cached_property
     def worst_out(self) -> DataFrame:
