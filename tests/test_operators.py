@@ -1,6 +1,5 @@
 """Hand-computed micro-tables for the domain operators (FIXTURES.md section 4)."""
 
-from datetime import date
 
 import numpy as np
 import pytest
