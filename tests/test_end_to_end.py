@@ -94,3 +94,20 @@ def test_table_inputs_match_fixture_inputs(spark):
     a = Run(inp, P).upload
     b = Run(TableInputs(spark, paths), P).upload
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_monthly_job_two_months(spark):
+    """Month 1 writes the history; month 2 reads it back as last month's factors."""
+    from depreco.plans.job import run_job
+
+    out = tempfile.mkdtemp(prefix="depreco-job-", dir="/tmp")
+    hist = f"{out}/history"
+    run_job(spark, FX.load_inputs(spark, SF_SMALL, P), P, f"{out}/m1", hist)
+    p2 = P.with_(as_of=date(2001, 9, 15))
+    paths = run_job(spark, FX.load_inputs(spark, SF_SMALL, p2), p2, f"{out}/m2", hist)
+    months = {r[0] for r in history.read_history(spark, hist).select(history.PARTITION).distinct().collect()}
+    assert months == {date(2001, 7, 31), date(2001, 8, 31)}
+    m1 = {r.ClassificationId: r for r in history.read_month(spark, hist, date(2001, 7, 31)).collect()}
+    m2 = spark.read.option("header", True).option("inferSchema", True).csv(paths["upload"]).collect()
+    moved = [(r, m1[r.ClassificationId]) for r in m2 if r.ClassificationId in m1 and r.ResidSF not in (None, "NA")]
+    assert moved and all(abs(float(r.ResidSF) - prev.ResidSf) <= P.mom_cap + 1e-9 for r, prev in moved)
