@@ -14,10 +14,14 @@ is linked with nothing). Two texts are linked when ``100 * |A & B| >= 75 * |A |
 4. Cross links: in buckets that still hold several components, all pairs between *different*
    components, so a large group of copies, joined in step 3, costs nothing here. Registers are
    compared inside a task, in cells of bounded size: a larger bucket is cut into blocks and each pair
-   of blocks is a cell. A pair that shares several bands is taken in the first only.
-5. ``verify``: every pair that passes the estimate is checked on the full sets. The sets of up to
-   about 256 classes of one component travel as a block, and each other class's set is sent once to
-   each block it has candidates in; blocks with many requests are replicated over salts.
+   of blocks is a cell. A pair that shares several bands is taken in the first only, so the candidates
+   that are gathered for a class in a block are at most the classes of that block.
+5. ``verify``: every pair that passes the estimate is checked on the full sets. The sets of
+   about 256 classes with common bucket mates travel as a block, and each other class's set is sent
+   once to each block it has candidates in; blocks with many requests are replicated over salts.
+
+Joins with texts, sets, registers or band rows are sort-merge joins whatever their size: those tables
+grow with the corpus, so none of them may be broadcast, and hot keys are split at run time.
 
 No pairs are dropped: bands miss a pair of similarity 0.75 once in four million (see hyperminhash),
 and the exact check has the last word.
@@ -94,7 +98,7 @@ def crowded(classes: DataFrame) -> DataFrame:
     """(key, cid, rep): the band rows in buckets of two classes or more, with the smallest class."""
     rows = classes.select("cid", "n_shingles", "regs").mapInArrow(_band_rows, "key long, cid long")
     heads = rows.groupBy("key").agg(F.min("cid").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return rows.join(heads, "key")
+    return rows.join(heads.hint("merge"), "key")
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +116,7 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     x = classes.select(F.col("cid").alias("x"), F.col("n_shingles").alias("xn"), F.col("regs").alias("xr"))
     y = classes.select(F.col("cid").alias("y"), F.col("n_shingles").alias("yn"), F.col("regs").alias("yr"))
     near = F.expr(f"100 * least(xn, yn) >= {PERCENT} * greatest(xn, yn)")
-    return pairs.join(x, "x").join(y, "y").filter(near).select("x", "xn", "xr", "y", "yn", "yr").mapInArrow(_estimated, "x long, y long")
+    return pairs.join(x.hint("merge"), "x").join(y.hint("merge"), "y").filter(near).select("x", "xn", "xr", "y", "yn", "yr").mapInArrow(_estimated, "x long, y long")
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +135,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def full_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(cid, data): the whole shingle set of each class in ``members`` (cid, doc_id), once."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(members, "doc_id").select("cid", "text").mapInArrow(_set_rows, "cid long, f1 long, data binary")
+    rows = texts.join(members.hint("merge"), "doc_id").select("cid", "text").mapInArrow(_set_rows, "cid long, f1 long, data binary")
     return rows.filter("cid = f1").select("cid", "data").dropDuplicates(["cid"])
 
 
@@ -167,9 +171,9 @@ def verify(requests: DataFrame, placed: DataFrame, sets: DataFrame) -> DataFrame
 
     ``placed`` (cid, bl, bc) says which block a class belongs to."""
     load = requests.groupBy("bl", "bc").agg(F.ceil(F.count("*") / REQUESTS).cast("int").alias("copies"))
-    own = placed.join(load, ["bl", "bc"]).join(sets, "cid")
+    own = placed.join(load, ["bl", "bc"]).join(sets.hint("merge"), "cid")
     own = own.select("bl", "bc", F.explode(F.expr("sequence(0, copies - 1)")).alias("salt"), F.lit(0).alias("kind"), "cid", F.lit(None).cast("array<long>").alias("ys"), "data")
-    asked = requests.join(load, ["bl", "bc"]).join(sets.withColumnRenamed("cid", "x"), "x")
+    asked = requests.join(load, ["bl", "bc"]).join(sets.withColumnRenamed("cid", "x").hint("merge"), "x")
     asked = asked.select("bl", "bc", F.expr("cast(pmod(xxhash64(x), copies) as int)").alias("salt"), F.lit(1).alias("kind"), F.col("x").alias("cid"), "ys", "data")
     rows = own.unionByName(asked).repartition("bl", "bc", "salt").sortWithinPartitions("bl", "bc", "salt", "kind")
     return rows.mapInArrow(_answer, "a long, b long")
@@ -177,16 +181,16 @@ def verify(requests: DataFrame, placed: DataFrame, sets: DataFrame) -> DataFrame
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (key, cell); gives (x, bl, bc, ys) of pairs of one cell between components."""
-    names = ("key", "c0", "c1", "c2", "cid", "label", "bc", "side", "n_shingles", "regs")
+    names = ("key", "c0", "c1", "c2", "cid", "label", "bl", "bc", "side", "n_shingles", "regs")
     held: list[tuple] = []
 
     def requests() -> Iterator[tuple]:
         key, c0, _, _ = held[0][:4]
         cid = np.array([r[4] for r in held])
         label = np.array([r[5] for r in held])
-        side = np.array([r[7] for r in held])
-        size = np.array([r[8] for r in held])
-        ways = [_ways(r[8], r[9]) for r in held]
+        side = np.array([r[8] for r in held])
+        size = np.array([r[9] for r in held])
+        ways = [_ways(r[9], r[10]) for r in held]
         way, band = next((w, int(np.flatnonzero(hmh.band_keys(w, regs).view(np.int64) == key)[0])) for w, regs in ways[0] if key in hmh.band_keys(w, regs).view(np.int64))
         regs = np.stack([dict(w)[way] for w in ways])
         keys = hmh.bands(regs)
@@ -201,7 +205,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = at[hmh.jaccard_estimate(regs[at], regs[i]) >= hmh.LEAST_ESTIMATE]
             to: dict[tuple, list[int]] = {}
             for k in at:
-                to.setdefault((held[k][5], held[k][6]), []).append(int(cid[k]))
+                to.setdefault((held[k][6], held[k][7]), []).append(int(cid[k]))
             for (bl, bc), ys in to.items():
                 yield int(cid[i]), bl, bc, ys
 
@@ -230,7 +234,7 @@ def cross_requests(rows: DataFrame, classes: DataFrame, placed: DataFrame) -> Da
     A bucket of up to CELL members is one cell. A larger one is cut by class into blocks of about
     CELL / 2; the component with the most members there is never compared with itself, so its blocks
     meet the blocks of the rest (cells 1), and the rest's blocks meet one another (cells 0 and 2)."""
-    at = rows.select("key", "cid").join(placed, "cid").withColumnRenamed("bl", "label")
+    at = rows.select("key", "cid").join(placed, "cid")
     parts = at.groupBy("key", "label").agg(F.count("*").alias("n"))
     heads = parts.groupBy("key").agg(F.sum("n").alias("total"), F.max("n").alias("most"), F.max_by("label", F.struct("n", "label")).alias("major"), F.count("*").alias("kinds"))
     half = CELL // 2
@@ -246,16 +250,20 @@ def cross_requests(rows: DataFrame, classes: DataFrame, placed: DataFrame) -> Da
                  transform(sequence(0, na - 1), i -> struct(1 as c0, i as c1, {slot} as c2, 0 as side)),
                  transform(sequence(0, nm - 1), j -> struct(if(j = {slot}, 0, 2) as c0, least(j, {slot}) as c1, greatest(j, {slot}) as c2, if(j < {slot}, 1, 0) as side)))
         end"""
-    dealt = at.join(heads, "key").select("key", "cid", "label", "bc", F.expr(f"inline({cells})"))
-    dealt = dealt.join(classes.select("cid", "n_shingles", "regs"), "cid").repartition("key", "c0", "c1", "c2").sortWithinPartitions("key", "c0", "c1", "c2", "cid")
+    dealt = at.join(heads, "key").select("key", "cid", "label", "bl", "bc", F.expr(f"inline({cells})"))
+    dealt = dealt.join(classes.select("cid", "n_shingles", "regs").hint("merge"), "cid").repartition("key", "c0", "c1", "c2").sortWithinPartitions("key", "c0", "c1", "c2", "cid")
     return dealt.mapInArrow(_cross, "x long, bl long, bc int, ys array<long>")
 
 
-def _place(labels: DataFrame, members: DataFrame) -> DataFrame:
-    """(cid, bl, bc): each member's component and its block of about BLOCK classes within it."""
-    own = members.select("cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("cid", F.coalesce("label", "cid").alias("bl"))
+def _place(near: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cid, label, bl, bc) of each class in ``near``: its component, and the block its set travels in.
+
+    Classes that share their smallest bucket mate lie together, in blocks of about BLOCK classes, so the
+    candidates of one class are in few blocks."""
+    own = near.groupBy("cid").agg(F.min("rep").alias("bl"))
     size = own.groupBy("bl").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    return own.join(size, "bl").select("cid", "bl", F.expr("cast(pmod(xxhash64(cid), parts) as int)").alias("bc"))
+    own = own.join(size, "bl").select("cid", "bl", F.expr("cast(pmod(xxhash64(cid), parts) as int)").alias("bc"))
+    return own.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("cid", F.coalesce("label", "cid").alias("label"), "bl", "bc")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,9 +284,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = members.select("cid", F.col("cid").alias("bl"), F.lit(0).alias("bc"))
     stars = scratch.keep(stars.select("x", F.col("y").alias("bl"), F.lit(0).alias("bc"), F.array("y").alias("ys")))
     links = scratch.keep(verify(stars, alone, sets))
-    placed = scratch.keep(_place(components(links, scratch), members))
-    asked = scratch.keep(cross_requests(near, classes, placed))
-    links = scratch.keep(links.union(verify(asked, placed, sets)))
+    placed = scratch.keep(_place(near, components(links, scratch)))
+    asked = cross_requests(near, classes, placed).groupBy("x", "bl", "bc").agg(F.flatten(F.collect_list("ys")).alias("ys"))
+    links = scratch.keep(links.union(verify(scratch.keep(asked), placed, sets)))
 
     label = components(links, scratch)
     label = classes.select("cid", "doc_id").join(label.withColumnRenamed("node", "cid"), "cid").select("cid", "label", "doc_id")
