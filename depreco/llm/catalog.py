@@ -1,15 +1,16 @@
 """Registered queries of the operators on text corpora, with their DuckDB SQL where SQL can say it.
 
-Every query reads whole tables. Texts are read as they are; no row or text is cut."""
+Every query reads whole tables; no row or text is cut. The trained operators (3, 5, 6), the token counts
+(2), the tiles (7) and the mined rules (8) have no SQL; tests hold them against brute-force versions,
+the tokenizer library or held-out labels."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import sql
+from . import bpe_count, decontaminate, licenses, line_dedup, mixing, near_dedup, quality_cnn, quality_rules, sql, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,15 +20,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .near_dedup import near_duplicates
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return bpe_count.token_counts(table(spark, sf_dir, "documents"), str(path("word_bpe_49k.json")))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_cnn.quality_scores(docs, quality_cnn.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.quality_rules(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("row.doc_id", "n_lines", "n_dropped", "text")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    "op1_near_dedup": op1_near_dedup,
+    f.__name__: f
+    for f in (
+        op1_near_dedup, op2_token_counts, op3_quality_classifier, op4_source_mix, op5_quality_rules,
+        op6_toxicity, op7_decontamination, op8_url_filter, op9_line_dedup, op10_license_scan,
+    )
 }
 
 ORACLES: dict[str, str] = {
     "op1_near_dedup": sql.NEAR_DEDUP,
+    "op4_source_mix": sql.MIXING,
+    "op9_line_dedup": sql.LINE_DEDUP,
+    "op10_license_scan": sql.licenses(licenses.TEMPLATES, licenses.PERCENT),
 }

@@ -30,3 +30,110 @@ WITH RECURSIVE listed AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
 FROM documents d JOIN least m ON m.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
+
+_BLANK = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
+
+LINE_DEDUP = f"""
+WITH pages AS (
+    SELECT row_number() OVER () AS page, doc_id, source, text FROM documents
+), cut AS (
+    SELECT page, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM pages
+), lines AS (
+    SELECT *, trim(line, {_BLANK}) AS body FROM cut
+), held AS (
+    SELECT source, body, count(DISTINCT page) AS on_pages FROM lines WHERE body <> '' GROUP BY 1, 2
+), hosts AS (
+    SELECT source, count(*) AS total FROM pages GROUP BY 1
+), common AS (
+    SELECT h.source, h.body FROM held h JOIN hosts t ON t.source IS NOT DISTINCT FROM h.source
+    WHERE h.on_pages >= 3 AND h.on_pages * 100 > t.total * 1
+), judged AS (
+    SELECT l.*, c.body IS NOT NULL AS gone FROM lines l LEFT JOIN common c ON c.source IS NOT DISTINCT FROM l.source AND c.body = l.body
+), merged AS (
+    SELECT page, count(*) AS n_lines, count(*) FILTER (gone) AS n_gone, bool_or(body <> '' AND NOT gone) AS content,
+           string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS rest
+    FROM judged GROUP BY page
+)
+SELECT p.doc_id, coalesce(m.n_lines, 0)::BIGINT AS n_lines,
+       CASE WHEN m.content THEN m.n_gone ELSE 0 END::BIGINT AS n_dropped,
+       CASE WHEN m.content AND m.n_gone > 0 THEN m.rest ELSE p.text END AS text
+FROM pages p LEFT JOIN merged m ON m.page = p.page
+"""
+
+MIXING = r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           0.1::DOUBLE + 0.9::DOUBLE * length(translate(coalesce(text, ''), '#*$%&|<>', '')) / greatest(length(coalesce(text, '')), 1) AS quality,
+           (('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS draw
+    FROM documents
+), placed AS (
+    SELECT doc_id, source, size, floor((1 - pow(draw, 1 / quality)) * 281474976710656::DOUBLE)::BIGINT AS place FROM sized
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn FROM placed GROUP BY source
+), weighted AS (
+    SELECT source, source_size, (CASE turn WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END)::DOUBLE AS weight, (2 * source_size)::DOUBLE AS most FROM totals
+), stepped AS (
+    SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+               - coalesce(sum(most) OVER (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (ORDER BY most / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+    FROM weighted
+), level AS (
+    SELECT rate FROM stepped WHERE weight * rate < most ORDER BY most / weight, source LIMIT 1
+), goals AS (
+    SELECT source, source_size, least(most, weight * coalesce((SELECT rate FROM level), 0)) AS target FROM weighted
+), budgets AS (
+    SELECT *, floor(target / greatest(source_size, 1))::BIGINT AS whole, target - floor(target / greatest(source_size, 1)) * source_size AS rest FROM goals
+), summed AS (
+    SELECT p.*, b.source_size, b.target, b.whole, b.rest,
+           sum(size) OVER (PARTITION BY p.source ORDER BY place RANGE UNBOUNDED PRECEDING) AS upto,
+           sum(size) OVER (PARTITION BY p.source, place) AS held
+    FROM placed p JOIN budgets b ON b.source IS NOT DISTINCT FROM p.source
+), ends AS (
+    SELECT source, min(place) AS place FROM summed WHERE rest > 0 AND upto >= rest GROUP BY source
+), cut AS (
+    SELECT DISTINCT s.source, CASE WHEN s.upto - s.rest <= s.rest - (s.upto - s.held) THEN e.place ELSE e.place - 1 END AS place
+    FROM summed s JOIN ends e ON e.source IS NOT DISTINCT FROM s.source AND e.place = s.place
+)
+SELECT s.doc_id, s.source, s.size, s.source_size, s.target,
+       s.whole + CASE WHEN s.place <= c.place THEN 1 ELSE 0 END AS epochs,
+       (s.size * (s.whole + CASE WHEN s.place <= c.place THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM summed s LEFT JOIN cut c ON c.source IS NOT DISTINCT FROM s.source
+"""
+
+
+def licenses(templates: tuple, percent: int) -> str:
+    values = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(templates))
+    listed = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+    return f"""
+WITH given(tid, license, text) AS (VALUES {values}
+), known AS (
+    SELECT tid, license, {listed} AS ws FROM given
+), sized AS (
+    SELECT *, len(ws) AS n, least(len(ws), 5) AS k, greatest(1, len(ws) // 2) AS step FROM known WHERE len(ws) > 0
+), want AS (
+    SELECT DISTINCT tid, k, unnest(list_transform(range(1, n - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS gram FROM sized
+), totals AS (
+    SELECT tid, count(*) AS n_shingles FROM want GROUP BY tid
+), texts AS (
+    SELECT DISTINCT doc_id, text FROM documents
+), docs AS (
+    SELECT row_number() OVER () AS page, doc_id, {listed} AS ws FROM texts
+), grams AS (
+    SELECT page, s.k, unnest(range(0, len(ws) - s.k + 1)) AS pos,
+           unnest(list_transform(range(1, len(ws) - s.k + 2), lambda i: array_to_string(ws[i:i + s.k - 1], ' '))) AS gram
+    FROM docs, (SELECT DISTINCT k FROM sized) s WHERE len(ws) >= s.k
+), hits AS (
+    SELECT g.page, w.tid, g.pos, g.gram FROM grams g JOIN want w ON w.gram = g.gram AND w.k = g.k
+), inside AS (
+    SELECT h.page, h.tid, h.gram, unnest(range(greatest(0, ceil((h.pos + s.k - s.n - s.step)::DOUBLE / s.step)::BIGINT), h.pos // s.step + 1)) * s.step AS at_word
+    FROM hits h JOIN sized s ON s.tid = h.tid
+), found AS (
+    SELECT page, tid, at_word, count(DISTINCT gram) AS n_found FROM inside GROUP BY 1, 2, 3
+), good AS (
+    SELECT f.*, t.n_shingles, s.license FROM found f JOIN totals t ON t.tid = f.tid JOIN sized s ON s.tid = f.tid WHERE f.n_found * 100 >= t.n_shingles * {percent}
+), best AS (
+    SELECT *, row_number() OVER (PARTITION BY page, license ORDER BY n_found / n_shingles DESC, at_word, n_shingles DESC) AS place FROM good
+)
+SELECT d.doc_id, b.license, b.n_shingles::INTEGER AS n_shingles, b.n_found::INTEGER AS n_found, b.at_word::INTEGER AS at_word
+FROM best b JOIN docs d ON d.page = b.page WHERE b.place = 1
+"""

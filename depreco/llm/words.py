@@ -85,14 +85,14 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
-def words(texts: Texts, lower: bool = True) -> Words:
-    """Every word of every text, in order. ``lower`` folds A-Z before hashing."""
+def words(texts: Texts, lower: bool = True, breaks: np.ndarray = SPACE) -> Words:
+    """Every word of every text, in order: runs of bytes that ``breaks`` doesn't mark. ``lower`` folds A-Z."""
     data, at = texts
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(len(at), np.int64), np.zeros(0, np.uint64))
-    solid = ~SPACE[data]
+    solid = ~breaks[data]
     edge = np.zeros(n + 1, bool)
     edge[at] = True
     cut = ~solid
