@@ -7,7 +7,7 @@ Every clock read of the original batch ("today", "last month end") is replaced b
 from __future__ import annotations
 
 import calendar
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import date
 
 
@@ -49,6 +49,8 @@ PROD_BEST_YEARS = (2016, 2017, 2018)
 
 @dataclass(frozen=True)
 class Params:
+    """Settings of a run. The defaults are fixed values of the production configuration."""
+
     as_of: date = date(2020, 6, 23)
     country: str = "USA"
     market_code: str = "USNA"
@@ -100,7 +102,6 @@ class Params:
     min_comparable_cost: float = 5.0
     min_asset_cost: float = 10.0
     auction_age_band: tuple = (3, 10)  # ModelYear between PublishYear-10 and PublishYear-3
-    extra: dict = field(default_factory=dict, compare=False)
 
     # -- calendar -----------------------------------------------------------
     @property
@@ -146,7 +147,7 @@ class Params:
         return replace(self, **kw)
 
 
-def readme_best_years(as_of: date, first_year: int = 2015) -> tuple:
+def written_best_years(as_of: date, first_year: int = 2015) -> tuple:
     """Candidate best years as the written business rule states them:
     from ``first_year`` to this year once June has passed, else to last year."""
     last = as_of.year if as_of.month > 6 else as_of.year - 1
@@ -158,12 +159,12 @@ def readme_best_years(as_of: date, first_year: int = 2015) -> tuple:
 # ---------------------------------------------------------------------------
 FIXTURE_PARAMS = Params(
     as_of=date(2001, 8, 15),
-    excluded_categories=(-1,),
+    excluded_categories=(6,),
     excluded_makes=(25,),
     composite_subcategories=(11,),
     composite_make=3,
     composite_model_prefix="red",
-    taxonomy_excluded_categories=(-1,),
+    taxonomy_excluded_categories=(6,),
     global_list=(1, 2, 3, 4, 5),
     recession_year=1996,
     best_years=(1998, 1999, 2000),

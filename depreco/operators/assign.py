@@ -1,48 +1,22 @@
-"""DOM-01: hierarchical schedule assignment and the size-checked broadcast helper."""
+"""DOM-01: hierarchical schedule assignment."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depreco.session import cut_lineage
-
 LEVELS = ("Category", "SubcatGroup", "Make")
-# Maps and taxonomies hold one row per schedule / class; beyond this size they are joined
-# with a shuffle (AQE splits skewed partitions) instead of being broadcast.
-MAX_BROADCAST_ROWS = 500_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df``'s checked row count is within ``max_rows``; beyond it
-    the frame is materialized once (reliable checkpoint) and joins shuffle (AQE splits skew)."""
-    return bounded_broadcast_all([df], max_rows)[0]
-
-
-def capped_row_counts(dfs: list[DataFrame], cap: int) -> list[int]:
-    """Row count of each frame, counted up to ``cap + 1``, all in one job (tagged union)."""
-    tagged = [d.select(F.lit(i).alias("_t")).limit(cap + 1) for i, d in enumerate(dfs)]
-    u = tagged[0]
-    for t in tagged[1:]:
-        u = u.unionByName(t)
-    counts = {r["_t"]: r["n"] for r in u.groupBy("_t").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) for i in range(len(dfs))]
-
-
-def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[DataFrame]:
-    """Size check of several small relations in one job; broadcast those within the bound,
-    materialize the others for shuffle joins."""
-    counts = capped_row_counts(dfs, max_rows)
-    return [F.broadcast(d) if n <= max_rows else cut_lineage(d) for d, n in zip(dfs, counts)]
 
 
-def assign_schedules(fact: DataFrame, schedules: DataFrame) -> DataFrame:
+def assign_schedules(rows: DataFrame, schedules: DataFrame) -> DataFrame:
     """Attach every schedule mapped at the row's Category, (Category, Subcategory) or
     (Category, Subcategory, Make). Bag semantics: a row lands in each matching schedule.
 
-    One pass over ``fact``: each row is expanded to its three level keys and joined once to
-    the map. Keys compare null-safe, so a missing id matches a missing id (the merge
-    semantics of the original). Returns ``fact``'s columns plus ``Schedule``.
+    One pass over ``rows``: each row is expanded to its three level keys and joined once to
+    the map. Keys compare null-safe, so a missing id matches a missing id. Callers aggregate
+    facts to the taxonomy first, so what is expanded has class grain and a category's key
+    meets few rows however many facts the category has. Returns ``rows``'s columns plus
+    ``Schedule``.
     """
     m = schedules.where(F.col("Level2").isin(*LEVELS)).selectExpr(
         "Schedule",
@@ -58,7 +32,7 @@ def assign_schedules(fact: DataFrame, schedules: DataFrame) -> DataFrame:
         "named_struct('l', 'SubcatGroup', 'c', CategoryId, 's', CAST(SubcategoryId AS INT), 'm', CAST(NULL AS INT)),"
         "named_struct('l', 'Make', 'c', CategoryId, 's', CAST(SubcategoryId AS INT), 'm', CAST(MakeId AS INT))))"
     )
-    cols = fact.columns
-    f = fact.select(*cols, keys.alias("_k"))
+    cols = rows.columns
+    f = rows.select(*cols, keys.alias("_k"))
     cond = F.expr("_k.l = _ml AND _k.c <=> _mc AND _k.s <=> _ms AND _k.m <=> _mm")
     return f.join(m, cond).select(*cols, "Schedule")

@@ -1,15 +1,16 @@
-"""Residual (decay) factor: outlier removal and a log-linear fit per schedule (DOM-02..04).
+"""Decay factor: outlier removal and a log-linear fit per schedule (DOM-02..04).
 
 Scale design. Within one run every cost row of a model year has the same age (ages are
-measured at the effective date, so they are whole years apart), so a schedule's rows fall
-into at most a handful of (schedule, age) cells. The fact is reduced
-to those cells with one partial/final aggregate (a hot schedule costs one row per task and
-cell, never one task for the whole schedule). The standard-deviation filter, the fit with
-intercept, the hat values and the mean Cook's distance are then exact functions of the
-cell sums and run on the small cell table. A second pass over the rows joins the
-per-cell fit (broadcast, bounded by 9 cells per schedule) to drop influential rows and
-accumulates the through-origin fit. No window spans a schedule's rows; nothing is
-collected to the driver.
+measured at the effective date, so they are whole years apart). The fact is reduced once,
+by a partial/final aggregate, to (category, subcategory, make, age) cells: counts, sums and
+within-cell squares combine exactly. Only these class-grain cells are expanded to their
+levels and joined to the schedule map, so a category that holds a third of all rows is a
+few cells. The standard-deviation filter, the fit with intercept, the hat values and the
+mean Cook's distance are exact functions of the cell sums.
+
+The second pass must look at single rows: it joins each row to its class cell's list of fits
+(class grain) and expands only the rows that are influential in some schedule; their sums are
+taken off the cell sums. No window spans a schedule's rows; nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 from depreco.config import Params
 from depreco.functions import age_years_4dp, clamp, safe_div
 from depreco.operators.assign import assign_schedules
-from depreco.session import cut_lineage
 
 # Leverage this close to 1 is treated as exactly 1 (Cook's distance undefined).
 HAT_ONE_TOL = 1e-9
@@ -37,23 +37,27 @@ def regression_input(cost_rows: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def regression_rows(cost_rows: DataFrame, schedules: DataFrame, p: Params) -> DataFrame:
-    """Assigned regression rows: (Schedule, AgeMonths, x, y)."""
-    return assign_rows(regression_input(cost_rows, p), schedules)
+CLASS = ["CategoryId", "SubcategoryId", "MakeId"]
 
 
-def assign_rows(slim: DataFrame, schedules: DataFrame) -> DataFrame:
-    return assign_schedules(slim, schedules).select("Schedule", "AgeMonths", "x", "y")
+def class_cells(slim: DataFrame) -> DataFrame:
+    """(class, AgeMonths) -> n, sum(y), within-cell sum of squares of y: the only pass over all rows."""
+    n = F.count(F.lit(1))
+    return slim.groupBy(*CLASS, "AgeMonths").agg(n.alias("n"), F.sum("y").alias("sy"), (F.var_pop("y") * n).alias("ss"))
 
 
-def age_cells(rows: DataFrame) -> DataFrame:
-    """(Schedule, AgeMonths) -> n, sum(y), within-cell sum of squares of y."""
-    n = F.count(F.lit(1))
-    return rows.groupBy("Schedule", "AgeMonths").agg(
-        n.alias("n"), F.sum("y").alias("sy"), (F.var_pop("y") * n).alias("ss")
+def merge_cells(cells: DataFrame) -> DataFrame:
+    """(Schedule, AgeMonths) cells from the class cells of the schedule's classes."""
+    between = F.sum(F.col("sy") * F.col("sy") / F.col("n")) - F.sum("sy") * F.sum("sy") / F.sum("n")
+    return cells.groupBy("Schedule", "AgeMonths").agg(
+        F.sum("n").alias("n"), F.sum("sy").alias("sy"), (F.sum("ss") + between).alias("ss")
     ).withColumn("x", age_years_4dp("AgeMonths"))
 
 
+def age_cells(slim: DataFrame, schedules: DataFrame) -> DataFrame:
+    return merge_cells(assign_schedules(class_cells(slim), schedules))
+
+
 def sd_filter_cells(cells: DataFrame, k: float) -> DataFrame:
     """WN-01 on cells: keep ages within mean +- k*sd (sample sd over rows) of the schedule.
 
@@ -75,7 +79,7 @@ def sd_filter_cells(cells: DataFrame, k: float) -> DataFrame:
 
 def fit_cells(kept: DataFrame, p: Params) -> DataFrame:
     """Fit ln(ratio) = a + b*age per schedule from cell sums; per cell: leverage and the
-    squared-residual sum; per schedule: s^2 and the Cook's threshold.
+    squared-error sum; per schedule: s^2 and the Cook's threshold.
 
     Degenerate cases: a single age -> intercept-only fit (p = 1, h = 1/n);
     s^2 = 0 or h = 1 -> the distance is undefined (NULL) for those rows.
@@ -134,50 +138,67 @@ def fit_cells(kept: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def decay_fit(rows: DataFrame, p: Params, sd_multiplier: float | None = None) -> DataFrame:
+def fitted_cells(cells: DataFrame, p: Params) -> DataFrame:
+    """Kept cells with their schedule's fit, for schedules of ``min_fit_rows`` rows or more."""
+    total = F.sum("n").over(Window.partitionBy("Schedule"))
+    return fit_cells(cells.withColumn("_rows", total).where(F.col("_rows") >= p.min_fit_rows).drop("_rows"), p)
+
+
+def influential_rows(slim: DataFrame, fitted: DataFrame, schedules: DataFrame) -> DataFrame:
+    """(Schedule, x, y) of the rows beyond their schedule's Cook threshold.
+
+    Rows meet their class cell's fits unexpanded; a class is in few schedules, so the list is short."""
+    classes = slim.select(*CLASS, "AgeMonths").distinct()
+    fits = assign_schedules(classes, schedules).join(fitted.select("Schedule", "AgeMonths", "a", "b", "lev", "threshold"), ["Schedule", "AgeMonths"])
+    fits = fits.where(F.col("lev").isNotNull()).groupBy(*CLASS, "AgeMonths").agg(
+        F.collect_list(F.struct("Schedule", "a", "b", "lev", "threshold")).alias("fits")
+    )
+    fits = fits.select(*[F.col(c).alias(f"_{c}") for c in (*CLASS, "AgeMonths")], "fits")
+    same = F.col("AgeMonths") == F.col("_AgeMonths")
+    for c in CLASS:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    hit = F.expr("filter(fits, f -> power(y - f.a - f.b * x, 2) * f.lev > f.threshold)")
+    return slim.join(fits, same).select("x", "y", F.explode(hit).alias("f")).select("f.Schedule", "x", "y")
+
+
+def decay_table(cells: DataFrame, fitted: DataFrame, influential: DataFrame, p: Params) -> DataFrame:
     """Per schedule of the regression input: rows used, Cook's diagnostics and the factor
     ``exp(target_age * sum(xy)/sum(x^2))`` of the through-origin fit on non-influential rows.
     Schedules under ``min_fit_rows`` rows get factor 0 and n 0 (or NULL, ``small_group='null'``)."""
-    k = p.sd_multiplier if sd_multiplier is None else sd_multiplier
-    # The kept cells are small (schedules x ages) and feed four branches: materialize once.
-    cells = cut_lineage(sd_filter_cells(age_cells(rows), k).where("keep"))
-    per_sched = cells.groupBy("Schedule").agg(F.sum("n").alias("n_tot"))
-    fitted = fit_cells(cells, p)
-    big = F.broadcast(per_sched.where(F.col("n_tot") >= p.min_fit_rows).select("Schedule"))
-    fitted = fitted.join(big, "Schedule", "left_semi")
-    # Bounded by (number of schedules) x (ages in the band): safe to broadcast.
-    cell_fit = F.broadcast(fitted.select("Schedule", "AgeMonths", "a", "b", "lev", "threshold"))
-    r = rows.join(cell_fit, ["Schedule", "AgeMonths"])
-    d = (F.col("y") - F.col("a") - F.col("b") * F.col("x")) ** 2 * F.col("lev")
-    influential = F.coalesce(d > F.col("threshold"), F.lit(False))
-    kept = ~influential
-    fit = r.groupBy("Schedule").agg(
-        F.sum(F.when(kept, F.col("x") * F.col("y"))).alias("sxy"),
-        F.sum(F.when(kept, F.col("x") * F.col("x"))).alias("sxx"),
-        F.count(F.when(kept, F.lit(1))).alias("n_fit"),
-        F.count(F.when(influential, F.lit(1))).alias("n_influential"),
+    out = influential.groupBy("Schedule").agg(
+        F.sum(F.col("x") * F.col("y")).alias("xy_out"), F.sum(F.col("x") * F.col("x")).alias("xx_out"), F.count(F.lit(1)).alias("n_out")
+    )
+    sums = cells.groupBy("Schedule").agg(
+        F.sum("n").alias("rows_in"), F.sum(F.col("x") * F.col("sy")).alias("xy"), F.sum(F.col("n") * F.col("x") * F.col("x")).alias("xx")
     )
     diag = fitted.groupBy("Schedule").agg(
-        F.first("a").alias("intercept"), F.first("b").alias("slope"), F.first("s2").alias("s2"),
-        F.first("mean_cooks").alias("mean_cooks"),
+        F.first("a").alias("intercept"), F.first("b").alias("slope"), F.first("s2").alias("s2"), F.first("mean_cooks").alias("mean_cooks")
     )
-    # fit and diag are schedule-grain (bounded by the schedule map): broadcast them.
-    out = per_sched.join(F.broadcast(fit), "Schedule", "left").join(F.broadcast(diag), "Schedule", "left")
-    big = F.col("n_tot") >= p.min_fit_rows
+    j = sums.join(out, "Schedule", "left").join(diag, "Schedule", "left")
+    big = F.col("rows_in") >= p.min_fit_rows
+    n_out = F.coalesce("n_out", F.lit(0))
+    slope0 = safe_div(F.col("xy") - F.coalesce("xy_out", F.lit(0.0)), F.col("xx") - F.coalesce("xx_out", F.lit(0.0)))
     small_value = F.lit(0.0) if p.small_group == "zero" else F.lit(None).cast("double")
-    factor = F.when(big, F.exp(F.lit(p.target_age) * safe_div(F.col("sxy"), F.col("sxx")))).otherwise(small_value)
-    n_used = F.when(big, F.col("n_fit")).otherwise(F.lit(0).cast("long"))
-    return out.select(
-        "Schedule", F.col("n_tot").alias("rows_in"), n_used.alias("n"), "n_influential", "intercept", "slope", "s2",
-        "mean_cooks", factor.alias("factor"),
+    return j.select(
+        "Schedule", "rows_in", F.when(big, F.col("rows_in") - n_out).otherwise(F.lit(0)).cast("long").alias("n"),
+        F.when(big, n_out).alias("n_influential"), "intercept", "slope", "s2", "mean_cooks",
+        F.when(big, F.exp(F.lit(p.target_age) * slope0)).otherwise(small_value).alias("factor"),
     )
 
 
-def capped_residual(decay: DataFrame, p: Params) -> DataFrame:
+def decay_fit(slim: DataFrame, schedules: DataFrame, p: Params, keep=lambda df: df) -> DataFrame:
+    """The decay table of regression rows ``slim``; ``keep`` writes a small table that several
+    steps read and returns it."""
+    cells = keep(sd_filter_cells(age_cells(slim, schedules), p.sd_multiplier).where("keep"))
+    fitted = keep(fitted_cells(cells, p))
+    return decay_table(cells, fitted, influential_rows(slim, fitted, schedules), p)
+
+
+def capped_decay(decay: DataFrame, p: Params) -> DataFrame:
     return decay.select("Schedule", "n", "factor", clamp(F.col("factor"), p.resid_low, p.resid_high).alias("cap_factor"))
 
 
-def residual_by_class(capped: DataFrame, outputs: DataFrame, p: Params) -> DataFrame:
-    """JN-10: every output class with its schedule's capped residual factor (NULL if none)."""
+def decay_by_class(capped: DataFrame, outputs: DataFrame, p: Params) -> DataFrame:
+    """JN-10: every output class with its schedule's capped decay factor (NULL if none)."""
     j = outputs.select("ClassificationId", "Schedule").join(capped.select("Schedule", "cap_factor"), "Schedule", "left")
     return j.select(F.lit(p.market_code).alias("MarketCode"), "ClassificationId", F.col("cap_factor").alias("ResidSF"))

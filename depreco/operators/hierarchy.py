@@ -5,9 +5,9 @@ category parent's own factor, else the global value: the mean factor of category
 output classes in the global list. Everything runs on class-grain tables (bounded by the
 taxonomy), joined by id; the global value is a one-row-per-kind aggregate.
 
-The functions work in long format: an optional ``kind`` column carries several factor
-families (worst/best, retail/auction, residual) through one set of joins instead of one
-pass per family.
+The output map has one row per class (``sources.maps.schedule_outputs``), so a class has one
+row per factor family here and stays one row. Factor families (decay, worst / best, retail /
+auction) go through one set of joins together, in long format with a ``kind`` column.
 """
 
 from __future__ import annotations
@@ -43,10 +43,10 @@ def global_value(start: DataFrame, p: Params) -> DataFrame:
 def inherit_from(start: DataFrame, p: Params) -> DataFrame:
     """(kind, ClassificationId, factor, CS_ClassId, C_ClassId, resolved_from) from class_factors."""
     start = _with_kind(start)
-    own = start.where(F.col("factor").isNotNull()).select(KIND, "ClassificationId", "factor").dropDuplicates()
+    own = start.where(F.col("factor").isNotNull()).groupBy(KIND, "ClassificationId").agg(F.max("factor").alias("factor"))
     cs = own.select(F.col(KIND).alias("_cs_k"), F.col("ClassificationId").alias("_cs_id"), F.col("factor").alias("_cs_f"))
     c = own.select(F.col(KIND).alias("_c_k"), F.col("ClassificationId").alias("_c_id"), F.col("factor").alias("_c_f"))
-    # One row per factor family: bounded, broadcast.
+    # One row per factor family (five at most): broadcast.
     glob = F.broadcast(global_value(start, p))
     j = (
         start.join(cs, (F.col(KIND) == cs._cs_k) & (F.col("CS_ClassId") == cs._cs_id), "left")
@@ -67,3 +67,13 @@ def inherit_from(start: DataFrame, p: Params) -> DataFrame:
 
 def inherit(sched_factors: DataFrame, outputs: DataFrame, taxonomy: DataFrame, p: Params) -> DataFrame:
     return inherit_from(class_factors(sched_factors, outputs, taxonomy), p)
+
+
+def by_class(inherited: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """One row per class: each family's factor in the column that ``kinds`` names, NULL where the
+    family has no row, and ``has_<column>`` saying whether it has one."""
+    cols = []
+    for name, kind in kinds.items():
+        mine = F.col(KIND) == kind
+        cols += [F.max(F.when(mine, F.col("factor"))).alias(name), F.max(mine).alias(f"has_{name}")]
+    return inherited.groupBy("ClassificationId").agg(*cols)

@@ -1,19 +1,18 @@
 """Factor assembly and publication rules (DOM-11..15, 17, 18).
 
-All inputs here are class-grain tables (one row per output class), so joins are on the
-class id between small relations; the global row is a cross join of one-row aggregates.
+All inputs here are class-grain tables (one row per output class); the factors of a class are
+brought together once (``class_table``) and the rules after that are column arithmetic.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depreco.config import Params
 from depreco.functions import clamp, greatest_na, least_na, safe_div
 
+#: Column names of the published tables.
 FACTORS = ["ResidSF", "SFBestRetail", "SFWorstRetail", "SFBestAuction", "SFWorstAuction"]
 LAST_MONTH_COLUMNS = {
     "ResidSF": "Residlm",
@@ -31,47 +30,33 @@ DELTAS = {
 }
 
 
-# -- DOM-11 ---------------------------------------------------------------------------------
-def retail_worst(worst_class: DataFrame, recency_class: DataFrame, p: Params) -> DataFrame:
-    """Every output class: min(inherited worst factor x recency, worst cap)."""
-    j = recency_class.join(worst_class.select("ClassificationId", "factor"), "ClassificationId", "left")
-    return j.select("ClassificationId", least_na(F.col("factor") * F.col("recFactor"), F.lit(p.worst_cap)).alias("SFWorstRetail"))
-
-
-def retail_best(best_class: DataFrame, recency_class: DataFrame, p: Params) -> DataFrame:
-    """Every output class: max(best cap, inherited best factor x recency)."""
-    j = recency_class.join(best_class.select("ClassificationId", "factor"), "ClassificationId", "left")
-    return j.select("ClassificationId", greatest_na(F.lit(p.best_cap), F.col("factor") * F.col("recFactor")).alias("SFBestRetail"))
-
-
-# -- DOM-12 ---------------------------------------------------------------------------------
-def auction_worst(worst_auc_class: DataFrame, worst_retail: DataFrame) -> DataFrame:
-    """Inner join: classes with both an auction and a retail worst factor."""
-    j = worst_auc_class.select("ClassificationId", "factor").join(worst_retail, "ClassificationId")
-    return j.select("ClassificationId", (F.col("factor") * F.col("SFWorstRetail")).alias("SFWorstAuction"))
-
+# -- DOM-11, DOM-12, JN-17 ------------------------------------------------------------------
+def class_table(outputs: DataFrame, capped: DataFrame, recency: DataFrame, inherited: DataFrame, p: Params) -> DataFrame:
+    """One row per output class with its five factors before the publication rules.
 
-def auction_best(best_auc_class: DataFrame, best_retail: DataFrame) -> DataFrame:
-    """Every class of the retail table; auction factor x retail factor."""
-    j = best_retail.join(best_auc_class.select("ClassificationId", "factor"), "ClassificationId", "left")
-    return j.select("ClassificationId", (F.col("factor") * F.col("SFBestRetail")).alias("SFBestAuction"))
-
-
-# -- JN-17 ----------------------------------------------------------------------------------
-def assemble(resid: DataFrame, best_ret: DataFrame, worst_ret: DataFrame, best_auc: DataFrame,
-             worst_auc: DataFrame) -> DataFrame:
-    return (
-        resid.join(best_ret, "ClassificationId")
-        .join(worst_ret, "ClassificationId")
-        .join(best_auc, "ClassificationId", "left")
-        .join(worst_auc, "ClassificationId", "left")
-        .select("MarketCode", "ClassificationId", *FACTORS)
+    Decay is the own schedule's capped factor. Retail factors are the inherited factor times the
+    schedule's recency (1 where it has none), capped; auction factors multiply the retail ones.
+    ``inherited`` has one row per class (``hierarchy.by_class``)."""
+    j = (
+        outputs.join(capped.select("Schedule", "cap_factor"), "Schedule", "left")
+        .join(recency.select("Schedule", F.col("recency").alias("_recency")), "Schedule", "left")
+        .join(inherited, "ClassificationId", "left")
+        .withColumn("recency", F.coalesce("_recency", F.lit(1.0)))
+    )
+    worst = least_na(F.col("worst_retail") * F.col("recency"), F.lit(p.worst_cap))
+    best = greatest_na(F.lit(p.best_cap), F.col("best_retail") * F.col("recency"))
+    j = j.withColumns({"SFWorstRetail": worst, "SFBestRetail": best})
+    return j.select(
+        F.lit(p.market_code).alias("MarketCode"), "ClassificationId", F.col("cap_factor").alias("ResidSF"), "SFBestRetail", "SFWorstRetail",
+        (F.col("best_auction") * F.col("SFBestRetail")).alias("SFBestAuction"),
+        (F.col("worst_auction") * F.col("SFWorstRetail")).alias("SFWorstAuction"),
+        "recency", "mapped", F.coalesce("has_worst_auction", F.lit(False)).alias("has_worst_auction"),
     )
 
 
 # -- DOM-18 ---------------------------------------------------------------------------------
 def global_row(globs: DataFrame, kinds: dict[str, str], p: Params) -> DataFrame:
-    """One row for the global class: clamped residual mean and the plain econ means.
+    """One row for the global class: clamped decay mean and the plain econ means.
 
     ``globs`` holds (kind, glob) rows; ``kinds`` maps each output factor to its kind. A
     family without a global value gives NULL (the aggregate always returns one row)."""
@@ -132,18 +117,21 @@ def upload_table(share: DataFrame) -> DataFrame:
 
 
 # -- DOM-17 ---------------------------------------------------------------------------------
-def reconciliation_checks(counts: dict[str, DataFrame], unique_of: DataFrame, key: list[str]) -> DataFrame:
+def reconciliation_checks(classes: DataFrame, unique_of: DataFrame, key: list[str]) -> DataFrame:
     """Row-count equalities between result tables plus key uniqueness, as one checks table.
 
-    ``counts`` maps a check name to a pair-producing one-row frame (lhs, rhs)."""
-    frames = [c.select(F.lit(name).alias("check"), "lhs", "rhs") for name, c in counts.items()]
-    dup = unique_of.groupBy(*key).count().agg(
-        F.count(F.lit(1)).alias("lhs"), F.coalesce(F.sum("count"), F.lit(0)).alias("rhs")
+    The class table gives all counts in one aggregate: the decay table against each factor's table
+    (worst auction holds only classes with an inherited auction factor), and the rows of the output
+    map against the classes they name (rows that a class mapped twice loses are the difference)."""
+    n = F.count(F.lit(1))
+    pairs = {
+        "decay_vs_best_retail": (n, n), "decay_vs_worst_retail": (n, n), "decay_vs_best_auction": (n, n),
+        "decay_vs_worst_auction": (n, F.count(F.when(F.col("has_worst_auction"), 1))),
+        "classes_mapped_once": (F.coalesce(F.sum("mapped"), F.lit(0)).cast("long"), n),
+    }
+    rows = F.array(*[F.struct(F.lit(name).alias("check"), a.alias("lhs"), b.alias("rhs")) for name, (a, b) in pairs.items()])
+    counts = classes.agg(rows.alias("r")).select(F.inline("r"))
+    unique = unique_of.groupBy(*key).count().agg(
+        F.lit("unique_" + "_".join(key)).alias("check"), F.count(F.lit(1)).alias("lhs"), F.coalesce(F.sum("count"), F.lit(0)).alias("rhs")
     )
-    frames.append(dup.select(F.lit("unique_" + "_".join(key)).alias("check"), "lhs", "rhs"))
-    out = reduce(lambda a, b: a.unionByName(b), frames)
-    return out.withColumn("ok", F.col("lhs") == F.col("rhs"))
-
-
-def row_count_pair(lhs: DataFrame, rhs: DataFrame) -> DataFrame:
-    return lhs.agg(F.count(F.lit(1)).alias("lhs")).crossJoin(rhs.agg(F.count(F.lit(1)).alias("rhs")))
+    return counts.unionByName(unique).withColumn("ok", F.col("lhs") == F.col("rhs"))

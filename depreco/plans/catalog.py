@@ -1,20 +1,27 @@
 """Registered queries: one Spark DataFrame builder and one DuckDB oracle per operator.
 
-Every builder takes ``(spark, sf_dir)``, derives the logical inputs from the driver's tables
-(``depreco.sources.fixtures``) and returns a lazy DataFrame. Computed doubles are rounded to
-6 places on both sides so results compare exactly across engines.
+Every builder takes ``(spark, sf_dir)`` and derives the logical inputs from the driver's tables
+(``depreco.sources.fixtures``). The queries of a run's later stages execute the run's written stages
+while they are built; what they return is lazy. Computed doubles are rounded to 6 places on both
+sides so results compare exactly across engines.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depreco.config import FIXTURE_PARAMS as P
 from depreco.functions import r6
+from depreco.operators import decay as D
+from depreco.operators import publish as PB
+from depreco.operators import ratios as R
 from depreco.operators.assign import assign_schedules
+from depreco.plans import oracle as O
+from depreco.plans.pipeline import Run
 from depreco.sources import extracts as X
 from depreco.sources import fixtures as FX
 from depreco.sources import maps as M
@@ -22,57 +29,57 @@ from depreco.sources import maps as M
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+NAMES = ["CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "MakeId", "MakeName"]
+CLASS = ["ClassificationId", *NAMES]
+
+#: An as-of date whose month before has a 30th and whose month before that has no such day left over:
+#: the day-preserving step back does not land on a month's end.
+CLAMPED = P.with_(as_of=date(2001, 5, 15))
+
 
-def register(name: str, oracle: str | None = None):
+def register(name: str, oracle: str, as_of: date = P.as_of):
     def deco(fn):
         QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
+        ORACLES[name] = O.query(oracle, as_of)
         return fn
 
     return deco
 
 
-NAMES = ["CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "MakeId", "MakeName"]
-CLASS = ["ClassificationId", *NAMES]
+def _round(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: r6(c) for c in cols})
+
+
+def cost_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.cost_extract(FX.cost_assets(spark, sf_dir), P)
 
 
 def schedules_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.schedule_inputs(FX.in_map(spark, sf_dir), FX.in_borrow_map(spark, sf_dir), P)
 
 
-def schedules_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.schedule_outputs(FX.out_map(spark, sf_dir), FX.out_borrow_map(spark, sf_dir), P)
-
+def stages(spark: SparkSession, sf_dir: str, p=P) -> Run:
+    return Run(FX.load_inputs(spark, sf_dir, p), p)
 
-def cost_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.cost_extract(FX.cost_assets(spark, sf_dir), P)
 
+def full_run(spark: SparkSession, sf_dir: str) -> Run:
+    """A run whose three fact passes are materialized side by side (for class-level stages)."""
+    return stages(spark, sf_dir).prepare()
 
-# ---------------------------------------------------------------------------------------------
-# Sources (SRC-01..13) and their filters
-# ---------------------------------------------------------------------------------------------
-from depreco.plans import oracle as O  # noqa: E402
 
+# -- sources and their filters (SRC-01..13) --------------------------------------------------------
 COST_COLS = ["CustomerAssetId", "CustomerId", "CustomerName", "EquipNo", *NAMES, "ModelId", "ModelName",
              "ModelYear", "AcquisitionDate", "Cost"]
 
 
-@register("cost_assets_filtered", O.with_ctes(f"""
-SELECT {', '.join(COST_COLS)}, round(CurrentABCostUSNA, 6) AS CurrentABCostUSNA, round(CostRatio, 6) AS CostRatio,
-       Age, Flag
-FROM upload_data"""))
+@register("cost_assets_filtered", f"SELECT {', '.join(COST_COLS)}, {O.r6('CurrentABCostUSNA', 'CostRatio')}, Age, Flag FROM costs")
 def q_cost_assets_filtered(spark, sf_dir):
-    c = cost_rows(spark, sf_dir)
-    return c.select(*COST_COLS, r6("CurrentABCostUSNA").alias("CurrentABCostUSNA"), r6("CostRatio").alias("CostRatio"),
-                    "Age", "Flag")
+    return _round(cost_rows(spark, sf_dir).select(*COST_COLS, "CurrentABCostUSNA", "CostRatio", "Age", "Flag"), ["CurrentABCostUSNA", "CostRatio"])
 
 
-@register("ratio_band_flag", O.with_ctes("""
-SELECT CategoryId, ModelYear, Flag, count(*) AS n, round(avg(CostRatio), 6) AS avg_ratio,
-       round(min(CostRatio), 6) AS min_ratio, round(max(CostRatio), 6) AS max_ratio
-FROM upload_data WHERE Age >= 2 AND Age <= 10
-GROUP BY CategoryId, ModelYear, Flag"""))
+@register("ratio_band_flag", f"""
+SELECT CategoryId, ModelYear, Flag, count(*) AS n, r6(avg(CostRatio)) AS avg_ratio, r6(min(CostRatio)) AS min_ratio, r6(max(CostRatio)) AS max_ratio
+FROM costs WHERE Age BETWEEN {P.cost_age_low} AND {P.cost_age_high} GROUP BY CategoryId, ModelYear, Flag""")
 def q_ratio_band_flag(spark, sf_dir):
     c = cost_rows(spark, sf_dir).where(F.col("Age").between(P.cost_age_low, P.cost_age_high))
     return c.groupBy("CategoryId", "ModelYear", "Flag").agg(
@@ -81,131 +88,88 @@ def q_ratio_band_flag(spark, sf_dir):
     )
 
 
-def _retail_out(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(*keys, r6("SPCost").alias("SPCost"), "Units")
+def _sales_sql(keys: str, where: str) -> str:
+    return f"SELECT {O.NAMES}, {keys}, r6(avg(ratio)) AS SPCost, count(*) AS Units FROM sales WHERE {where} GROUP BY {O.NAMES}, {keys}"
 
 
-@register("retail_recession_agg", O.with_ctes(f"""
-SELECT {O.NAMES}, ModelYear, yearAge, round(SPCost, 6) AS SPCost, Units FROM recession_ret"""))
+@register("retail_recession_agg", _sales_sql("ModelYear, yearAge", f"SaleYear = {P.recession_year}"))
 def q_retail_recession(spark, sf_dir):
-    return _retail_out(X.retail_recession(FX.comparables(spark, sf_dir), P), [*NAMES, "ModelYear", "yearAge"])
+    return _round(X.retail_recession(FX.comparables(spark, sf_dir), P), ["SPCost"])
 
 
-@register("retail_current_agg", O.with_ctes(f"""
-SELECT {O.NAMES}, ModelYear, SaleMonth, yearAge, round(SPCost, 6) AS SPCost, Units FROM current_ret"""))
+@register("retail_current_agg", _sales_sql("ModelYear, SaleMonth, yearAge", "in_year"))
 def q_retail_current(spark, sf_dir):
-    return _retail_out(X.retail_current(FX.comparables(spark, sf_dir), P),
-                       [*NAMES, "ModelYear", "SaleMonth", "yearAge"])
+    return _round(X.retail_current(FX.comparables(spark, sf_dir), P), ["SPCost"])
 
 
-@register("retail_best_agg", O.with_ctes(f"""
-SELECT {O.NAMES}, SaleYear, ModelYear, yearAge, round(SPCost, 6) AS SPCost, Units FROM best_ret"""))
+@register("retail_best_agg", _sales_sql("SaleYear, ModelYear, yearAge", f"SaleYear IN ({', '.join(map(str, P.best_years))})"))
 def q_retail_best(spark, sf_dir):
-    return _retail_out(X.retail_best(FX.comparables(spark, sf_dir), P), [*NAMES, "SaleYear", "ModelYear", "yearAge"])
+    return _round(X.retail_best(FX.comparables(spark, sf_dir), P), ["SPCost"])
 
 
-def _auction_out(df: DataFrame) -> DataFrame:
-    return df.select(*CLASS, "PublishYear", "ModelYear", r6("AvgFlv").alias("AvgFlv"), r6("AvgFmv").alias("AvgFmv"))
+def _values_sql(period: str) -> str:
+    return f"SELECT {O.CLASS}, PublishYear, ModelYear, {O.r6('AvgFlv', 'AvgFmv')} FROM value_means WHERE period = '{period}'"
 
 
-AUC_SQL = "SELECT {cls}, PublishYear, ModelYear, round(AvgFlv, 6) AS AvgFlv, round(AvgFmv, 6) AS AvgFmv FROM {t}"
+def _values(df: DataFrame) -> DataFrame:
+    return _round(df.select(*CLASS, "PublishYear", "ModelYear", "AvgFlv", "AvgFmv"), ["AvgFlv", "AvgFmv"])
 
 
-@register("auction_recession_agg", O.with_ctes(AUC_SQL.format(cls=O.CLASS, t="recession_auc")))
+@register("auction_recession_agg", _values_sql("recession"))
 def q_auction_recession(spark, sf_dir):
-    return _auction_out(X.auction_recession(FX.class_values(spark, sf_dir), P))
+    return _values(X.auction_recession(FX.class_values(spark, sf_dir), P))
 
 
-@register("auction_current_agg", O.with_ctes(AUC_SQL.format(cls=O.CLASS, t="current_auc")))
+@register("auction_current_agg", _values_sql("current"))
 def q_auction_current(spark, sf_dir):
-    return _auction_out(X.auction_current(FX.class_values_in_progress(spark, sf_dir, P), P))
+    return _values(X.auction_current(FX.class_values_in_progress(spark, sf_dir, P), P))
 
 
-@register("auction_best_agg", O.with_ctes(AUC_SQL.format(cls=O.CLASS, t="best_auc")))
+@register("auction_best_agg", _values_sql("best"))
 def q_auction_best(spark, sf_dir):
-    return _auction_out(X.auction_best(FX.class_values(spark, sf_dir), P))
+    return _values(X.auction_best(FX.class_values(spark, sf_dir), P))
 
 
-@register("taxonomy_parents", O.with_ctes("SELECT * FROM all_class"))
+@register("taxonomy_parents", "SELECT * FROM taxonomy")
 def q_taxonomy_parents(spark, sf_dir):
     return X.taxonomy_parents(FX.classifications(spark, sf_dir), P)
 
 
-@register("last_month_lookup", O.with_ctes("""
-SELECT MarketCode, ClassificationId, CategoryId, CategoryName, SubcategoryId, SubcategoryName, MakeId, MakeName,
-       round(ResidSf, 6) AS ResidSf, round(RetailEconSfBest, 6) AS RetailEconSfBest,
-       round(RetailEconSfWorst, 6) AS RetailEconSfWorst, round(AuctionEconSfBest, 6) AS AuctionEconSfBest,
-       round(AuctionEconSfWorst, 6) AS AuctionEconSfWorst, AppraisalBookIssueID, AppraisalBookPublishDate
-FROM last_month"""))
+LAST_MONTH = ["ResidSf", "RetailEconSfBest", "RetailEconSfWorst", "AuctionEconSfBest", "AuctionEconSfWorst"]
+
+
+@register("last_month_lookup", f"SELECT * REPLACE ({O.r6(*LAST_MONTH)}) FROM previous")
 def q_last_month(spark, sf_dir):
-    lm = X.last_month(FX.last_month_factors(spark, sf_dir, P), P)
-    dbl = ["ResidSf", "RetailEconSfBest", "RetailEconSfWorst", "AuctionEconSfBest", "AuctionEconSfWorst"]
-    return lm.withColumns({c: r6(c) for c in dbl})
+    return _round(X.last_month(FX.last_month_factors(spark, sf_dir, P), P), LAST_MONTH)
 
 
-@register("schedule_maps", O.with_ctes("SELECT * FROM in_all"))
+@register("schedule_maps", "SELECT * FROM feeds")
 def q_schedule_maps(spark, sf_dir):
     return schedules_in(spark, sf_dir)
 
 
-@register("schedule_outputs", O.with_ctes("SELECT * FROM comb_out"))
+@register("schedule_outputs", "SELECT * FROM readers")
 def q_schedule_outputs(spark, sf_dir):
-    return schedules_out(spark, sf_dir)
-
-
-# ---------------------------------------------------------------------------------------------
-# DOM-01 schedule assignment
-# ---------------------------------------------------------------------------------------------
-ASSIGN_SQL = """
-SELECT Schedule, CustomerAssetId, ModelYear, Age, round(CostRatio, 6) AS CostRatio, Flag FROM (
-  SELECT c.Schedule, u.* FROM upload_data u JOIN cat_level c ON u.CategoryId IS NOT DISTINCT FROM c.CategoryId
-  UNION ALL
-  SELECT s.Schedule, u.* FROM upload_data u JOIN subcat_level s
-    ON u.CategoryId IS NOT DISTINCT FROM s.CategoryId AND u.SubcategoryId IS NOT DISTINCT FROM s.SubcategoryId
-  UNION ALL
-  SELECT m.Schedule, u.* FROM upload_data u JOIN make_level m
-    ON u.CategoryId IS NOT DISTINCT FROM m.CategoryId AND u.SubcategoryId IS NOT DISTINCT FROM m.SubcategoryId
-   AND u.MakeId IS NOT DISTINCT FROM m.MakeId
-) t"""
-
-
-@register("schedule_assignment", O.with_ctes(ASSIGN_SQL))
+    return M.schedule_outputs(FX.out_map(spark, sf_dir), FX.out_borrow_map(spark, sf_dir), P)
+
+
+# -- schedule assignment (DOM-01) --------------------------------------------------------------------
+@register("schedule_assignment", f"SELECT Schedule, CustomerAssetId, ModelYear, Age, {O.r6('CostRatio')}, Flag FROM scheduled_costs")
 def q_schedule_assignment(spark, sf_dir):
-    c = cost_rows(spark, sf_dir)
-    a = assign_schedules(c, schedules_in(spark, sf_dir))
+    a = assign_schedules(cost_rows(spark, sf_dir), schedules_in(spark, sf_dir))
     return a.select("Schedule", "CustomerAssetId", "ModelYear", "Age", r6("CostRatio").alias("CostRatio"), "Flag")
 
 
-# ---------------------------------------------------------------------------------------------
-# DOM-02..04: outlier removal and the decay (residual) factor
-# ---------------------------------------------------------------------------------------------
-from depreco.operators import decay as D  # noqa: E402
-
+# -- outlier removal and the decay factor (DOM-02..04) -------------------------------------------------
 SD_TEST_K = 1.2
 
 
-def _run(spark, sf_dir):
-    from depreco.plans.pipeline import Run
-
-    return Run(FX.load_inputs(spark, sf_dir, P), P)
-
-
-def decay_stage(spark, sf_dir) -> DataFrame:
-    """The per-schedule decay table of a run (persisted rows, checked maps, checkpointed)."""
-    return _run(spark, sf_dir).decay
-
-
-def regression_rows(spark, sf_dir):
-    return D.regression_rows(cost_rows(spark, sf_dir), schedules_in(spark, sf_dir), P)
-
-
-@register("age_sd_filter", O.with_ctes(f"""
-SELECT Schedule, count(*) AS rows_in,
-       count(*) FILTER (WHERE AgeMonths <= mu + {SD_TEST_K} * sd AND AgeMonths >= mu - {SD_TEST_K} * sd) AS rows_kept,
-       round(max(mu), 6) AS mean_months, round(max(sd), 6) AS sd_months
-FROM sd_in GROUP BY Schedule""", O.DECAY))
+@register("age_sd_filter", f"""
+SELECT Schedule, count(*) AS rows_in, count(*) FILTER (abs(AgeMonths - mid) <= {SD_TEST_K} * spread) AS rows_kept,
+       r6(max(mid)) AS mean_months, r6(max(spread)) AS sd_months FROM aged GROUP BY Schedule""")
 def q_age_sd_filter(spark, sf_dir):
-    cells = D.sd_filter_cells(D.age_cells(regression_rows(spark, sf_dir)), SD_TEST_K)
+    slim = D.regression_input(cost_rows(spark, sf_dir), P)
+    cells = D.sd_filter_cells(D.age_cells(slim, schedules_in(spark, sf_dir)), SD_TEST_K)
     return cells.groupBy("Schedule").agg(
         F.first("N_in").alias("rows_in"),
         F.sum(F.when(F.col("keep"), F.col("n")).otherwise(0)).alias("rows_kept"),
@@ -213,182 +177,129 @@ def q_age_sd_filter(spark, sf_dir):
     )
 
 
-@register("cooks_distance", O.with_ctes("""
-SELECT m.Schedule, m.N AS n, round(m.a, 6) AS intercept, round(m.b, 6) AS slope, round(m.s2, 6) AS s2,
-       round(m.mean_cooks, 6) AS mean_cooks, count(*) FILTER (WHERE f.influential) AS n_influential
-FROM cook_mean m JOIN cook_flag f ON m.Schedule = f.Schedule
-GROUP BY m.Schedule, m.N, m.a, m.b, m.s2, m.mean_cooks""", O.DECAY))
+@register("cooks_distance", """
+SELECT Schedule, max(n) AS n, r6(max(intercept)) AS intercept, r6(max(slope)) AS slope, r6(max(s2)) AS s2,
+       r6(max(mean_cook)) AS mean_cooks, count(*) FILTER (far) AS n_influential FROM judged GROUP BY Schedule""")
 def q_cooks_distance(spark, sf_dir):
-    d = decay_stage(spark, sf_dir)
-    return d.where(F.col("rows_in") >= P.min_fit_rows).select(
-        "Schedule", F.col("rows_in").alias("n"), r6("intercept").alias("intercept"), r6("slope").alias("slope"),
-        r6("s2").alias("s2"), r6("mean_cooks").alias("mean_cooks"), "n_influential",
-    )
+    d = stages(spark, sf_dir).decay.where(F.col("rows_in") >= P.min_fit_rows)
+    cols = ["intercept", "slope", "s2", "mean_cooks"]
+    return _round(d.select("Schedule", F.col("rows_in").alias("n"), *cols, "n_influential"), cols)
 
 
-@register("decay_factor", O.with_ctes(
-    "SELECT Schedule, rows_in, n, round(factor, 6) AS factor FROM outregression", O.DECAY))
+@register("decay_factor", f"SELECT Schedule, rows_in, n, {O.r6('factor')} FROM decay")
 def q_decay_factor(spark, sf_dir):
-    d = decay_stage(spark, sf_dir)
-    return d.select("Schedule", "rows_in", "n", r6("factor").alias("factor"))
-
-
-@register("residual_by_class", O.with_ctes(
-    "SELECT MarketCode, ClassificationId, round(ResidSF, 6) AS ResidSF FROM join_out", O.DECAY))
-def q_residual_by_class(spark, sf_dir):
-    r = _run(spark, sf_dir).residual_class
-    return r.withColumn("ResidSF", r6("ResidSF"))
-
-
-# ---------------------------------------------------------------------------------------------
-# DOM-05..18: economic factors, inheritance and publication (stages of the full run)
-# ---------------------------------------------------------------------------------------------
-from depreco.operators import publish as PB  # noqa: E402
-from depreco.operators import ratios as R  # noqa: E402
-from depreco.plans import pipeline as PL  # noqa: E402
-
+    return _round(stages(spark, sf_dir).decay.select("Schedule", "rows_in", "n", "factor"), ["factor"])
 
-def stages(spark, sf_dir) -> PL.Run:
-    return PL.build(FX.load_inputs(spark, sf_dir, P), P)
 
+@register("decay_by_class", f"SELECT '{P.market_code}' AS MarketCode, o.ClassificationId, r6(d.capped) AS ResidSF FROM readers o LEFT JOIN decay d ON d.Schedule = o.Schedule")
+def q_decay_by_class(spark, sf_dir):
+    return _round(stages(spark, sf_dir).decay_class, ["ResidSF"])
 
-def full_run(spark, sf_dir) -> PL.Run:
-    """A run whose three fact passes are materialized concurrently (for class-level stages)."""
-    return stages(spark, sf_dir).prepare()
-
-
-def _round(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: r6(c) for c in cols})
 
-
-@register("weighted_rollup", O.with_ctes("""
-SELECT 'recession' AS period, Schedule, NULL::INTEGER AS SaleYear, yearAge, totalunits, round(avg, 6) AS avg
-FROM comb_recession
-UNION ALL SELECT 'current', Schedule, NULL::INTEGER, yearAge, totalunits, round(avg, 6) FROM comb_current
-UNION ALL SELECT 'best', Schedule, SaleYear, yearAge, totalunits, round(avg, 6) FROM comb_best""", O.PIPELINE))
+# -- economic factors (DOM-05..08) ---------------------------------------------------------------------
+@register("weighted_rollup", "SELECT period, Schedule, SaleYear, yearAge, units AS totalunits, r6(mean) AS avg FROM buckets")
 def q_weighted_rollup(spark, sf_dir):
     cells = stages(spark, sf_dir).retail_cells
+    none = F.lit(None).cast("int").alias("SaleYear")
     parts = [
-        R.rollup(cells, R.RECESSION, ["Schedule", "yearAge"]).withColumns(
-            {"period": F.lit("recession"), "SaleYear": F.lit(None).cast("int")}),
-        R.rollup(cells, R.CURRENT, ["Schedule", "yearAge"]).withColumns(
-            {"period": F.lit("current"), "SaleYear": F.lit(None).cast("int")}),
-        R.rollup(cells, R.BEST, ["Schedule", "SaleYear", "yearAge"]).withColumn("period", F.lit("best")),
+        R.rollup(cells, name, ["Schedule", "SaleYear", "yearAge"] if name == R.BEST else ["Schedule", "yearAge"])
+        .select(F.lit(name).alias("period"), "Schedule", "SaleYear" if name == R.BEST else none, "yearAge", "totalunits", r6("avg").alias("avg"))
+        for name in (R.RECESSION, R.CURRENT, R.BEST)
     ]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return u.select("period", "Schedule", "SaleYear", "yearAge", "totalunits", r6("avg").alias("avg"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@register("worst_retail_ratio", O.with_ctes(
-    "SELECT Schedule, round(factor, 6) AS factor, recession_n, current_n FROM worst_calc", O.PIPELINE))
+@register("worst_retail_ratio", f"SELECT Schedule, {O.r6('factor')}, n AS recession_n, current_n FROM compared WHERE period = 'recession'")
 def q_worst_retail_ratio(spark, sf_dir):
     return _round(stages(spark, sf_dir).worst_retail_ratio, ["factor"])
 
 
-@register("best_retail_ratio", O.with_ctes(
-    "SELECT Schedule, SaleYear, round(factor, 6) AS factor, bestEcon_n, current_n FROM best_calc", O.PIPELINE))
+@register("best_retail_ratio", f"SELECT Schedule, SaleYear, {O.r6('factor')}, n AS best_n, current_n FROM compared WHERE period = 'best'")
 def q_best_retail_ratio(spark, sf_dir):
     return _round(stages(spark, sf_dir).best_retail_ratio, ["factor"])
 
 
-@register("best_year_pick", O.with_ctes(
-    "SELECT Schedule, round(factor, 6) AS factor, bestEcon_n, current_n, sy FROM best_pick", O.PIPELINE))
+@register("best_year_pick", f"SELECT Schedule, {O.r6('factor')}, best_n, current_n, year FROM chosen")
 def q_best_year_pick(spark, sf_dir):
     return _round(stages(spark, sf_dir).best_year_pick, ["factor"])
 
 
-@register("recency_factor", O.with_ctes("""
-SELECT Schedule, n, round(v0, 6) AS recFactor_v0, round(v1, 6) AS recFactor_v1, round(recFactor, 6) AS recFactor
-FROM recent_ret_factor""", O.PIPELINE))
+RECENCY = ["raw", "shrunk", "recency"]
+
+
+@register("recency_factor", f"SELECT Schedule, n, {O.r6(*RECENCY)} FROM recency")
 def q_recency_factor(spark, sf_dir):
-    return _round(stages(spark, sf_dir).recency, ["recFactor_v0", "recFactor_v1", "recFactor"])
+    return _round(stages(spark, sf_dir).recency, RECENCY)
+
 
+@register("recency_factor_clamped", f"SELECT Schedule, n, {O.r6(*RECENCY)} FROM recency", CLAMPED.as_of)
+def q_recency_factor_clamped(spark, sf_dir):
+    return _round(stages(spark, sf_dir, CLAMPED).recency, RECENCY)
 
-@register("schedule_list_outer", O.with_ctes(
-    "SELECT Schedule, round(factor, 6) AS factor FROM worst_out", O.PIPELINE))
+
+@register("schedule_list_outer", f"SELECT Schedule, {O.r6('factor')} FROM families WHERE kind = 'worst_retail'")
 def q_schedule_list_outer(spark, sf_dir):
     return _round(full_run(spark, sf_dir).worst_out, ["factor"])
 
 
-@register("recency_by_class", O.with_ctes(
-    "SELECT ClassificationId, round(recFactor, 6) AS recFactor FROM ret_recent_out", O.PIPELINE))
+@register("recency_by_class", f"SELECT ClassificationId, {O.r6('recency')} FROM class_recency")
 def q_recency_by_class(spark, sf_dir):
-    return _round(stages(spark, sf_dir).recency_class, ["recFactor"])
+    return _round(stages(spark, sf_dir).recency_class, ["recency"])
+
+
+AUCTION = ["mean_flv", "mean_fmv", "ratio"]
+
+
+@register("auction_ratio", f"SELECT period, Schedule, PublishYear, {O.r6(*AUCTION)} FROM auction")
+def q_auction_ratio(spark, sf_dir):
+    return _round(stages(spark, sf_dir).auction_means, AUCTION)
 
 
-@register("global_value", O.with_ctes("""
-SELECT round((SELECT gval FROM resid_glob), 6) AS ResidSF, round((SELECT gval FROM best_glob), 6) AS SFBestRetail,
-       round((SELECT gval FROM worst_glob), 6) AS SFWorstRetail,
-       round((SELECT gval FROM best_auc_glob), 6) AS SFBestAuction,
-       round((SELECT gval FROM worst_auc_glob), 6) AS SFWorstAuction""", O.PIPELINE))
+# -- inheritance and publication (DOM-09..18) -------------------------------------------------------------
+@register("global_value", f"SELECT kind, r6(value) AS glob FROM overall")
 def q_global_value(spark, sf_dir):
-    s = full_run(spark, sf_dir)
-    g = s.globals
-    return g.agg(*[r6(F.max(F.when(F.col("kind") == s.KINDS[n], F.col("glob")))).alias(n) for n in PB.FACTORS])
+    return _round(full_run(spark, sf_dir).globals, ["glob"])
 
 
-@register("inherit_factor", O.with_ctes(
-    "SELECT ClassificationId, round(factor, 6) AS factor, resolved_from FROM worst_inh", O.PIPELINE))
+@register("inherit_factor", f"SELECT ClassificationId, {O.r6('factor')}, resolved_from FROM resolved WHERE kind = 'worst_retail'")
 def q_inherit_factor(spark, sf_dir):
     return _round(full_run(spark, sf_dir).worst_class.select("ClassificationId", "factor", "resolved_from"), ["factor"])
 
 
-@register("retail_worst", O.with_ctes(
-    "SELECT ClassificationId, round(SFWorstRetail, 6) AS SFWorstRetail FROM we_outvf", O.PIPELINE))
+@register("retail_worst", "SELECT ClassificationId, r6(worst) AS SFWorstRetail FROM retail")
 def q_retail_worst(spark, sf_dir):
     return _round(full_run(spark, sf_dir).worst_retail, ["SFWorstRetail"])
 
 
-@register("retail_best", O.with_ctes(
-    "SELECT ClassificationId, round(SFBestRetail, 6) AS SFBestRetail FROM be_outvf", O.PIPELINE))
+@register("retail_best", "SELECT ClassificationId, r6(best) AS SFBestRetail FROM retail")
 def q_retail_best(spark, sf_dir):
-    return _round(stages(spark, sf_dir).best_retail, ["SFBestRetail"])
-
-
-@register("auction_ratio", O.with_ctes("""
-SELECT 'recession' AS period, Schedule, PublishYear, round(avg_auc, 6) AS avg_auc, round(factoret, 6) AS factoret,
-       round(r, 6) AS ratio FROM comb_recession_auc
-UNION ALL SELECT 'best', Schedule, PublishYear, round(avg_auc, 6), round(factoret, 6), round(r, 6) FROM comb_best_auc
-UNION ALL SELECT 'current', Schedule, PublishYear, round(avg_auc, 6), round(factoret, 6), round(r, 6)
-FROM comb_current_auc""", O.PIPELINE))
-def q_auction_ratio(spark, sf_dir):
-    s = stages(spark, sf_dir)
-    parts = [
-        d.select(F.lit(name).alias("period"), "Schedule", "PublishYear", r6("avg_auc").alias("avg_auc"),
-                 r6("factoret").alias("factoret"), r6(f"{name}_r").alias("ratio"))
-        for name, d in (("recession", s.auction_recession), ("best", s.auction_best_years),
-                        ("current", s.auction_current))
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _round(full_run(spark, sf_dir).best_retail, ["SFBestRetail"])
 
 
-@register("auction_worst", O.with_ctes(
-    "SELECT ClassificationId, round(SFWorstAuction, 6) AS SFWorstAuction FROM we_outvf_auc", O.PIPELINE))
+@register("auction_worst", f"SELECT ClassificationId, {O.r6('SFWorstAuction')} FROM sheet WHERE auctioned")
 def q_auction_worst(spark, sf_dir):
     return _round(full_run(spark, sf_dir).worst_auction, ["SFWorstAuction"])
 
 
-@register("auction_best", O.with_ctes(
-    "SELECT ClassificationId, round(SFBestAuction, 6) AS SFBestAuction FROM be_outvf_auc", O.PIPELINE))
+@register("auction_best", f"SELECT ClassificationId, {O.r6('SFBestAuction')} FROM sheet")
 def q_auction_best(spark, sf_dir):
-    return _round(stages(spark, sf_dir).best_auction, ["SFBestAuction"])
+    return _round(full_run(spark, sf_dir).best_auction, ["SFBestAuction"])
 
 
-FACTOR_SQL = ", ".join(f"round({f}, 6) AS {f}" for f in PB.FACTORS)
+FACTOR_SQL = f"SELECT MarketCode, ClassificationId, {O.r6(*PB.FACTORS)}"
 
 
-@register("factor_assembly", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM resid_tb", O.PIPELINE))
+@register("factor_assembly", f"{FACTOR_SQL} FROM sheet")
 def q_factor_assembly(spark, sf_dir):
     return _round(full_run(spark, sf_dir).assembled, PB.FACTORS)
 
 
-@register("global_row", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM global_row", O.PIPELINE))
+@register("global_row", f"{FACTOR_SQL} FROM top")
 def q_global_row(spark, sf_dir):
     return _round(full_run(spark, sf_dir).global_row, PB.FACTORS)
 
 
-@register("gap_enforced", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM resid_tb_glob",
-                                      O.PIPELINE))
+@register("gap_enforced", f"{FACTOR_SQL} FROM spread")
 def q_gap_enforced(spark, sf_dir):
     return _round(full_run(spark, sf_dir).gapped, PB.FACTORS)
 
@@ -396,28 +307,32 @@ def q_gap_enforced(spark, sf_dir):
 LAST_COLS = ["Residlm", "RetailEconSfBest", "RetailEconSfWorst", "AuctionEconSfBest", "AuctionEconSfWorst"]
 
 
-@register("mom_limited", O.with_ctes(
-    f"SELECT MarketCode, ClassificationId, {FACTOR_SQL}, "
-    + ", ".join(f"round({c}, 6) AS {c}" for c in LAST_COLS) + " FROM share_page", O.PIPELINE))
+@register("mom_limited", f"{FACTOR_SQL}, {O.r6(*LAST_COLS)} FROM published")
 def q_mom_limited(spark, sf_dir):
-    return _round(full_run(spark, sf_dir).limited.select("MarketCode", "ClassificationId", *PB.FACTORS, *LAST_COLS),
-                  PB.FACTORS + LAST_COLS)
+    s = full_run(spark, sf_dir).limited
+    return _round(s.select("MarketCode", "ClassificationId", *PB.FACTORS, *LAST_COLS), PB.FACTORS + LAST_COLS)
 
 
-@register("mom_delta", O.with_ctes(
-    "SELECT MarketCode, ClassificationId, " + ", ".join(f"round({c}, 6) AS {c}" for c in PB.DELTAS)
-    + " FROM share_page", O.PIPELINE))
+@register("mom_delta", """
+SELECT MarketCode, ClassificationId, r6(ResidSF / nullif(Residlm, 0) - 1) AS MoMResid, r6(SFBestRetail - RetailEconSfBest) AS MoMBestRet,
+       r6(SFWorstRetail - RetailEconSfWorst) AS MoMWorstRet, r6(SFBestAuction - AuctionEconSfBest) AS MoMBestAuc,
+       r6(SFWorstAuction - AuctionEconSfWorst) AS MoMWorstAuc FROM published""")
 def q_mom_delta(spark, sf_dir):
     s = full_run(spark, sf_dir).share_page
     return _round(s.select("MarketCode", "ClassificationId", *PB.DELTAS), list(PB.DELTAS))
 
 
-@register("reconciliation_checks", O.with_ctes("SELECT * FROM checks", O.PIPELINE))
+@register("reconciliation_checks", """
+SELECT *, lhs = rhs AS ok FROM (
+  SELECT unnest(['decay_vs_best_retail', 'decay_vs_worst_retail', 'decay_vs_best_auction']) AS "check",
+         (SELECT count(*) FROM readers) AS lhs, (SELECT count(*) FROM retail) AS rhs
+  UNION ALL SELECT 'decay_vs_worst_auction', (SELECT count(*) FROM readers), (SELECT count(*) FROM sheet WHERE auctioned)
+  UNION ALL SELECT 'classes_mapped_once', (SELECT CAST(sum(mapped) AS BIGINT) FROM readers), (SELECT count(*) FROM readers)
+  UNION ALL SELECT 'unique_MarketCode_ClassificationId', (SELECT count(DISTINCT (MarketCode, ClassificationId)) FROM published), (SELECT count(*) FROM published)) c""")
 def q_reconciliation_checks(spark, sf_dir):
     return full_run(spark, sf_dir).checks
 
 
-@register("published_factors", O.with_ctes(f"SELECT MarketCode, ClassificationId, {FACTOR_SQL} FROM share_page",
-                                           O.PIPELINE))
+@register("published_factors", f"{FACTOR_SQL} FROM published")
 def q_published_factors(spark, sf_dir):
     return _round(full_run(spark, sf_dir).upload, PB.FACTORS)

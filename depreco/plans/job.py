@@ -1,68 +1,94 @@
-"""The monthly job: read inputs, compute, write the upload file, the review table and the
-history partition, and print the reconciliation checks.
+"""The monthly job: read inputs, compute, write the upload file, the review table, the taxonomy
+listing and the history partition, and print the reconciliation checks.
 
     python -m depreco.plans.job --as-of 2020-06-23 --inputs inputs.json --out /data/factors
     python -m depreco.plans.job --fixture-dir /root/testdata/sf0.01 --out /tmp/factors
 
-``inputs.json`` maps each logical relation (see ``depreco.sources.readers.NAMES``) to a path;
-optional ``"formats"`` maps a relation to ``csv``/``parquet``. With ``--history`` the last
-month's factors are read from the history table instead of ``last_month``.
+``inputs.json`` maps each logical relation (see ``depreco.sources.readers.NAMES``) to a path or,
+with ``"formats": {"<relation>": "table"}``, to a named table; other formats are ``csv`` and
+``parquet``. With ``--history`` the last month's factors are read from the history table instead of
+``last_month``. ``--settings`` names a JSON file with any fields of ``depreco.config.Params``
+(country, caps, thresholds, lists); ``--written-best-years`` takes the candidate best years from
+the written rule instead of the fixed list.
 """
 
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import json
-from datetime import date
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
-
-from depreco.config import FIXTURE_PARAMS, Params
+from depreco.config import FIXTURE_PARAMS, Params, written_best_years
 from depreco.plans.pipeline import Run
 from depreco.session import get_spark
 from depreco.sources import fixtures as FX
 from depreco.sources.readers import TableInputs
-from depreco.sources.sinks import write_review, write_upload
+from depreco.sources.sinks import UPLOAD_PREFIX, write_review, write_taxonomy, write_upload
 from depreco.streaming import history
 
 
-def run_job(spark, inputs, p: Params, out: str, history_path: str | None = None) -> dict:
-    if history_path:
-        try:
-            prior = history.read_history(spark, history_path)
-            prior.schema  # resolves the path; a first run has no history yet
-            inputs.last_month = prior
-        except AnalysisException:
-            pass
-    run = Run(inputs, p).prepare()
-    paths = {"upload": write_upload(run.upload, out, p.as_of), "review": write_review(run.share_page, out, p.as_of)}
-    if history_path:
-        history.append_month(history.to_history(run.upload, run.taxonomy, p.effective_date), history_path)
-        paths["history"] = history_path
-    run.checks.show(truncate=False)  # five rows
+def settings(base: Params, given: dict, as_of: date | None = None, written_years: bool = False) -> Params:
+    """``base`` with the given fields; unknown names are an error. Lists become tuples."""
+    known = {f.name for f in dataclasses.fields(Params)}
+    if unknown := sorted(set(given) - known):
+        raise ValueError(f"unknown settings: {unknown}")
+    values = {k: tuple(v) if isinstance(v, list) else date.fromisoformat(v) if k == "as_of" else v for k, v in given.items()}
+    p = base.with_(**values)
+    if as_of:
+        p = p.with_(as_of=as_of)
+    return p.with_(best_years=written_best_years(p.as_of)) if written_years else p
+
+
+def run_job(spark, inputs, p: Params, out: str, history_path: str | None = None, prefix: str = UPLOAD_PREFIX, stamp: datetime | None = None) -> dict:
+    """Paths of what was written. A history folder that does not exist yet is a first run; any other
+    trouble with reading it is an error."""
+    stamp = stamp or datetime.combine(p.as_of, datetime.now().time())
+    if history_path and history.exists(spark, history_path):
+        inputs.last_month = history.read_history(spark, history_path)
+    run = Run(inputs, p)
+    try:
+        run.prepare()
+        paths = {
+            "upload": write_upload(run.upload, out, stamp, prefix),
+            "review": write_review(run.share_page, out, stamp),
+            "taxonomy": write_taxonomy(run.taxonomy, out, stamp),
+        }
+        if history_path:
+            history.append_month(history.to_history(run.upload, run.taxonomy, p.effective_date), history_path)
+            paths["history"] = history_path
+        run.checks.show(truncate=False)  # six rows
+    finally:
+        run.close()
     return paths
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--as-of", type=date.fromisoformat)
-    ap.add_argument("--inputs", help="JSON file: relation name -> path (and optional formats)")
+    ap.add_argument("--inputs", help="JSON file: relation name -> path or table (and optional formats)")
     ap.add_argument("--fixture-dir", help="derive the inputs from the driver's TPC-H tables instead")
     ap.add_argument("--out", required=True)
     ap.add_argument("--history", help="published-factor history table (read last month, append this month)")
+    ap.add_argument("--settings", help="JSON file with fields of Params")
+    ap.add_argument("--written-best-years", action="store_true")
+    ap.add_argument("--upload-prefix", default=UPLOAD_PREFIX)
     a = ap.parse_args(argv)
+    given = {}
+    if a.settings:
+        with open(a.settings) as f:
+            given = json.load(f)
+    p = settings(FIXTURE_PARAMS if a.fixture_dir else Params(), given, a.as_of, a.written_best_years)
     spark = get_spark()
     if a.fixture_dir:
-        p = FIXTURE_PARAMS if a.as_of is None else FIXTURE_PARAMS.with_(as_of=a.as_of)
         inputs = FX.load_inputs(spark, a.fixture_dir, p)
     else:
         if not a.inputs:
             ap.error("--inputs or --fixture-dir is required")
-        cfg = json.load(open(a.inputs))
-        formats = cfg.pop("formats", {})
-        p = Params() if a.as_of is None else Params(as_of=a.as_of)
-        inputs = TableInputs(spark, cfg, formats)
-    for k, v in run_job(spark, inputs, p, a.out, a.history).items():
+        with open(a.inputs) as f:
+            cfg = json.load(f)
+        inputs = TableInputs(spark, cfg, cfg.pop("formats", {}))
+    for k, v in run_job(spark, inputs, p, a.out, a.history, a.upload_prefix).items():
         print(f"{k}: {v}")
 
 

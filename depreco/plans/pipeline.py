@@ -1,23 +1,26 @@
-"""The monthly factor run as a set of lazily built DataFrame stages.
+"""The monthly factor run as a set of DataFrame stages, each built on first access.
 
-Shape of the plan (per fact, one scan each):
-  cost assets  -> filter -> explode levels -> broadcast map join -> (schedule, age) cells -> fit
-               -> second pass: broadcast cell fit -> influential filter -> through-origin sums
-  comparables  -> filter -> period tags -> explode levels -> broadcast map join -> retail cells
+  cost assets  -> filter -> class x age cells (one aggregate) -> schedules -> fit
+               -> rows beyond their class cell's thresholds -> decay factor
+  comparables  -> filter -> class cells (one aggregate) -> periods and schedules -> retail cells
                -> worst / best-per-year / recency (all from the cells)
-  class values -> filter -> extract means -> broadcast map join -> auction means
-Everything after the cells is schedule- or class-grain. Shared small stages (maps, taxonomy,
-per-schedule fits, retail cells, auction means, class factors) are reliably checkpointed into
-``spark.checkpoint.dir``: that keeps each downstream plan short, lets every branch reuse one
-materialization and survives executor loss. A stage is only built when something asks for it.
-No driver-side loop and no collect.
+  class values -> filter -> class means of both published periods (one aggregate) -> auction means
+  publication  -> inheritance of all factor families at once -> one row per class -> rules
+
+Facts are aggregated to the taxonomy before they meet the schedule maps; everything after that is
+class- or schedule-grain. Stages that several others read (maps, taxonomy, cells, fits, means, class
+factors, the class table) are written to the run's own folder under ``spark.checkpoint.dir``
+(:class:`depreco.session.RunTables`). No join carries a broadcast hint but the five-row global values:
+the planner and adaptive execution choose from the written tables' real sizes, at any scale.
+
+Access to a stage runs the jobs of the written stages below it.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,101 +29,88 @@ from depreco.operators import decay as D
 from depreco.operators import hierarchy as H
 from depreco.operators import publish as PB
 from depreco.operators import ratios as R
-from depreco.operators.assign import MAX_BROADCAST_ROWS, capped_row_counts
-from depreco.session import cut_lineage
+from depreco.session import RunTables
 from depreco.sources import extracts as X
 from depreco.sources import maps as M
-from depreco.sources.fixtures import Inputs
 
 
 class Run:
-    """All stages of one run; each attribute is a DataFrame built on first access."""
+    """All stages of one run; ``close`` removes the tables it wrote."""
 
-    def __init__(self, inputs: Inputs, p: Params):
-        self.inputs, self.p = inputs, p
+    #: output column -> factor family
+    KINDS = {
+        "ResidSF": "decay",
+        "SFWorstRetail": "worst_retail",
+        "SFBestRetail": "best_retail",
+        "SFWorstAuction": "worst_auction",
+        "SFBestAuction": "best_auction",
+    }
 
-    def prepare(self) -> "Run":
-        """Materialize the three independent fact passes concurrently.
-
-        The decay fit, the retail cells and the auction means read different facts and share
-        only the (already resolved) maps, so their jobs are submitted from three driver threads
-        and Spark's scheduler runs them side by side instead of one after another."""
-        from concurrent.futures import ThreadPoolExecutor
-
-        _ = self._maps
-        with ThreadPoolExecutor(max_workers=3) as pool:
-            futures = [pool.submit(lambda name=n: getattr(self, name))
-                       for n in ("decay", "retail_cells", "auction_means")]
-            for f in futures:
-                f.result()
-        return self
+    def __init__(self, inputs, p: Params):
+        self.inputs, self.p = inputs, p
 
-    # -- maps and taxonomy (size-checked, broadcast) ----------------------------------------
     @cached_property
-    def _maps(self) -> list[DataFrame]:
-        """Schedule inputs, schedule outputs and the taxonomy, size-checked in one job.
+    def _tables(self) -> RunTables:
+        return RunTables(self.inputs.classifications.sparkSession)
 
-        Within the bound they are broadcast, and so is every schedule- or class-grain stage
-        derived from them (``_small``): those hold at most one row per schedule or class."""
-        i, p = self.inputs, self.p
-        maps = [
-            M.schedule_inputs(i.in_map, i.in_borrow_map, p),
-            M.schedule_outputs(i.out_map, i.out_borrow_map, p),
-            X.taxonomy_parents(i.classifications, p),
-        ]
-        counts = capped_row_counts(maps, MAX_BROADCAST_ROWS)
-        self._bounded = all(n <= MAX_BROADCAST_ROWS for n in counts)
-        # unhinted copies for joins where the map is the preserved (outer) side
-        self._maps_plain = maps if self._bounded else [cut_lineage(d) for d in maps]
-        return [F.broadcast(d) if n <= MAX_BROADCAST_ROWS else m for d, n, m in zip(maps, counts, self._maps_plain)]
+    def close(self) -> None:
+        self._tables.close()
 
-    @cached_property
-    def outputs_plain(self) -> DataFrame:
-        """The output map without a broadcast hint (it is the preserved side of outer joins)."""
-        _ = self._maps
-        return self._maps_plain[1]
-
-    def _small(self, df: DataFrame) -> DataFrame:
-        """Broadcast hint for a class- or schedule-grain stage when the maps are bounded."""
-        _ = self._maps
-        return F.broadcast(df) if self._bounded else df
+    def prepare(self) -> "Run":
+        """Run the three independent fact passes side by side.
+
+        They read different facts and share only the maps and input relations, which are resolved
+        first. The threads inherit the caller's job group, scheduler pool and local properties."""
+        _ = self.schedules, self.inputs.cost_assets, self.inputs.comparables, self.inputs.class_values, self.inputs.class_values_in_progress
+        failed: list[BaseException] = []
+
+        def build(name: str) -> None:
+            try:
+                getattr(self, name)
+            except BaseException as e:  # handed to the caller below
+                failed.append(e)
+
+        threads = [InheritableThread(target=build, args=(n,)) for n in ("decay", "retail_cells", "auction_means")]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        if failed:
+            raise failed[0]
+        return self
 
+    # -- maps and taxonomy --------------------------------------------------------------------
     @cached_property
     def schedules(self) -> DataFrame:
-        return self._maps[0]
+        return self._tables.keep(M.schedule_inputs(self.inputs.in_map, self.inputs.in_borrow_map, self.p))
 
     @cached_property
     def outputs(self) -> DataFrame:
-        return self._maps[1]
+        return self._tables.keep(M.schedule_outputs(self.inputs.out_map, self.inputs.out_borrow_map, self.p))
 
     @cached_property
     def taxonomy(self) -> DataFrame:
-        return self._maps[2]
+        return self._tables.keep(X.taxonomy_parents(self.inputs.classifications, self.p))
 
-    # -- residual factor ----------------------------------------------------------------------
+    # -- decay ----------------------------------------------------------------------------------
     @cached_property
     def decay(self) -> DataFrame:
-        cost = X.cost_extract(self.inputs.cost_assets, self.p)
-        # The slim filtered rows feed both passes of the fit: keep them (memory, spill to disk)
-        # before the schedule explode (up to 3x smaller), release them once the per-schedule
-        # result is checkpointed. Re-exploding against the broadcast map is a narrow step.
-        slim = D.regression_input(cost, self.p).persist(StorageLevel.MEMORY_AND_DISK)
-        out = cut_lineage(D.decay_fit(D.assign_rows(slim, self.schedules), self.p))
-        slim.unpersist()
-        return out
+        slim = D.regression_input(X.cost_extract(self.inputs.cost_assets, self.p), self.p)
+        keep = self._tables.keep
+        return keep(D.decay_fit(slim, self.schedules, self.p, keep))
 
     @cached_property
     def schedule_list(self) -> DataFrame:
         return self.decay.select("Schedule")
 
     @cached_property
-    def residual_class(self) -> DataFrame:
-        return D.residual_by_class(self._small(D.capped_residual(self.decay, self.p)), self.outputs_plain, self.p)
+    def decay_class(self) -> DataFrame:
+        return D.decay_by_class(D.capped_decay(self.decay, self.p), self.outputs, self.p)
 
     # -- retail ---------------------------------------------------------------------------------
     @cached_property
     def retail_cells(self) -> DataFrame:
-        return cut_lineage(R.retail_cells(self.inputs.comparables, self.schedules, self.p))
+        return self._tables.keep(R.retail_cells(self.inputs.comparables, self.schedules, self.p))
 
     @cached_property
     def worst_retail_ratio(self) -> DataFrame:
@@ -132,7 +122,7 @@ class Run:
 
     @cached_property
     def best_year_pick(self) -> DataFrame:
-        return R.best_year_pick(self.best_retail_ratio)
+        return self._tables.keep(R.best_year_pick(self.best_retail_ratio))
 
     @cached_property
     def recency(self) -> DataFrame:
@@ -140,7 +130,7 @@ class Run:
 
     @cached_property
     def recency_class(self) -> DataFrame:
-        return R.recency_by_class(self._small(self.recency), self.outputs_plain)
+        return R.recency_by_class(self.recency, self.outputs)
 
     @cached_property
     def worst_out(self) -> DataFrame:
@@ -150,117 +140,82 @@ class Run:
     def best_out(self) -> DataFrame:
         return R.on_schedule_list(self.best_year_pick, self.schedule_list)
 
-    # -- inheritance, all factor families in one pass ----------------------------------------
-    KINDS = {
-        "ResidSF": "resid",
-        "SFWorstRetail": "worst_retail",
-        "SFBestRetail": "best_retail",
-        "SFWorstAuction": "worst_auction",
-        "SFBestAuction": "best_auction",
-    }
+    # -- auction --------------------------------------------------------------------------------
+    @cached_property
+    def auction_means(self) -> DataFrame:
+        """Per (period, Schedule, PublishYear) means: one pass over the published values, one over
+        those in progress."""
+        i, p = self.inputs, self.p
+        current = X.auction_current(i.class_values_in_progress, p).withColumn("period", F.lit("current"))
+        return self._tables.keep(R.auction_means(X.auction_published(i.class_values, p).unionByName(current), self.schedules))
+
+    def auction(self, period: str) -> DataFrame:
+        return self.auction_means.where(F.col("period") == period).drop("period")
+
+    @cached_property
+    def worst_auction_out(self) -> DataFrame:
+        return R.on_schedule_list(R.worst_auction_ratio(self.auction("recession"), self.auction("current"), self.p), self.schedule_list)
 
+    @cached_property
+    def best_auction_out(self) -> DataFrame:
+        per_year = R.best_auction_ratio(self.auction("best"), self.auction("current"), self.p)
+        return R.on_schedule_list(R.best_auction_for_pick(per_year, self.best_year_pick), self.schedule_list)
+
+    # -- inheritance, all factor families in one pass ----------------------------------------
     @cached_property
     def class_start(self) -> DataFrame:
-        fams = {
-            "resid": self.decay.select("Schedule", "factor"),
+        families = {
+            "decay": self.decay.select("Schedule", "factor"),
             "worst_retail": self.worst_out,
             "best_retail": self.best_out,
             "worst_auction": self.worst_auction_out,
             "best_auction": self.best_auction_out,
         }
-        parts = [df.select(F.lit(k).alias("kind"), "Schedule", "factor") for k, df in fams.items()]
-        long = parts[0]
-        for d in parts[1:]:
-            long = long.unionByName(d)
-        return cut_lineage(H.class_factors(long, self.outputs, self.taxonomy))
+        long = None
+        for kind, df in families.items():
+            part = df.select(F.lit(kind).alias("kind"), "Schedule", "factor")
+            long = part if long is None else long.unionByName(part)
+        return self._tables.keep(H.class_factors(long, self.outputs, self.taxonomy))
 
     @cached_property
     def inherited(self) -> DataFrame:
         return H.inherit_from(self.class_start, self.p)
 
-    def _class(self, kind: str) -> DataFrame:
-        return self.inherited.where(F.col("kind") == kind).drop("kind")
-
     @cached_property
     def worst_class(self) -> DataFrame:
-        return self._class("worst_retail")
-
-    @cached_property
-    def best_class(self) -> DataFrame:
-        return self._class("best_retail")
-
-    @cached_property
-    def worst_retail(self) -> DataFrame:
-        return PB.retail_worst(self._small(self.worst_class), self.recency_class, self.p)
-
-    @cached_property
-    def best_retail(self) -> DataFrame:
-        return PB.retail_best(self._small(self.best_class), self.recency_class, self.p)
-
-    # -- auction --------------------------------------------------------------------------------
-    @cached_property
-    def auction_means(self) -> DataFrame:
-        """Per (period, Schedule, PublishYear) means, one materialization for three periods."""
-        i, p = self.inputs, self.p
-        parts = [
-            ("recession", X.auction_recession(i.class_values, p)),
-            ("best", X.auction_best(i.class_values, p)),
-            ("current", X.auction_current(i.class_values_in_progress, p)),
-        ]
-        frames = [
-            R.auction_means(ext, self.schedules, name)
-            .withColumnRenamed(f"{name}_r", "r")
-            .withColumn("period", F.lit(name))
-            for name, ext in parts
-        ]
-        return cut_lineage(frames[0].unionByName(frames[1]).unionByName(frames[2]))
-
-    def _auction(self, name: str) -> DataFrame:
-        a = self.auction_means.where(F.col("period") == name).drop("period")
-        return a.withColumnRenamed("r", f"{name}_r")
-
-    @cached_property
-    def auction_recession(self) -> DataFrame:
-        return self._auction("recession")
+        return self.inherited.where(F.col("kind") == "worst_retail").drop("kind")
 
     @cached_property
-    def auction_best_years(self) -> DataFrame:
-        return self._auction("best")
+    def globals(self) -> DataFrame:
+        """(kind, glob) for every factor family."""
+        return H.global_value(self.class_start, self.p)
 
+    # -- publication ----------------------------------------------------------------------------
     @cached_property
-    def auction_current(self) -> DataFrame:
-        return self._auction("current")
+    def classes(self) -> DataFrame:
+        """One row per output class with its five factors, written once; the rest is arithmetic on it."""
+        wide = H.by_class(self.inherited, {k: k for k in self.KINDS.values() if k != "decay"})
+        return self._tables.keep(PB.class_table(self.outputs, D.capped_decay(self.decay, self.p), self.recency, wide, self.p))
 
     @cached_property
-    def worst_auction_out(self) -> DataFrame:
-        return R.on_schedule_list(
-            R.worst_auction_ratio(self.auction_recession, self.auction_current, self.p), self.schedule_list
-        )
+    def worst_retail(self) -> DataFrame:
+        return self.classes.select("ClassificationId", "SFWorstRetail")
 
     @cached_property
-    def best_auction_out(self) -> DataFrame:
-        per_year = R.best_auction_ratio(self.auction_best_years, self.auction_current, self.p)
-        return R.on_schedule_list(R.best_auction_for_pick(per_year, self.best_year_pick), self.schedule_list)
+    def best_retail(self) -> DataFrame:
+        return self.classes.select("ClassificationId", "SFBestRetail")
 
     @cached_property
     def worst_auction(self) -> DataFrame:
-        return PB.auction_worst(self._class("worst_auction"), self._small(self.worst_retail))
+        return self.classes.where("has_worst_auction").select("ClassificationId", "SFWorstAuction")
 
     @cached_property
     def best_auction(self) -> DataFrame:
-        return PB.auction_best(self._small(self._class("best_auction")), self.best_retail)
+        return self.classes.select("ClassificationId", "SFBestAuction")
 
-    # -- publication ----------------------------------------------------------------------------
     @cached_property
     def assembled(self) -> DataFrame:
-        s = self._small
-        return PB.assemble(self.residual_class, s(self.best_retail), s(self.worst_retail), s(self.best_auction),
-                           s(self.worst_auction))
-
-    @cached_property
-    def globals(self) -> DataFrame:
-        """(kind, glob) for every factor family."""
-        return H.global_value(self.class_start, self.p)
+        return self.classes.select("MarketCode", "ClassificationId", *PB.FACTORS)
 
     @cached_property
     def global_row(self) -> DataFrame:
@@ -276,7 +231,7 @@ class Run:
 
     @cached_property
     def limited(self) -> DataFrame:
-        return PB.mom_limit(PB.attach_last_month(self.gapped, self._small(self.last_month)), self.p)
+        return PB.mom_limit(PB.attach_last_month(self.gapped, self.last_month), self.p)
 
     @cached_property
     def share_page(self) -> DataFrame:
@@ -288,22 +243,13 @@ class Run:
 
     @cached_property
     def checks(self) -> DataFrame:
-        return PB.reconciliation_checks(
-            {
-                "resid_vs_best_retail": PB.row_count_pair(self.residual_class, self.best_retail),
-                "resid_vs_worst_retail": PB.row_count_pair(self.residual_class, self.worst_retail),
-                "resid_vs_best_auction": PB.row_count_pair(self.residual_class, self.best_auction),
-                "resid_vs_worst_auction": PB.row_count_pair(self.residual_class, self.worst_auction),
-            },
-            self.upload,
-            ["MarketCode", "ClassificationId"],
-        )
-
-
-def build(inputs: Inputs, p: Params) -> Run:
+        return PB.reconciliation_checks(self.classes, self.upload, ["MarketCode", "ClassificationId"])
+
+
+def build(inputs, p: Params) -> Run:
     return Run(inputs, p)
 
 
-def run(inputs: Inputs, p: Params) -> DataFrame:
+def run(inputs, p: Params) -> DataFrame:
     """The 7-column upload table."""
     return Run(inputs, p).upload

@@ -19,6 +19,9 @@ NAME_KEYS = ["CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "
 
 
 def _ieq(c: str, value: str) -> Column:
+    """Case-insensitive equality; a one-letter flag as a plain list, which reaches the scan."""
+    if len(value) == 1:
+        return F.col(c).isin(value.lower(), value.upper())
     return F.lower(F.col(c)) == value.lower()
 
 
@@ -159,6 +162,29 @@ def auction_best(class_values: DataFrame, p: Params) -> DataFrame:
     return _auction_agg(rows, [*CLASS_KEYS, "PublishYear", "ModelYear"])
 
 
+def auction_published(class_values: DataFrame, p: Params) -> DataFrame:
+    """The recession and best-year extracts from one scan: (period, class, PublishYear, ModelYear, means).
+
+    Each period's mean is a conditional aggregate over the same groups; groups are split by period
+    after the aggregation."""
+    start, end = p.recession_publish_window
+    recession = F.col("AppraisalBookPublishDate").between(F.lit(start), F.lit(end))
+    best = F.col("PublishYear").between(min(p.best_years), max(p.best_years))
+    rows = auction_rows(class_values.where(recession | best), p)
+
+    def means(name: str, inside: Column):
+        return F.when(F.count(F.when(inside, 1)) > 0, F.struct(
+            F.lit(name).alias("period"), F.avg(F.when(inside, F.col("FlvSchedulePercentage"))).alias("AvgFlv"),
+            F.avg(F.when(inside, F.col("FmvSchedulePercentage"))).alias("AvgFmv"),
+        ))
+
+    both = F.array(means("recession", recession), means("best", best))
+    g = rows.groupBy(*CLASS_KEYS, "PublishYear", "ModelYear").agg(F.array_compact(both).alias("m"))
+    return g.select(*CLASS_KEYS, "PublishYear", "ModelYear", F.explode("m").alias("m")).select(
+        "m.period", *CLASS_KEYS, "PublishYear", "ModelYear", "m.AvgFlv", "m.AvgFmv"
+    )
+
+
 def auction_current(in_progress: DataFrame, p: Params) -> DataFrame:
     """Values being prepared for the coming issue; the publish year is the effective month's and
     the model-year band follows the calendar year of ``as_of`` (they differ in January)."""

@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from depreco.config import FIXTURE_PARAMS, Params, shift_month_end
 
 # Fixed values of the fixture derivation.
+CATEGORIES = 7
+UNUSED_CATEGORY = 7  # named so that the taxonomy leaves it out
+CONCENTRATED_CATEGORY = 5  # nearly all of one model year: the 3-sd filter drops the rest
 MODEL_CLASS_OFFSET = 10_000_000
-MODEL_VALUE_PARTKEY_MODULUS = 97
 RBA_SUBCATEGORY_DIGIT = 1
 RBA_MAKES = (4, 5)
 LAST_MONTH_DROP_MODULUS = 7
@@ -33,17 +35,17 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _taxonomy_cols(pk: Column, p_size: Column, p_brand: Column) -> dict[str, Column]:
     """Category / subcategory / make / model year of a part (fixed derivation rules)."""
-    cat = (F.lit(1) + pk % 5).cast("int")
+    cat = (F.lit(1) + pk % CATEGORIES).cast("int")
     sub = (cat * 10 + p_size % 3).cast("int")
     make = F.substring_index(p_brand, "#", -1).cast("int")
     return {
         "CategoryId": cat,
-        "CategoryName": F.concat(F.lit("Category "), cat.cast("string")),
+        "CategoryName": F.concat(F.when(cat == UNUSED_CATEGORY, "DO NOT USE ").otherwise("Category "), cat.cast("string")),
         "SubcategoryId": sub,
         "SubcategoryName": F.concat(F.lit("Subcategory "), sub.cast("string")),
         "MakeId": make,
         "MakeName": p_brand,
-        "ModelYear": (F.lit(1986) + F.floor(pk / 5) % 12).cast("int"),
+        "ModelYear": F.when((cat == CONCENTRATED_CATEGORY) & (pk % 20 != 0), F.lit(1995)).otherwise((F.lit(1986) + F.floor(pk / 5) % 12).cast("int")),
     }
 
 
@@ -62,13 +64,19 @@ def sales_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ModelId": F.col("l_partkey"),
             "ModelName": F.col("p_name"),
             "SaleDate": F.col("l_shipdate").cast("date"),
-            "Cost": F.col("p_retailprice"),
+            # some costs at or under the minima of asset costs (10) and comparables (5)
+            "Cost": F.when(F.col("l_partkey") % 41 == 0, F.lit(4.0)).when(F.col("l_partkey") % 43 == 0, F.lit(8.0)).otherwise(F.col("p_retailprice")),
             "dsc": F.col("l_discount") + F.lit(0.0),
             "tax": F.col("l_tax") + F.lit(0.0),
         }
     )
 
 
+def _fact_subcategory() -> Column:
+    """Facts of some parts have no subcategory (their make and category are known)."""
+    return F.when(F.col("l_partkey") % 53 != 0, F.col("SubcategoryId")).alias("SubcategoryId")
+
+
 def cost_assets(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     b = base if base is not None else sales_base(spark, sf_dir)
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -84,12 +92,14 @@ def cost_assets(spark: SparkSession, sf_dir: str, base: DataFrame | None = None)
         (F.col("l_orderkey") * 10 + ln).alias("CustomerAssetId"),
         F.col("o_custkey").alias("CustomerId"),
         F.concat(F.lit("Customer#"), F.col("o_custkey").cast("string")).alias("CustomerName"),
-        F.concat(F.col("l_returnflag"), ln.cast("string"), F.col("l_linestatus")).alias("EquipNo"),
-        "CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "MakeId", "MakeName",
+        F.when(ln % 2 == 0, F.concat(ln.cast("string"), F.col("l_returnflag"), F.col("l_linestatus")))
+        .otherwise(F.concat(F.col("l_returnflag"), ln.cast("string"), F.col("l_linestatus"))).alias("EquipNo"),
+        "CategoryId", "CategoryName", _fact_subcategory(), "SubcategoryName", "MakeId", "MakeName",
         "ModelId", "ModelName", "ModelYear",
-        F.col("o_orderdate").cast("date").alias("AcquisitionDate"),
+        F.when(F.col("l_orderkey") % 61 == 0, F.add_months(F.col("o_orderdate").cast("date"), -180))
+        .otherwise(F.col("o_orderdate").cast("date")).alias("AcquisitionDate"),
         F.col("Cost"),
-        (F.col("Cost") * r).alias("CurrentABCostUSNA"),
+        F.when(F.col("l_orderkey") % 37 != 0, F.col("Cost") * r).alias("CurrentABCostUSNA"),
         F.when(ln < 7, "Y").otherwise("N").alias("IsUsedForABCostUSNA"),
         F.when((F.col("l_linestatus") == "F") & (ln == 1), "Y").otherwise("N").alias("IsPurchasedUsed"),
     )
@@ -100,11 +110,14 @@ def comparables(spark: SparkSession, sf_dir: str, base: DataFrame | None = None)
     b = base if base is not None else sales_base(spark, sf_dir)
     cost, dsc, tax = F.col("Cost"), F.col("dsc"), F.col("tax")
     auction = (F.col("l_returnflag") == "R") | (F.col("SubcategoryId") == 52) | (F.col("CategoryId") == 4)
+    # sales of category 2 fall in price in the last months, so its recency factor meets the band
+    late = (F.col("CategoryId") == 2) & (F.col("SaleDate") > F.lit(date(2001, 5, 31)))
+    price = cost * (F.lit(0.35) + F.lit(5.0) * dsc + F.lit(2.0) * tax)
     return b.select(
-        "CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "MakeId", "MakeName",
+        "CategoryId", "CategoryName", _fact_subcategory(), "SubcategoryName", "MakeId", "MakeName",
         "ModelName", "ModelYear", "SaleDate",
         F.year("SaleDate").alias("SaleYear"),
-        (cost * (F.lit(0.35) + F.lit(5.0) * dsc + F.lit(2.0) * tax)).alias("SalePrice"),
+        F.when(late, price * F.lit(0.7)).otherwise(price).alias("SalePrice"),
         cost.alias("Cost"),
         (cost * (F.lit(0.4) + F.lit(0.04) * F.col("l_quantity"))).alias("CurrentABCostUSNA"),
         (cost * F.lit(0.6)).alias("M1PrecedingFmv"),
@@ -113,25 +126,28 @@ def comparables(spark: SparkSession, sf_dir: str, base: DataFrame | None = None)
     )
 
 
-def _levels(df: DataFrame, extra: list[str]) -> DataFrame:
-    """One row per taxonomy level (C, CS, CSM) of each input row."""
+def _levels(df: DataFrame, extra: list[str], model: Column | None = None) -> DataFrame:
+    """One row per taxonomy level (C, CS, CSM and, with ``model``, the model) of each input row."""
     cat, sub, make = F.col("CategoryId"), F.col("SubcategoryId"), F.col("MakeId")
-    null_i, null_s = F.lit(None).cast("int"), F.lit(None).cast("string")
+    null_i, null_s, null_l = F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("long")
 
-    def lvl(cid, s, sn, m, mn):
+    def lvl(cid, s, sn, m, mn, mo=null_l):
         return F.struct(
             cid.cast("int").alias("ClassificationId"), s.alias("SubcategoryId"), sn.alias("SubcategoryName"),
-            m.alias("MakeId"), mn.alias("MakeName"),
+            m.alias("MakeId"), mn.alias("MakeName"), mo.alias("ModelId"),
         )
 
-    arr = F.array(
+    sn, mn = F.col("SubcategoryName"), F.col("MakeName")
+    levels = [
         lvl(100 + cat, null_i, null_s, null_i, null_s),
-        lvl(1000 + sub, sub, F.col("SubcategoryName"), null_i, null_s),
-        lvl(100000 + sub * 100 + make, sub, F.col("SubcategoryName"), make, F.col("MakeName")),
-    )
-    return df.select("CategoryId", "CategoryName", *extra, F.explode(arr).alias("lv")).select(
+        lvl(1000 + sub, sub, sn, null_i, null_s),
+        lvl(100000 + sub * 100 + make, sub, sn, make, mn),
+    ]
+    if model is not None:
+        levels.append(lvl(F.lit(MODEL_CLASS_OFFSET) + model, sub, sn, make, mn, model))
+    return df.select("CategoryId", "CategoryName", *extra, F.explode(F.array(*levels)).alias("lv")).select(
         "lv.ClassificationId", "CategoryId", "CategoryName", "lv.SubcategoryId", "lv.SubcategoryName",
-        "lv.MakeId", "lv.MakeName", *extra,
+        "lv.MakeId", "lv.MakeName", "lv.ModelId", *extra,
     )
 
 
@@ -143,7 +159,7 @@ def classifications(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[cols[c].alias(c) for c in
           ("CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "MakeId", "MakeName")]
     ).distinct()
-    return _levels(b, []).distinct().withColumn("ModelId", F.lit(None).cast("long"))
+    return _levels(b, []).distinct()
 
 
 def class_values(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
@@ -156,19 +172,14 @@ def class_values(spark: SparkSession, sf_dir: str, base: DataFrame | None = None
     )
     keys = ["ClassificationId", "CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName",
             "MakeId", "MakeName", "ModelId", "pub", "ModelYear"]
-    levels = _levels(b, ["ModelYear", "pub", "flv", "fmv"]).withColumn("ModelId", F.lit(None).cast("long"))
-    models = b.where(F.col("l_partkey") % MODEL_VALUE_PARTKEY_MODULUS == 0).select(
-        (F.lit(MODEL_CLASS_OFFSET) + F.col("l_partkey")).cast("int").alias("ClassificationId"),
-        "CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "MakeId", "MakeName",
-        F.col("l_partkey").alias("ModelId"), "ModelYear", "pub", "flv", "fmv",
-    )
-    rows = levels.unionByName(models)
-    return rows.groupBy(*keys).agg(
-        F.avg("flv").alias("FlvSchedulePercentage"), F.avg("fmv").alias("FmvSchedulePercentage")
-    ).select(
+    rows = _levels(b, ["ModelYear", "pub", "flv", "fmv"], F.col("l_partkey")).groupBy(*keys)
+    # some percentages are missing, which makes their schedule's mean missing
+    missing = (F.col("ClassificationId") + F.month("pub")) % 31 == 0
+    return rows.agg(F.avg("flv").alias("flv"), F.avg("fmv").alias("fmv")).select(
         "ClassificationId", "CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "MakeId",
         "MakeName", "ModelId", "ModelYear", F.year("pub").alias("PublishYear"),
-        F.col("pub").alias("AppraisalBookPublishDate"), "FlvSchedulePercentage", "FmvSchedulePercentage",
+        F.col("pub").alias("AppraisalBookPublishDate"),
+        F.when(~missing, F.col("flv")).alias("FlvSchedulePercentage"), F.col("fmv").alias("FmvSchedulePercentage"),
     )
 
 
@@ -181,14 +192,14 @@ def class_values_in_progress(spark: SparkSession, sf_dir: str, params: Params =
 
 
 def _map_rows(classes: DataFrame) -> DataFrame:
-    """Schedule rows: every C and CS class, and CSM classes with MakeId <= 3."""
+    """Schedule rows: every C and CS class, and CSM classes of most makes."""
     level2 = (
         F.when(F.col("SubcategoryId").isNull(), "Category")
         .when(F.col("MakeId").isNull(), "SubcatGroup")
         .otherwise("Make")
     )
     prefix = F.when(level2 == "Category", "C ").when(level2 == "SubcatGroup", "CS ").otherwise("M ")
-    return classes.where(F.col("MakeId").isNull() | (F.col("MakeId") <= 3)).select(
+    return classes.where(F.col("MakeId").isNull() | (F.col("MakeId") % 5 != 0)).select(
         "ClassificationId", "CategoryId", "CategoryName", "SubcategoryId", "SubcategoryName", "MakeId",
         "MakeName",
         level2.alias("Level2"),
@@ -202,7 +213,11 @@ def in_map(spark: SparkSession, sf_dir: str, classes: DataFrame | None = None) -
     can = rows.where(F.col("Level2") == "Category").withColumns(
         {"Country": F.lit("CAN"), "Schedule": F.concat(F.col("Schedule"), F.lit(" CAN"))}
     )
-    return usa.unionByName(can).select(
+    # a schedule fed by the facts of category 1 that have no subcategory
+    none = usa.where((F.col("Level2") == "Category") & (F.col("CategoryId") == 1)).withColumns(
+        {"Schedule": F.lit("CS none"), "Level2": F.lit("SubcatGroup"), "ClassificationId": F.lit(None).cast("int")}
+    )
+    return usa.unionByName(can).unionByName(none).select(
         "Country", "Schedule", "Level2", "CategoryId", "SubcategoryId", "MakeId", "ClassificationId",
         F.lit("Y").alias("Plot"), "CategoryName", "SubcategoryName", "MakeName",
         F.concat_ws(" / ", "CategoryName", "SubcategoryName", "MakeName").alias("CSMM"),
@@ -245,7 +260,7 @@ def in_borrow_map(spark: SparkSession, sf_dir: str, classes: DataFrame | None =
 
 def out_map(spark: SparkSession, sf_dir: str, inputs_map: DataFrame | None = None) -> DataFrame:
     src = inputs_map if inputs_map is not None else in_map(spark, sf_dir)
-    return src.select(
+    return src.where(F.col("ClassificationId").isNotNull()).select(
         "Country", "ClassificationId", "Schedule", "SubcategoryId", "SubcategoryName", "Level2", "Plot"
     )
 

@@ -26,13 +26,16 @@ def schedule_inputs(in_map: DataFrame, in_borrow_map: DataFrame, p: Params) -> D
 
 
 def schedule_outputs(out_map: DataFrame, out_borrow_map: DataFrame, p: Params) -> DataFrame:
-    """Output side: classes that read each schedule (``Out`` plus ``OutR`` rows with the marker)."""
-    own = out_map.where(F.col("Country") == p.country).select(*OUT_COLUMNS)
+    """Output side: the schedule each class reads (``Out`` plus ``OutR`` rows with the marker).
+
+    One row per class. A class that is mapped more than once reads the schedule of its own map
+    before a borrowed one, then the first by name; ``mapped`` counts its rows, and the
+    reconciliation checks report the rows that were dropped."""
+    own = out_map.where(F.col("Country") == p.country).select(*OUT_COLUMNS, F.lit(0).alias("_borrowed"))
     borrowed = out_borrow_map.where(
         (F.col("Country") == p.country) & F.col("Schedule").contains(BORROW_MARKER)
-    ).select(*OUT_COLUMNS)
-    return own.unionByName(borrowed)
-
-
-def schedule_list(schedules: DataFrame) -> DataFrame:
-    return schedules.select("Schedule").distinct()
+    ).select(*OUT_COLUMNS, F.lit(1).alias("_borrowed"))
+    rest = [c for c in OUT_COLUMNS if c != "ClassificationId"]
+    first = F.min_by(F.struct(*rest), F.struct("_borrowed", "Schedule"))
+    out = own.unionByName(borrowed).groupBy("ClassificationId").agg(first.alias("r"), F.count(F.lit(1)).alias("mapped"))
+    return out.select("ClassificationId", *[f"r.{c}" for c in rest], "mapped")

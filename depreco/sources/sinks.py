@@ -1,37 +1,39 @@
-"""Sinks: the upload file (SNK-01) and the wide review table (SNK-02)."""
+"""Sinks: the upload file (SNK-01), the wide review table (SNK-02) and the taxonomy listing (ST-01)."""
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-UPLOAD_PREFIX = "ResidualFactor"
+UPLOAD_PREFIX = "factors"
 REVIEW_PREFIX = "share_page"
+TAXONOMY_PREFIX = "taxonomy"
 
 
-def output_name(prefix: str, as_of: date, suffix: str = "") -> str:
-    """File-name stem built from the run date (replaces the wall-clock stamp)."""
-    return f"{prefix}{as_of:%Y%m%d}{suffix}"
+def output_name(prefix: str, stamp: datetime) -> str:
+    """File-name stem with the run's date, hour and minute, so a second run that day is kept too."""
+    return f"{prefix}{stamp:%Y%m%d%H%M}"
 
 
-def write_upload(upload: DataFrame, base_path: str, as_of: date, mode: str = "overwrite") -> str:
-    """Seven-column upload table as CSV with a header, missing values written as ``NA``,
-    ordered by market and class id. The table is class-grain (small), so one output file."""
-    path = f"{base_path}/{output_name(UPLOAD_PREFIX, as_of)}"
-    (
-        upload.orderBy("MarketCode", "ClassificationId")
-        .coalesce(1)
-        .write.mode(mode)
-        .option("header", True)
-        .option("nullValue", "NA")
-        .csv(path)
-    )
+def write_upload(upload: DataFrame, base_path: str, stamp: datetime, prefix: str = UPLOAD_PREFIX, mode: str = "overwrite") -> str:
+    """Seven-column upload table as CSV with a header, missing values written as ``NA``, ordered by
+    market and class id. The sort is a range partitioning: files in name order hold the rows in order,
+    as many as the table's size asks for (a usual taxonomy gives one)."""
+    path = f"{base_path}/{output_name(prefix, stamp)}"
+    upload.orderBy("MarketCode", "ClassificationId").write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)
     return path
 
 
-def write_review(share_page: DataFrame, base_path: str, as_of: date, mode: str = "overwrite") -> str:
+def write_review(share_page: DataFrame, base_path: str, stamp: datetime, mode: str = "overwrite") -> str:
     """Wide review table (factors, last month's values, month-over-month deltas) as Parquet."""
-    path = f"{base_path}/{output_name(REVIEW_PREFIX, as_of)}"
+    path = f"{base_path}/{output_name(REVIEW_PREFIX, stamp)}"
     share_page.orderBy("MarketCode", "ClassificationId").write.mode(mode).parquet(path)
     return path
+
+
+def write_taxonomy(taxonomy: DataFrame, base_path: str, stamp: datetime, mode: str = "overwrite") -> str:
+    """The taxonomy with its parents, ordered by category, subcategory and make name."""
+    path = f"{base_path}/{output_name(TAXONOMY_PREFIX, stamp)}"
+    taxonomy.orderBy("CategoryName", "SubcategoryName", "MakeName").write.mode(mode).parquet(path)
+    return path

@@ -52,6 +52,12 @@ def append_month(history_rows: DataFrame, path: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the history folder is there, by the path's own file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LAST_MONTH).parquet(path)
 
