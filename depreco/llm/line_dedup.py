@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import once
+from .store import Scratch
 
 PERCENT = 1
 LEAST_PAGES = 3
@@ -50,7 +51,9 @@ def boilerplate(docs: DataFrame, host_col: str, text_col: str, percent: int, lea
 def line_dedup(docs: DataFrame, host_col: str = "source", text_col: str = "text", percent: int = PERCENT, least_pages: int = LEAST_PAGES) -> DataFrame:
     """One row for each row of ``docs``: its columns in the struct ``row``, the text without boilerplate
     lines in ``text``, its line total in ``n_lines`` and the lines dropped in ``n_dropped``."""
-    common = boilerplate(docs, host_col, text_col, percent, least_pages).select(F.col("host").alias("_host"), "lines")
+    # Written first: the join is then planned from the table's real size.
+    common = Scratch(docs.sparkSession).keep(boilerplate(docs, host_col, text_col, percent, least_pages))
+    common = common.select(F.col("host").alias("_host"), "lines")
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(host_col).alias("host"), F.col(text_col).cast("string").alias("text"))
     rows = rows.join(common, F.col("host").eqNullSafe(F.col("_host")), "left")
     blank = lambda x: F.btrim(x, F.lit(BLANK)) == ""

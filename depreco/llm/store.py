@@ -31,7 +31,7 @@ def ship(spark: SparkSession) -> None:
 class Scratch:
     """A run's own folder. ``keep`` writes a table there and reads it back, so a lost executor costs
     no more than the step at work. ``finish`` writes the result and removes all the other tables;
-    the result itself goes when the session's JVM ends (Hadoop's delete-on-exit)."""
+    what is left goes when the session's JVM ends (Hadoop's delete-on-exit)."""
 
     def __init__(self, spark: SparkSession):
         ship(spark)
@@ -40,6 +40,7 @@ class Scratch:
         self.path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         self.fs = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
         self.made: list[str] = []
+        self.fs.deleteOnExit(self.path)
 
     def keep(self, df: DataFrame) -> DataFrame:
         at = f"{self.folder}/{len(self.made)}"
@@ -52,5 +53,4 @@ class Scratch:
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         for at in self.made[:-1]:
             self.fs.delete(path(at), True)
-        self.fs.deleteOnExit(self.path)
         return out
