@@ -46,7 +46,7 @@ FIXTURES = [
            Cost * (0.35::DOUBLE + 5.0::DOUBLE * dsc + 2.0::DOUBLE * tax)
              * (CASE WHEN CategoryId = 2 AND SaleDate > DATE '2001-05-31' THEN 0.7::DOUBLE ELSE 1.0::DOUBLE END) AS SalePrice,
            Cost, Cost * (0.4::DOUBLE + 0.04::DOUBLE * l_quantity) AS CurrentABCostUSNA, Cost * 0.6::DOUBLE AS M1PrecedingFmv,
-           CASE WHEN l_returnflag = 'R' OR s.SubcategoryId = 52 OR CategoryId = 4 THEN 'Auction' ELSE 'Retail' END AS saletype,
+           CASE WHEN l_returnflag = 'R' OR s.SubcategoryId = 32 OR CategoryId = 4 THEN 'Auction' ELSE 'Retail' END AS saletype,
            CASE WHEN l_linenumber < 7 THEN 'Y' ELSE 'N' END AS IsUsedForComparablesUSNA
     FROM sold s"""),
     ("catalogue", f"SELECT DISTINCT {_TAXONOMY.format(pk='p_partkey')} FROM part"),

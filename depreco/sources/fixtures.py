@@ -109,7 +109,7 @@ def cost_assets(spark: SparkSession, sf_dir: str, base: DataFrame | None = None)
 def comparables(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     b = base if base is not None else sales_base(spark, sf_dir)
     cost, dsc, tax = F.col("Cost"), F.col("dsc"), F.col("tax")
-    auction = (F.col("l_returnflag") == "R") | (F.col("SubcategoryId") == 52) | (F.col("CategoryId") == 4)
+    auction = (F.col("l_returnflag") == "R") | (F.col("SubcategoryId") == 32) | (F.col("CategoryId") == 4)
     # sales of category 2 fall in price in the last months, so its recency factor meets the band
     late = (F.col("CategoryId") == 2) & (F.col("SaleDate") > F.lit(date(2001, 5, 31)))
     price = cost * (F.lit(0.35) + F.lit(5.0) * dsc + F.lit(2.0) * tax)

@@ -1,25 +1,23 @@
 """Registered queries against their DuckDB oracles on the smallest tables, plus sinks."""
 
 import os
+import re
 import tempfile
-from datetime import date
+from datetime import date, datetime
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 from depreco.config import FIXTURE_PARAMS as P
+from depreco.plans.catalog import ORACLES, QUERIES
 from depreco.plans.pipeline import Run
 from depreco.sources import fixtures as FX
-from depreco.sources.sinks import write_review, write_upload
+from depreco.sources.sinks import write_review, write_taxonomy, write_upload
 from depreco.streaming import history
 from tests.conftest import SF_SMALL
 from tools.check_oracle import rows_of
 
-CHECKED = ["cost_assets_filtered", "schedule_assignment", "retail_current_agg", "auction_best_agg",
-           "cooks_distance", "decay_factor", "weighted_rollup", "published_factors"]
-
-
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -28,7 +26,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", CHECKED)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
@@ -39,7 +37,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= E.queries().items() and ORACLES.items() <= E.oracle_sql().items()
 
 
 def test_entry_smoke(spark):
@@ -53,12 +52,26 @@ def test_sinks_and_history_round_trip(spark):
     run = Run(FX.load_inputs(spark, SF_SMALL, P), P)
     upload = run.upload
     out = tempfile.mkdtemp(prefix="depreco-sink-", dir="/tmp")
-    up_path = write_upload(upload, out, P.as_of)
-    assert os.path.basename(up_path) == "ResidualFactor20010815"
-    back = spark.read.option("header", True).option("nullValue", "NA").csv(up_path)
-    assert back.columns == upload.columns and back.count() == upload.count()
-    rv_path = write_review(run.share_page, out, P.as_of)
-    assert spark.read.parquet(rv_path).count() == upload.count()
+    stamp = datetime(2001, 8, 15, 9, 5)
+    up_path = write_upload(upload, out, stamp, "monthly")
+    assert os.path.basename(up_path) == "monthly200108150905"
+    lines = [x for f in sorted(os.listdir(up_path)) if f.startswith("part-") for x in open(f"{up_path}/{f}").read().splitlines()]
+    assert lines[0] == ",".join(upload.columns)
+    want = sorted(map(tuple, upload.collect()), key=lambda r: r[:2])
+    body = [x.split(",") for x in lines if x != lines[0]]
+    assert [(r[0], int(r[1])) for r in body] == [r[:2] for r in want]  # file order
+    for got, row in zip(body, want, strict=True):
+        assert [None if v == "NA" else pytest.approx(float(v)) for v in got[2:]] == list(row[2:])
+    rv_path = write_review(run.share_page, out, stamp)
+    review = spark.read.parquet(rv_path)
+    assert review.columns == run.share_page.columns and sorted(map(tuple, review.collect()), key=str) == sorted(map(tuple, run.share_page.collect()), key=str)
+    files = sorted(f for f in os.listdir(rv_path) if f.startswith("part-"))
+    ids = [r.ClassificationId for f in files for r in spark.read.parquet(f"{rv_path}/{f}").collect()]
+    assert ids == sorted(ids)
+    tx_path = write_taxonomy(run.taxonomy, out, stamp)
+    files = sorted(f for f in os.listdir(tx_path) if f.startswith("part-"))
+    names = [(r.CategoryName, r.SubcategoryName or "", r.MakeName or "") for f in files for r in spark.read.parquet(f"{tx_path}/{f}").collect()]
+    assert names == sorted(names) and len(names) == run.taxonomy.count()
     # month-over-month state: write this month, read it back partition-pruned
     hist = f"{out}/history"
     history.append_month(history.to_history(upload, run.taxonomy, P.effective_date), hist)
@@ -67,17 +80,24 @@ def test_sinks_and_history_round_trip(spark):
     assert month.count() == upload.count()
     assert history.read_month(spark, hist, date(2001, 6, 30)).count() == 0
     plan = month._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan
+    assert re.search(r"PartitionFilters: \[[^]]*AppraisalBookPublishDate#\d+ = 2001-07-31", plan)
+    run.close()
 
 
 def test_checks(spark):
     run = Run(FX.load_inputs(spark, SF_SMALL, P), P)
     got = {r.check: r for r in run.checks.collect()}
-    for name in ("resid_vs_best_retail", "resid_vs_worst_retail", "resid_vs_best_auction",
+    for name in ("decay_vs_best_retail", "decay_vs_worst_retail", "decay_vs_best_auction",
                  "unique_MarketCode_ClassificationId"):
         assert got[name].ok, name
     # K13: worst auction is an inner join, so it may hold fewer classes; reported, not fatal
-    assert got["resid_vs_worst_auction"].rhs <= got["resid_vs_worst_auction"].lhs
+    assert got["decay_vs_worst_auction"].rhs <= got["decay_vs_worst_auction"].lhs
+    # K10: classes that are mapped twice lose rows, which the check reports
+    assert got["classes_mapped_once"].rhs < got["classes_mapped_once"].lhs
+    folder = run._tables.folder.removeprefix("file:")
+    assert os.path.isdir(folder)
+    run.close()
+    assert not os.path.exists(folder)
 
 
 def test_table_inputs_match_fixture_inputs(spark):
@@ -92,8 +112,11 @@ def test_table_inputs_match_fixture_inputs(spark):
         paths[n] = f"{out}/{n}"
         getattr(inp, n).write.mode("overwrite").parquet(paths[n])
     a = Run(inp, P).upload
-    b = Run(TableInputs(spark, paths), P).upload
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    for n in ("cost_assets", "out_map"):  # some relations as named tables
+        spark.read.parquet(paths[n]).createOrReplaceTempView(f"in_{n}")
+        paths[n] = f"in_{n}"
+    b = Run(TableInputs(spark, paths, {"cost_assets": "table", "out_map": "table"}), P).upload
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
 
 
 def test_monthly_job_two_months(spark):
@@ -111,3 +134,54 @@ def test_monthly_job_two_months(spark):
     m2 = spark.read.option("header", True).option("inferSchema", True).csv(paths["upload"]).collect()
     moved = [(r, m1[r.ClassificationId]) for r in m2 if r.ClassificationId in m1 and r.ResidSF not in (None, "NA")]
     assert moved and all(abs(float(r.ResidSF) - prev.ResidSf) <= P.mom_cap + 1e-9 for r, prev in moved)
+
+
+def test_unreadable_history_is_an_error(spark):
+    """Only a missing folder is a first run."""
+    from depreco.plans.job import run_job
+
+    out = tempfile.mkdtemp(prefix="depreco-job-", dir="/tmp")
+    broken = f"{out}/history"
+    os.makedirs(f"{broken}/AppraisalBookPublishDate=2001-06-30")
+    with open(f"{broken}/AppraisalBookPublishDate=2001-06-30/part-0.parquet", "w") as f:
+        f.write("not a table")
+    with pytest.raises(Exception, match="(?i)parquet|footer|magic"):
+        run_job(spark, FX.load_inputs(spark, SF_SMALL, P), P, f"{out}/m", broken)
+
+
+def test_run_settings():
+    from depreco.config import Params
+    from depreco.plans.job import settings
+
+    p = settings(Params(), {"country": "CAN", "best_years": [2017, 2018], "mom_cap": 0.05}, date(2020, 7, 1))
+    assert (p.country, p.best_years, p.mom_cap, p.as_of) == ("CAN", (2017, 2018), 0.05, date(2020, 7, 1))
+    assert settings(Params(), {}, date(2020, 7, 1), written_years=True).best_years == (2015, 2016, 2017, 2018, 2019, 2020)
+    with pytest.raises(ValueError, match="unknown settings"):
+        settings(Params(), {"contry": "CAN"})
+
+
+def test_cluster_settings_are_left_alone(monkeypatch):
+    """Without a local master no partition count or memory is set."""
+    from pyspark.sql import SparkSession
+
+    from depreco import session
+
+    seen = {}
+
+    class Builder:
+        def appName(self, _):
+            return self
+
+        def master(self, _):
+            return self
+
+        def config(self, k, v):
+            seen[k] = v
+            return self
+
+        def getOrCreate(self):
+            return SparkSession.getActiveSession()
+
+    monkeypatch.setattr(session.SparkSession, "builder", Builder())
+    session.get_spark()
+    assert "spark.sql.shuffle.partitions" not in seen and "spark.driver.memory" not in seen

@@ -2,7 +2,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from depreco.config import FIXTURE_PARAMS, Params, minus_one_month_clamped, readme_best_years, shift_month_end
+from depreco.config import FIXTURE_PARAMS, Params, minus_one_month_clamped, written_best_years, shift_month_end
 from depreco.functions import age_months, age_years_4dp, clamp, greatest_na, least_na, mean_na, safe_div, year_age
 
 
@@ -63,6 +63,6 @@ def test_recent_months_clamped_vs_month_end():
     assert shift_month_end(date(2020, 3, 15), -145) == date(2008, 2, 29)
 
 
-def test_readme_best_years():
-    assert readme_best_years(date(2020, 6, 23)) == (2015, 2016, 2017, 2018, 2019)
-    assert readme_best_years(date(2020, 7, 1)) == (2015, 2016, 2017, 2018, 2019, 2020)
+def test_written_best_years():
+    assert written_best_years(date(2020, 6, 23)) == (2015, 2016, 2017, 2018, 2019)
+    assert written_best_years(date(2020, 7, 1)) == (2015, 2016, 2017, 2018, 2019, 2020)

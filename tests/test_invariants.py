@@ -14,7 +14,9 @@ EPS = 1e-12
 
 @pytest.fixture(scope="module")
 def run(spark):
-    return Run(FX.load_inputs(spark, SF, P), P).prepare()
+    r = Run(FX.load_inputs(spark, SF, P), P).prepare()
+    yield r
+    r.close()
 
 
 def _count(df, cond):
@@ -22,7 +24,7 @@ def _count(df, cond):
 
 
 def test_caps(run):
-    r = run.residual_class
+    r = run.decay_class
     assert _count(r, (F.col("ResidSF") < P.resid_low) | (F.col("ResidSF") > P.resid_high)) == 0
     assert _count(run.worst_retail, F.col("SFWorstRetail") > P.worst_cap) == 0
     assert _count(run.best_retail, F.col("SFBestRetail") < P.best_cap) == 0
@@ -48,7 +50,7 @@ def test_one_row_per_key_and_row_conservation(run):
     up = run.upload
     assert up.groupBy("MarketCode", "ClassificationId").count().where("count > 1").count() == 0
     n_out = run.outputs.count()
-    assert run.residual_class.count() == n_out
+    assert run.decay_class.count() == n_out
     assert run.worst_retail.count() == n_out and run.best_retail.count() == n_out
     assert up.count() == n_out + 1  # plus the global row
     assert _count(up, F.col("ClassificationId") == P.global_class_id) == 1

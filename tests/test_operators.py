@@ -11,6 +11,7 @@ from depreco.operators import hierarchy as H
 from depreco.operators import publish as PB
 from depreco.operators import ratios as R
 from depreco.operators.assign import assign_schedules
+from depreco.sources import maps as M
 from tests.conftest import rows
 
 MAP_SCHEMA = "Schedule string, Level2 string, CategoryId int, SubcategoryId int, MakeId int"
@@ -33,9 +34,18 @@ def _age4(m):
     return float(np.round(m * 2500 / 3)) / 10000.0
 
 
-def _regression_rows(spark, xs, ys, sched="S"):
-    data = [(sched, int(round(x * 12)), _age4(int(round(x * 12))), float(y)) for x, y in zip(xs, ys)]
-    return spark.createDataFrame(data, "Schedule string, AgeMonths int, x double, y double")
+def _regression_rows(spark, xs, ys, category=1):
+    """Regression rows of two makes of one category; the schedule is mapped at category level."""
+    data = [(category, 10 * category, 1 + i % 2, int(round(x * 12)), _age4(int(round(x * 12))), float(y)) for i, (x, y) in enumerate(zip(xs, ys))]
+    return spark.createDataFrame(data, "CategoryId int, SubcategoryId int, MakeId int, AgeMonths int, x double, y double")
+
+
+def _category_schedules(spark):
+    return spark.createDataFrame([("S", "Category", 1, None, None), ("T", "Category", 2, None, None)], MAP_SCHEMA)
+
+
+def _fit(spark, rows_, p=P):
+    return {r.Schedule: r for r in D.decay_fit(rows_, _category_schedules(spark), p).collect()}
 
 
 def test_cooks_distance_matches_hat_matrix(spark):
@@ -57,7 +67,7 @@ def test_cooks_distance_matches_hat_matrix(spark):
     cook = e ** 2 / (2 * s2) * h / (1 - h) ** 2
     keep = ~(cook > 20 * cook.mean())
     slope0 = (x[keep] @ y[keep]) / (x[keep] @ x[keep])
-    out = D.decay_fit(df, P.with_(sd_multiplier=10.0)).collect()[0]
+    out = _fit(spark, df, P.with_(sd_multiplier=10.0))["S"]
     assert out.n_influential == int((~keep).sum()) >= 1
     assert out.slope == pytest.approx(beta[1], rel=1e-9)
     assert out.intercept == pytest.approx(beta[0], rel=1e-9)
@@ -68,10 +78,10 @@ def test_cooks_distance_matches_hat_matrix(spark):
 
 
 def test_single_age_group_is_intercept_only(spark):
-    # same_age_30: Sxx = 0 -> p = 1, h = 1/n; nothing is dropped for a constant residual pattern
+    # same_age_30: Sxx = 0 -> p = 1, h = 1/n; nothing is dropped for a constant error pattern
     y = np.linspace(0.1, 0.2, 30)
     df = _regression_rows(spark, [5.0] * 30, y)
-    out = D.decay_fit(df, P).collect()[0]
+    out = _fit(spark, df)["S"]
     assert out.slope == 0.0 and out.intercept == pytest.approx(y.mean())
     e = y - y.mean()
     assert out.s2 == pytest.approx((e @ e) / 29)
@@ -80,17 +90,16 @@ def test_single_age_group_is_intercept_only(spark):
 
 def test_small_and_one_row_groups(spark):
     # one_row_group: sd undefined -> the row is dropped (V8); under 30 rows -> factor 0, n 0 (K2)
-    df = _regression_rows(spark, [4.0] + [4.0, 5.0, 6.0] * 5, [0.1] + [0.1, 0.12, 0.13] * 5, "S")
-    one = _regression_rows(spark, [4.0], [0.1], "T")
-    out = {r.Schedule: r for r in D.decay_fit(df.unionByName(one), P).collect()}
+    df = _regression_rows(spark, [4.0] + [4.0, 5.0, 6.0] * 5, [0.1] + [0.1, 0.12, 0.13] * 5)
+    one = _regression_rows(spark, [4.0], [0.1], 2)
+    out = _fit(spark, df.unionByName(one))
     assert "T" not in out
     assert out["S"].factor == 0.0 and out["S"].n == 0 and out["S"].rows_in == 16
-    nulls = D.decay_fit(df, P.with_(small_group="null")).collect()[0]
-    assert nulls.factor is None
+    assert _fit(spark, df, P.with_(small_group="null"))["S"].factor is None
 
 
 def test_sd_filter_keeps_equal_ages(spark):
-    cells = D.age_cells(_regression_rows(spark, [5.0] * 10 + [9.0], [0.1] * 11))
+    cells = D.age_cells(_regression_rows(spark, [5.0] * 10 + [9.0], [0.1] * 11), _category_schedules(spark))
     got = {r.AgeMonths: r.keep for r in D.sd_filter_cells(cells, 1.2).collect()}
     assert got == {60: True, 108: False}
 
@@ -99,10 +108,10 @@ def test_best_year_pick_ties_go_to_latest_year(spark):
     # tie_years: equal factors in 1998 and 2000, a NULL factor is ignored (V10)
     df = spark.createDataFrame(
         [("S", 1998, 1.1, 30, 40), ("S", 2000, 1.1, 25, 40), ("S", 1999, None, 50, 40), ("T", 1999, None, 50, 40)],
-        "Schedule string, SaleYear int, factor double, bestEcon_n long, current_n long",
+        "Schedule string, SaleYear int, factor double, best_n long, current_n long",
     )
     got = rows(R.best_year_pick(df))
-    assert got == [{"Schedule": "S", "factor": 1.1, "bestEcon_n": 25, "current_n": 40, "sy": 2000}]
+    assert got == [{"Schedule": "S", "factor": 1.1, "best_n": 25, "current_n": 40, "year": 2000}]
 
 
 def test_period_ratio_weights(spark):
@@ -151,8 +160,8 @@ def test_mom_limit_gap_and_global_row(spark):
     g = spark.createDataFrame([(1.0, 0.95, 1.2, 1.0)], "SFBestRetail double, SFWorstRetail double, SFBestAuction double, SFWorstAuction double")
     r = PB.enforce_gap(g, P).collect()[0]
     assert r.SFWorstRetail == pytest.approx(0.85) and r.SFWorstAuction == 1.0
-    globs = spark.createDataFrame([("resid", 1.5), ("best_retail", 1.1)], "kind string, glob double")
-    kinds = {"ResidSF": "resid", "SFBestRetail": "best_retail", "SFWorstRetail": "worst_retail",
+    globs = spark.createDataFrame([("decay", 1.5), ("best_retail", 1.1)], "kind string, glob double")
+    kinds = {"ResidSF": "decay", "SFBestRetail": "best_retail", "SFWorstRetail": "worst_retail",
              "SFBestAuction": "best_auction", "SFWorstAuction": "worst_auction"}
     row = PB.global_row(globs, kinds, P).collect()
     assert len(row) == 1 and row[0].ResidSF == 1.25 and row[0].SFBestRetail == 1.1 and row[0].SFWorstRetail is None
@@ -169,5 +178,31 @@ def test_recency_band(spark):
     avg12, avg_recent = 13.0 / 15, 3.0 / 5
     v0 = avg12 * 0.99 ** 5.5 / avg_recent
     v1 = ((20 - 5) + 5 * v0) / 20
-    assert r.n == 5 and r.recFactor_v0 == pytest.approx(v0) and r.recFactor_v1 == pytest.approx(v1)
-    assert r.recFactor == pytest.approx(min((15 + 5 * 1.2) / 20, v1))
+    assert r.n == 5 and r.raw == pytest.approx(v0) and r.shrunk == pytest.approx(v1)
+    assert r.recency == pytest.approx(min((15 + 5 * 1.2) / 20, v1))
+
+
+def test_cells_merge_exactly(spark):
+    """Schedule cells from class cells equal those of the rows taken together."""
+    rng = np.random.default_rng(3)
+    y = rng.normal(0.2, 0.05, 200)
+    df = _regression_rows(spark, 2 + rng.integers(0, 4, 200), y)
+    got = {r.AgeMonths: r for r in D.age_cells(df, _category_schedules(spark)).collect()}
+    for months, part in df.toPandas().groupby("AgeMonths").y:
+        r = got[months]
+        assert r.n == len(part) and r.sy == pytest.approx(part.sum()) and r.ss == pytest.approx(((part - part.mean()) ** 2).sum())
+
+
+def test_one_row_per_mapped_class(spark):
+    """A class mapped twice reads its own map first, then the first schedule by name, and stays one row
+    through inheritance."""
+    cols = "Country string, ClassificationId int, Schedule string, SubcategoryId int, SubcategoryName string, Level2 string, Plot string"
+    own = spark.createDataFrame([("USA", 101101, "M b", 10, "x", "Make", "Y"), ("USA", 101101, "M a", 10, "x", "Make", "Y"), ("USA", 101, "C", None, None, "Category", "Y")], cols)
+    lent = spark.createDataFrame([("USA", 101101, "A RbA 1", 10, "x", "Make", "Y"), ("USA", 7, "B RbA 1", 10, "x", "Make", "Y"), ("USA", 7, "other", 10, "x", "Make", "Y")], cols)
+    out = M.schedule_outputs(own, lent, P)
+    got = {r.ClassificationId: (r.Schedule, r.mapped) for r in out.collect()}
+    assert got == {101101: ("M a", 3), 101: ("C", 1), 7: ("B RbA 1", 1)}
+    tax = spark.createDataFrame([(101, 1, None, 101), (101101, 1, None, 101)], "ClassificationId int, CategoryId int, CS_ClassId int, C_ClassId int")
+    f = spark.createDataFrame([("C", 1.2), ("M a", 1.1), ("M b", None), ("A RbA 1", 1.4)], "Schedule string, factor double")
+    res = sorted((r.ClassificationId, r.factor, r.resolved_from) for r in H.inherit(f, out, tax, P).collect())
+    assert res == [(101, 1.2, "own"), (101101, 1.1, "own")]

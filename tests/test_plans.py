@@ -1,4 +1,6 @@
-"""Physical plan shape of the fact passes (the scale properties the design relies on)."""
+"""Physical plan shape of the fact passes and the tail (the scale properties the design relies on)."""
+
+import re
 
 import pytest
 
@@ -15,37 +17,96 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def scans(df, table: str) -> int:
+    return len(re.findall(rf"FileScan parquet .*{table}\.parquet", plan(df)))
+
+
 @pytest.fixture(scope="module")
 def run(spark):
-    return Run(FX.load_inputs(spark, SF_SMALL, P), P)
+    r = Run(FX.load_inputs(spark, SF_SMALL, P), P)
+    yield r
+    r.close()
 
 
-def test_retail_cells_single_scan_broadcast_partial_agg(run):
-    p = plan(R.retail_cells(run.inputs.comparables, run.schedules, P))
-    assert p.count("lineitem.parquet") == 1  # the three periods share one scan
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+def slim(run):
+    return D.regression_input(X.cost_extract(run.inputs.cost_assets, P), P)
+
+
+@pytest.mark.parametrize("cells", ["decay", "retail"])
+def test_facts_are_aggregated_before_anything_is_expanded(run, cells):
+    df = D.class_cells(slim(run)) if cells == "decay" else R.class_cells(run.inputs.comparables, P)
+    p = plan(df)
+    assert scans(df, "lineitem") == 1
+    assert "Generate" not in p and "Window" not in p and "Join" in p  # the joins are the fixtures' own
     assert "partial_count" in p and "partial_sum" in p  # map-side combine before the shuffle
-    assert "Window" not in p
 
 
-def test_decay_passes(run):
-    cost = X.cost_extract(run.inputs.cost_assets, P)
-    rows = D.regression_rows(cost, run.schedules, P)
-    cells = plan(D.age_cells(rows))
-    assert "partial_count" in cells and "Window" not in cells and "SortMergeJoin" not in cells
-    # second pass: rows join the per-cell fit by broadcast, then a partial aggregate
-    fit = plan(D.decay_fit(rows, P))
-    assert "BroadcastHashJoin" in fit and "BroadcastNestedLoopJoin" not in fit
+def test_assignment_meets_cells_only(run):
+    """Below every Generate (the expansion to levels) there is an Aggregate over the fact."""
+    for df in (D.age_cells(slim(run), run.schedules), R.retail_cells(run.inputs.comparables, run.schedules, P)):
+        lines = optimized(df).split("\n")
+        first = max(i for i, x in enumerate(lines) if "Generate" in x)
+        assert any("Aggregate" in x for x in lines[first:])
+
+
+def test_second_decay_pass_expands_influential_rows_only(run):
+    cells = run._tables.keep(D.sd_filter_cells(D.age_cells(slim(run), run.schedules), P.sd_multiplier).where("keep"))
+    fitted = run._tables.keep(D.fitted_cells(cells, P))
+    p = optimized(D.influential_rows(slim(run), fitted, run.schedules))
+    top = p.split("\n")[:4]
+    assert any("Generate explode(filter(" in x for x in top)
+
+
+def test_published_values_are_scanned_once(run):
+    assert scans(X.auction_published(run.inputs.class_values, P), "lineitem") == 1
+
+
+def test_no_hint_but_the_five_global_values(run):
+    p = run.upload._jdf.queryExecution().analyzed().toString() + run.inherited._jdf.queryExecution().analyzed().toString()
+    assert p.count("strategy=broadcast") <= 1
+
+
+def test_tail_is_short(run):
+    p = plan(run.upload)
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert len(re.findall(r"\bExchange\b", p)) < 10
 
 
 def test_pushdown_into_scan(run):
     p = plan(X.cost_extract(run.inputs.cost_assets, P))
-    assert "PushedFilters: [IsNotNull(o_orderdate)" in p or "o_orderdate" in p
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int" in p
-    assert "l_extendedprice" not in p  # unused columns pruned from the scan
+    line = next(x for x in p.split("\n") if "FileScan" in x and "lineitem" in x)
+    assert "l_extendedprice" not in line and "l_shipdate" not in line  # unused columns are pruned
+    assert re.search(r"PushedFilters: \[[^]]*IsNotNull\(l_", line)
 
 
-def test_publication_tail_has_no_cartesian(run):
-    p = plan(run.upload)
-    assert "CartesianProduct" not in p
+def test_flags_and_years_reach_a_table_scan(spark, tmp_path):
+    FX.load_inputs(spark, SF_SMALL, P).comparables.write.partitionBy("SaleYear").parquet(str(tmp_path / "c"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    p = plan(R.class_cells(spark.read.parquet(str(tmp_path / "c")), P))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert re.search(r"PartitionFilters: \[[^]]*SaleYear#\d+ IN \(", p)
+    assert re.search(r"PushedFilters: \[[^]]*In\(IsUsedForComparablesUSNA, \[[Yy],[Yy]\]\)", p)
+
+
+def test_same_factors_without_automatic_broadcasts(spark, run):
+    want = sorted(map(tuple, run.upload.collect()), key=str)
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set(adaptive, "-1")
+    try:
+        other = Run(FX.load_inputs(spark, SF_SMALL, P), P)
+        got = sorted(map(tuple, other.upload.collect()), key=str)
+        assert "SortMergeJoin" in plan(other.limited)
+        other.close()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        spark.conf.unset(adaptive)
+    close = lambda a, b: a == b or abs(a - b) < 1e-9
+    assert len(got) == len(want)
+    for a, b in zip(got, want, strict=True):
+        assert all((x is None) == (y is None) and (x is None or isinstance(x, str) or close(x, y)) for x, y in zip(a, b, strict=True))
