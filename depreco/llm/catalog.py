@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

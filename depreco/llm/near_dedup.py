@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import hyperminhash as hmh
@@ -50,7 +50,7 @@ CELL = 2048  # members of a bucket whose registers one task compares with one an
 BLOCK = 256  # classes whose sets travel together
 REQUESTS = 512  # requests a copy of a block answers
 
-_SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, regs binary"
+_SKETCH = "doc_id long, text_key long, n_shingles long, f1 long, f2 long, regs binary"
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,15 +63,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 f2.append(np.bitwise_xor.reduce(mix(s ^ U64(0x5851F42D4C957F2D))) if len(s) else U64(0))
                 regs.append(b"".join(r.tobytes() for _, r in hmh.registers(s)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo).cast(pa.int64()), pa.array(size, pa.int64()),
+                [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(size, pa.int64()),
                  pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)), pa.array(regs, pa.binary())],
-                names=["doc_id", "n_shingles", "f1", "f2", "regs"],
+                names=["doc_id", "text_key", "n_shingles", "f1", "f2", "regs"],
             )
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, regs) of each row; regs is empty for an empty set."""
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(_sketch, _SKETCH)
+    """(doc_id, text_key, n_shingles, f1, f2, regs) of each row; regs is empty for an empty set."""
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.xxhash64(F.col(text_col).cast("string"))).mapInArrow(_sketch, _SKETCH)
 
 
 def _ways(size: int, regs: bytes) -> list[tuple[int, np.ndarray]]:
@@ -267,9 +267,9 @@ def _place(near: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept, text_key) for each row of ``docs``.
 
-    ``component_id`` is the smallest id among the rows reachable over links, the row itself included;
+    ``text_key`` is the text's 64-bit hash. ``component_id`` is the smallest id among the rows reachable over links, the row itself included;
     ``kept`` says that it is the row's own id. A null id gives a null component and is kept."""
     scratch = Scratch(docs.sparkSession)
     rows = scratch.keep(sketches(docs, id_col, text_col))
@@ -295,21 +295,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = classes.select(F.col("cid").alias("f1"), F.col("doc_id").alias("first_id"))
     own = own.join(label, "f1", "left").select("f1", F.coalesce("linked", "first_id").alias("class_id"))
     out = rows.join(own, "f1", "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "text_key", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("class_id"))).otherwise(F.col("doc_id")).alias("component_id"),
     )
-    return scratch.finish(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    return scratch.finish(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_key"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept: one of each group of near duplicates, all columns unchanged.
 
-    Repeated rows of one id count once. Rows with a null id all stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    twice = found.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_twice")).count().filter("count > 1").select("_twice")
-    key = F.col(id_col).cast("long")
-    left = docs.join(gone, key == F.col("_gone"), "left_anti")
-    single = left.join(twice, key == F.col("_twice"), "left_anti")
-    repeated = left.join(twice, key == F.col("_twice"), "left_semi")
-    return single.unionByName(repeated.dropDuplicates([id_col]))
+    Repeated rows (equal id and text) count once. Rows with a null id all stay. The texts are shuffled
+    once, to meet the slim table of kept rows; dropping repeats needs no further shuffle."""
+    found = near_duplicates(docs, id_col, text_col).filter("kept and doc_id is not null")
+    found = found.select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
+    rows = docs.withColumns({"_id": F.col(id_col).cast("long"), "_key": F.xxhash64(F.col(text_col).cast("string"))})
+    same = (F.col("_id") == F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key"))
+    kept = rows.filter("_id is not null").join(found.hint("merge"), same, "left_semi")
+    turn = F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_key"))
+    kept = kept.withColumn("_turn", turn).filter("_turn = 1").drop("_turn")
+    return kept.unionByName(rows.filter("_id is null")).drop("_id", "_key")

@@ -81,8 +81,7 @@ def test_registers_estimate_similarity_without_bias():
 def test_every_similar_size_pair_shares_a_way():
     for b in range(1, 600):
         for a in range(-(-3 * b // 4), b + 1):
-            ways = [{0} * 0 or ({0} if n <= hyperminhash.EVERY_MAX else set()) | ({1} if n >= hyperminhash.SPLIT_MIN else set()) for n in (a, b)]
-            assert ways[0] & ways[1], (a, b)
+            assert b <= hyperminhash.EVERY_MAX or a >= hyperminhash.SPLIT_MIN, (a, b)
 
 
 def test_components_of_chains_stars_and_loops(spark):
@@ -131,8 +130,8 @@ def test_near_duplicates_edge_rows(spark):
     assert left.columns == docs.columns
     assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([3, 6, 7, None], key=str)
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
-    twice = docs_of(spark, [t, t], ids=[4, 4])
-    assert [r.doc_id for r in near_dedup.deduplicate(twice).collect()] == [4]
+    twice = docs_of(spark, [t, t, "an other text", t], ids=[4, 4, 4, 2])
+    assert sorted(tuple(r)[:2] for r in near_dedup.deduplicate(twice).collect()) == [(2, t), (4, "an other text")]
 
 
 # --- 2 -------------------------------------------------------------------------------------------
@@ -287,7 +286,7 @@ def test_toxicity(spark, labelled_docs):
     docs, labels = labelled_docs
     model = toxicity.train(docs, labels)
     assert (np.diff(model.cuts) > 0).all()
-    got = held_out(toxicity.toxicity(docs, model), labels.filter("quality = 1"), "toxic_label" if False else "quality")
+    got = held_out(toxicity.toxicity(docs, model), labels.filter("quality = 1").drop("toxic"), "quality")
     known = {r.doc_id: r.toxic for r in labels.collect()}
     truth = got.doc_id.map(known)
     assert got.toxic[truth == 1].mean() > 0.9
@@ -472,5 +471,5 @@ def test_license_scan(spark):
     ]
     docs = docs_of(spark, [*texts, texts[1]], ids=[*range(len(texts)), 1]).withColumn("license", F.lit("clash")).withColumn("k", F.lit(0))
     got = {(r.doc_id, r.license): (r.n_shingles, r.n_found) for r in licenses.licenses(docs).collect()}
-    assert got == {(0, "Apache-2.0"): (3, 3), (1, "All-Rights-Reserved"): (1, 1), (5, "MIT"): (1, 1), (6, "CC-BY-NC-4.0"): (3, 3)}
+    assert got == {(0, "Apache-2.0"): (4, 4), (1, "All-Rights-Reserved"): (1, 1), (5, "MIT"): (1, 1), (6, "CC-BY-NC-4.0"): (3, 3)}
     assert licenses.licenses(docs.limit(0)).count() == 0
