@@ -4,7 +4,7 @@ Grades run from 0 (not toxic) to 3. The labels say only toxic or not, so the gra
 texts are set from the texts: terms that occur in toxic texts far more often than chance allows are
 found first, and toxic texts are cut into thirds by how many such terms they hold. The regression
 ``P(grade <= k) = sigmoid(cut[k] - w . x)`` shares one weight vector ``w`` across the ordered cuts; the
-result is the expected grade. Features are ``log1p`` of each chosen term's count in the whole text.
+result is the expected grade. Features are ``1 + log(count)`` of each chosen term that a whole text holds.
 
 Terms are runs of ASCII letters and digits or non-ASCII bytes, A-Z folded, and their first 4 to 8
 bytes, which stand for a stem with any ending. A null or empty text has no
@@ -77,33 +77,57 @@ def probabilities(cuts: np.ndarray, eta: np.ndarray) -> np.ndarray:
     return np.diff(edges, axis=1)
 
 
-def fit(texts: list[str], toxic: np.ndarray, steps: int = 300, rate: float = 0.1, decay: float = 1e-4) -> Severity:
-    column = pa.array(texts, pa.string())
-    hashes, owner = [], []
-    for lo, _, block in blocks(column):
-        h, t = _terms(block)
-        hashes.append(h)
-        owner.append(t + lo)
-    h, t = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (hashes, owner))
-    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
-    none = Severity(np.zeros(0, np.uint64), np.zeros(0), np.array([30.0] * (GRADES - 1)) + np.arange(GRADES - 1))
-    if not n1 or not n0 or not len(h):
+def _held(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(texts, hashes, owners) block by block; owners count from the block's first text."""
+    for lo, hi, block in blocks(pa.array(texts, pa.string())):
+        yield (hi - lo, *_terms(block))
+
+
+def _distinct(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The hashes with each text's repeats left out."""
+    order = np.lexsort((hashes, owner))
+    h, t = hashes[order], owner[order]
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
+    return h[first]
+
+
+def choose_terms(texts: list[str], toxic: np.ndarray) -> np.ndarray:
+    """Sorted hashes of the terms whose share of toxic texts stands out.
+
+    Candidates come from the toxic texts alone; the others are counted for those only, a block at a time."""
+    yes = [t for t, v in zip(texts, toxic, strict=True) if v]
+    no = [t for t, v in zip(texts, toxic, strict=True) if not v]
+    none = np.zeros(0, np.uint64)
+    if not yes or not no:
         return none
-    # Terms whose share of toxic texts stands out.
-    vocab, code = np.unique(h, return_inverse=True)
-    seen = np.unique(t * len(vocab) + code)
-    of, term = seen // len(vocab), seen % len(vocab)
-    d1 = np.bincount(term, toxic[of], len(vocab))
-    d0 = np.bincount(term, 1 - toxic[of], len(vocab))
+    vocab, d1 = np.unique(np.concatenate([_distinct(h, t) for _, h, t in _held(yes)] or [none]), return_counts=True)
+    vocab, d1 = vocab[d1 >= LEAST_TEXTS], d1[d1 >= LEAST_TEXTS]
+    if not len(vocab):
+        return none
+    d0 = np.zeros(len(vocab), np.int64)
+    for _, h, t in _held(no):
+        h = _distinct(h, t)
+        at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
+        d0 += np.bincount(at[vocab[at] == h], minlength=len(vocab))
+    n1, n0 = len(yes), len(no)
     share = (d1 + d0) / (n1 + n0)
     z = (d1 / n1 - d0 / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
-    good = np.flatnonzero((z >= LEAST_Z) & (d1 >= LEAST_TEXTS) & (d1 >= LEAST_SHARE * (d1 + d0)))
-    good = np.sort(good[np.argsort(-z[good], kind="stable")[:MOST_TERMS]])
-    if not len(good):
-        return none
-    terms = vocab[good]
-    row, col, count = _matrix(h, t, len(texts), terms)
-    value = np.log1p(count)
+    good = np.flatnonzero((z >= LEAST_Z) & (d1 >= LEAST_SHARE * (d1 + d0)))
+    return np.sort(vocab[good[np.argsort(-z[good], kind="stable")[:MOST_TERMS]]])
+
+
+def fit(texts: list[str], toxic: np.ndarray, steps: int = 300, rate: float = 0.1, decay: float = 1e-4) -> Severity:
+    terms = choose_terms(texts, toxic)
+    if not len(terms):
+        return Severity(terms, np.zeros(0), 30.0 + np.arange(GRADES - 1))
+    parts, done = [], 0
+    for n, h, t in _held(texts):
+        row, col, count = _matrix(h, t, n, terms)
+        parts.append((row + done, col, count))
+        done += n
+    row, col, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+    value = 1 + np.log(count)
     held = np.bincount(row, count, len(texts))
     grade = np.zeros(len(texts), int)
     thirds = np.quantile(held[toxic == 1], [1 / 3, 2 / 3])
@@ -147,7 +171,7 @@ def toxicity(docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col:
         for batch in batches:
             for lo, hi, texts in blocks(batch.column(1)):
                 row, col, count = _matrix(*_terms(texts), hi - lo, model.terms)
-                p = probabilities(model.cuts, np.bincount(row, np.log1p(count) * model.weight[col], hi - lo))
+                p = probabilities(model.cuts, np.bincount(row, (1 + np.log(count)) * model.weight[col], hi - lo))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(p @ np.arange(GRADES)), pa.array(p.argmax(1), pa.int32()), pa.array(p[:, 0] < 0.5)],
                     names=["doc_id", "severity", "grade", "toxic"],
