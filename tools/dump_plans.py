@@ -46,14 +46,15 @@ def main():
     spark = get_spark("local[8]", shuffle_partitions=16)
     run = Run(FX.load_inputs(spark, sf_dir, P), P)
     slim = D.regression_input(X.cost_extract(run.inputs.cost_assets, P), P)
-    rows = D.assign_rows(slim, run.schedules)
+    keep = run._tables.keep
+    cells = keep(D.sd_filter_cells(D.age_cells(slim, run.schedules), P.sd_multiplier).where("keep"))
+    fitted = keep(D.fitted_cells(cells, P))
     stages = {
-        "decay pass 1: (schedule, age) cells": D.age_cells(rows),
-        "decay pass 2: influential filter + through-origin sums": D.decay_fit(rows, P),
+        "decay pass 1: (schedule, age) cells": D.age_cells(slim, run.schedules),
+        "decay pass 2: influential rows": D.influential_rows(slim, fitted, run.schedules),
         "retail cells (one comparables scan, three periods)": R.retail_cells(run.inputs.comparables, run.schedules, P),
-        "auction means (published values, recession period)": R.auction_means(
-            X.auction_recession(run.inputs.class_values, P), run.schedules, "recession"),
-        "publication tail (after the checkpointed stages)": run.prepare().upload,
+        "auction means (published values, both periods)": R.auction_means(X.auction_published(run.inputs.class_values, P), run.schedules),
+        "publication tail (after the written stages)": run.prepare().upload,
     }
     for title, df in stages.items():
         t = tree(df)
@@ -66,10 +67,8 @@ def main():
         summary = ", ".join(f"{k}: {v}" for k, v in sorted(ops.items()) if k.split(" ")[0] in (
             "Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "BroadcastNestedLoopJoin",
             "Window", "FileScan", "Generate"))
-        if title.startswith("publication tail"):
-            print(f"### {title}\noperator counts: {summary}\n")
-        else:
-            print(f"### {title}\noperator counts: {summary}\n```\n{t}\n```\n")
+        print(f"### {title}\noperator counts: {summary}\n```\n{t}\n```\n")
+    run.close()
 
 
 if __name__ == "__main__":
