@@ -206,5 +206,5 @@ def contaminations(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates, all columns unchanged."""
     leaks = contaminations(docs, benchmark, percent, id_col, text_col).select(F.col("text_key").alias("_leak")).distinct()
-    key = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    return docs.join(leaks, key == F.col("_leak"), "left_anti")
+    key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    return docs.join(leaks, key == leaks["_leak"], "left_anti")

@@ -308,9 +308,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     once, to meet the slim table of kept rows; dropping repeats needs no further shuffle."""
     found = near_duplicates(docs, id_col, text_col).filter("kept and doc_id is not null")
     found = found.select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
-    rows = docs.withColumns({"_id": F.col(id_col).cast("long"), "_key": F.xxhash64(F.col(text_col).cast("string"))})
-    same = (F.col("_id") == F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key"))
-    kept = rows.filter("_id is not null").join(found.hint("merge"), same, "left_semi")
-    turn = F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_key"))
-    kept = kept.withColumn("_turn", turn).filter("_turn = 1").drop("_turn")
-    return kept.unionByName(rows.filter("_id is null")).drop("_id", "_key")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
+    kept = rows.filter("id is not null").join(found.hint("merge"), F.expr("id = _kept_id and key = _kept_key"), "left_semi")
+    turn = F.row_number().over(Window.partitionBy("id", "key").orderBy("key"))
+    kept = kept.withColumn("turn", turn).filter("turn = 1").select("row.*")
+    return kept.unionByName(rows.filter("id is null").select("row.*"))
