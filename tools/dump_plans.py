@@ -43,7 +43,7 @@ def main():
     from depreco.sources import extracts as X
     from depreco.sources import fixtures as FX
 
-    spark = get_spark("local[8]", shuffle_partitions=16)
+    spark = get_spark(os.environ.get("CHECK_MASTER", "local[8]"), shuffle_partitions=16)
     run = Run(FX.load_inputs(spark, sf_dir, P), P)
     slim = D.regression_input(X.cost_extract(run.inputs.cost_assets, P), P)
     keep = run._tables.keep
