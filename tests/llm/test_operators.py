@@ -85,11 +85,11 @@ def test_every_similar_size_pair_shares_a_way():
 
 
 def test_components_of_chains_stars_and_loops(spark):
-    chain = [(i, i + 1) for i in range(100, 140)]
+    chain = [(i, i + 1) for i in range(100, 120)]
     star = [(7, i) for i in range(8, 40)]
     links = spark.createDataFrame([*chain, *star, (7, 7), (60, 50), (50, 60), (8, 7)], "a long, b long")
     got = {r.node: r.label for r in components(links, Scratch(spark)).collect()}
-    assert got == {**{i: 100 for i in range(100, 141)}, **{i: 7 for i in range(7, 40)}, 50: 50, 60: 50}
+    assert got == {**{i: 100 for i in range(100, 121)}, **{i: 7 for i in range(7, 40)}, 50: 50, 60: 50}
     assert components(links.limit(0), Scratch(spark)).count() == 0
 
 
