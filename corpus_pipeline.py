@@ -16,7 +16,7 @@ from depreco.llm.catalog import table
 from depreco.llm.decontaminate import decontaminate
 from depreco.llm.line_dedup import line_dedup
 from depreco.llm.mixing import mix_sources
-from depreco.llm.near_dedup import deduplicate
+from depreco.llm.near_dedup import deduplicate, near_duplicates
 from depreco.llm.quality_cnn import quality_filter, train
 from depreco.llm.store import Scratch
 
@@ -27,8 +27,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source."""
-    rows = line_dedup(docs)
+    """All documents, without the boilerplate lines of their source.
+
+    Near copies count as one page, else what the members of a large group share would be taken for boilerplate."""
+    rows = line_dedup(docs, classes=near_duplicates(docs))
     changed = F.when(F.col("n_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
     new = {"text": F.col("text"), "n_chars": changed}
     return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
