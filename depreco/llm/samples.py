@@ -19,7 +19,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int
 
     The rows are those of the smallest hashes of their ids, so reruns agree; ids are picked from the
     slim label table first and, as their number is bounded by ``per_class``, broadcast to the texts.
-    Null ids or labels, repeated label rows and texts over TRAIN_BYTES are left out of training."""
+    Of the rows that share an id one text, that of the smallest hash, is left before anything comes to the
+    driver. Null ids or labels, repeated label rows and texts over TRAIN_BYTES are left out of training."""
     known = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).filter(fold(id_col) != 1)
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.min(label).cast("int").alias("_label"))
     picked = None
@@ -28,5 +29,5 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int
         picked = part if picked is None else picked.union(part)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).filter(F.octet_length("_text") <= TRAIN_BYTES)
-    found = rows.join(F.broadcast(picked), "_id").select("_id", "_text", "_label").collect()
-    return [(r._text, r._label) for r in sorted({(r._id, r._text, r._label): r for r in found}.values(), key=lambda r: (r._id, r._text))]
+    found = rows.join(F.broadcast(picked), "_id").groupBy("_id", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")).collect()
+    return [(r._text, r._label) for r in sorted(found, key=lambda r: r._id)]
