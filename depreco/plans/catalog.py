@@ -196,6 +196,10 @@ def q_decay_by_class(spark, sf_dir):
     return _round(stages(spark, sf_dir).decay_class, ["ResidSF"])
 
 
+# The earlier name.
+QUERIES["residual_by_class"], ORACLES["residual_by_class"] = QUERIES["decay_by_class"], ORACLES["decay_by_class"]
+
+
 # -- economic factors (DOM-05..08) ---------------------------------------------------------------------
 @register("weighted_rollup", "SELECT period, Schedule, SaleYear, yearAge, units AS totalunits, r6(mean) AS avg FROM buckets")
 def q_weighted_rollup(spark, sf_dir):

@@ -1,0 +1,8 @@
+"""Query names of earlier rounds stay registered."""
+
+from depreco.plans.catalog import ORACLES, QUERIES
+
+
+def test_earlier_name_of_decay_by_class():
+    assert QUERIES["residual_by_class"] is QUERIES["decay_by_class"]
+    assert ORACLES["residual_by_class"] == ORACLES["decay_by_class"]
