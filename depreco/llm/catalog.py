@@ -1,16 +1,17 @@
 """Registered queries of the operators on text corpora, with their DuckDB SQL where SQL can say it.
 
 Every query reads whole tables; no row or text is cut. The trained operators (3, 5, 6), the token counts
-(2), the tiles (7) and the mined rules (8) have no SQL; tests hold them against brute-force versions,
-the tokenizer library or held-out labels."""
+and ids (2, 13), the tiles (7) and the mined rules (8) have no SQL; tests hold them against brute-force
+versions, the tokenizer library or held-out labels."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_count, decontaminate, licenses, line_dedup, mixing, near_dedup, quality_cnn, quality_rules, sql, toxicity, url_rules
+from . import bpe_count, byte_bpe, decontaminate, licenses, line_dedup, mixing, near_dedup, quality_cnn, quality_rules, sql, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,11 +65,25 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN, path
+
+    ranks = str(path("byte_bpe_50k.tiktoken"))
+    coded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, PATTERN), ranks)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_token_counts, op3_quality_classifier, op4_source_mix, op5_quality_rules,
         op6_toxicity, op7_decontamination, op8_url_filter, op9_line_dedup, op10_license_scan,
+        op13_byte_bpe,
     )
 }
 
