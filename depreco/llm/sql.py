@@ -137,3 +137,38 @@ WITH given(tid, license, text) AS (VALUES {values}
 SELECT d.doc_id, b.license, b.n_shingles::INTEGER AS n_shingles, b.n_found::INTEGER AS n_found, b.at_word::INTEGER AS at_word
 FROM best b JOIN docs d ON d.page = b.page WHERE b.place = 1
 """
+
+
+def vector_codes(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Each round is a pair of tables: assignments by plain squared distances, and the codebook of their floored means."""
+    square = "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+    SELECT c.r, c.p, min({{'d': {square.format("c.x", "b.x")}::BIGINT, 'e': b.e}}) AS best FROM cut c JOIN book{i} b ON b.p = c.p GROUP BY 1, 2
+)""")
+        if i < rounds:
+            steps.append(f"""sums{i} AS (
+    SELECT c.p, n.best.e AS e, unnest(c.x) AS v, generate_subscripts(c.x, 1) AS k FROM cut c JOIN near{i} n ON n.r = c.r AND n.p = c.p
+), means{i} AS (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS x FROM (SELECT p, e, k, sum(v)::BIGINT AS s, count(*) AS n FROM sums{i} GROUP BY 1, 2, 3) GROUP BY 1, 2
+), book{i + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{i} b LEFT JOIN means{i} m ON m.p = b.p AND m.e = b.e
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+    SELECT r, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, (SELECT unnest(range({parts})) AS p)
+), book0 AS MATERIALIZED (
+    SELECT p, r - 1 AS e, x FROM cut WHERE r <= {entries}
+), {", ".join(steps)}, digest AS (
+    SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, e, k)) AS codebooks_sha256
+    FROM (SELECT p, e, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM book{rounds})
+), coded AS (
+    SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY r
+)
+SELECT k.vec_id, k.label, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, d.codebooks_sha256
+FROM kept k JOIN coded c ON c.r = k.r, digest d
+"""
