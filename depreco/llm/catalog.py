@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, byte_bpe, decontaminate, licenses, line_dedup, mixing, near_dedup, quality_cnn, quality_rules, sql, toxicity, url_rules, vector_codes
+from . import bpe_count, byte_bpe, decontaminate, licenses, line_dedup, mixing, near_dedup, quality_cnn, quality_rules, spelling, sql, toxicity, url_rules, vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.word_counts(spelling.occurrences(table(spark, sf_dir, "documents"))))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -87,7 +91,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_near_dedup, op2_token_counts, op3_quality_classifier, op4_source_mix, op5_quality_rules,
         op6_toxicity, op7_decontamination, op8_url_filter, op9_line_dedup, op10_license_scan,
-        op12_vector_codes, op13_byte_bpe,
+        op11_spelling_variants, op12_vector_codes, op13_byte_bpe,
     )
 }
 
@@ -96,5 +100,6 @@ ORACLES: dict[str, str] = {
     "op4_source_mix": sql.MIXING,
     "op9_line_dedup": sql.LINE_DEDUP,
     "op10_license_scan": sql.licenses(licenses.TEMPLATES, licenses.PERCENT),
+    "op11_spelling_variants": sql.spelling(spelling.LEAST_LENGTH, spelling.LEAST_COUNT, spelling.DROP_EVERY, spelling.TIMES),
     "op12_vector_codes": sql.vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE),
 }

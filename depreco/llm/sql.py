@@ -172,3 +172,48 @@ WITH kept AS MATERIALIZED (
 SELECT k.vec_id, k.label, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, d.codebooks_sha256
 FROM kept k JOIN coded c ON c.r = k.r, digest d
 """
+
+
+def spelling(least_length: int, least_count: int, drop_every: int, times: int) -> str:
+    """Near words by leaving out each letter in turn; crc32 by its table, byte by byte."""
+    letters = "[a-z" + chr(0xC0) + "-" + chr(0xFF) + "]+"
+    return f"""
+WITH RECURSIVE crc AS MATERIALIZED (
+    SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256)) AS i)
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all({_FOLD.format("text")}, '{letters}')) AS run FROM documents
+), counted AS (
+    SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS own, count(*) AS n FROM runs WHERE length(run) >= {least_length} GROUP BY 1, 2
+), spelled AS (
+    SELECT run, n, hex(encode(own)) AS code FROM counted
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, length(code)::BIGINT, 2), lambda i: ('0x' || code[i:i + 1])::BIGINT)),
+                                               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+    FROM spelled, crc
+), kept AS (
+    SELECT CASE WHEN h % {drop_every} = 0 THEN CASE WHEN h % length(run) = 0 THEN '' ELSE run[:h % length(run)] END || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed
+), words AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM kept WHERE length(word) >= {least_length} GROUP BY 1 HAVING sum(n) >= {least_count}
+), places AS (
+    SELECT word, n, unnest(range(length(word))) AS i FROM words
+), without AS MATERIALIZED (
+    SELECT word, n, i, CASE WHEN i = 0 THEN '' ELSE word[:i] END || word[i + 2:] AS rest FROM places
+), near AS (
+    SELECT a.word, b.word AS other, b.n FROM without a JOIN without b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM without a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM without a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, min({{'n': -n, 'w': other}}) AS first FROM near GROUP BY 1
+), linked AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN -b.first.n >= {times} * w.n THEN b.first.w END AS form, CASE WHEN -b.first.n >= {times} * w.n THEN -b.first.n END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word
+), walk AS (
+    SELECT word, word AS at FROM linked
+    UNION ALL
+    SELECT k.word, l.form FROM walk k JOIN linked l ON l.word = k.at WHERE l.form IS NOT NULL
+), ends AS (
+    SELECT k.word, k.at AS root FROM walk k JOIN linked l ON l.word = k.at WHERE l.form IS NULL
+)
+SELECT l.word, l.n, l.n_near::BIGINT AS n_near, l.form, l.form_n::BIGINT AS form_n, e.root FROM linked l JOIN ends e ON e.word = l.word
+"""
