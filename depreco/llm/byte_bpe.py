@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from .store import ship
 
-MEMO_PIECES = 400_000  # pieces of up to MEMO_BYTES whose ids a worker remembers, in each of two halves
+MEMO_PIECES = 100_000  # pieces of up to MEMO_BYTES whose ids a worker remembers, in each of two halves
 MEMO_BYTES = 48
-BLOCK_CHARS = 1 << 21  # texts are taken in blocks of about so many characters; a longer one is matched in parts of it
+TABLES = 1 << 13  # pieces whose tables are filled side by side
+BLOCK_CHARS = 1 << 20  # texts are taken in blocks of about so many characters; a longer one is matched in parts of it
 
 _ID = 20  # bits of a token's rank in the key of a pair
 
@@ -181,8 +182,8 @@ class Vocabulary:
         order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
         size = np.array([len(pieces[i]) for i in order], np.int64)
         width = int(size[0])
-        data = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in order), np.uint8).reshape(len(order), width).astype(np.int64)
-        last = np.full((len(order), width + 1), -1, np.int64)
+        data = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in order), np.uint8).reshape(len(order), width)
+        last = np.full((len(order), width + 1), -1, np.int32)
         for end in range(1, width + 1):
             rows = np.arange(np.searchsorted(-size, -end, "right"))  # the pieces that are as long
             node, found = np.zeros(len(rows), np.int64), []
@@ -196,7 +197,7 @@ class Vocabulary:
             for at, rows, token in reversed(found):
                 open_ = last[rows, end] < 0
                 rows, token = rows[open_], token[open_]
-                good = self.all_fit(last[rows, at], token) if at else slice(None)
+                good = self.all_fit(last[rows, at].astype(np.int64), token) if at else slice(None)
                 last[rows[good], end] = token[good]
         rows, at, steps = np.arange(len(order)), size.copy(), []
         n = np.zeros(len(order), np.int64)
@@ -331,8 +332,9 @@ class Encoder:
                 fresh.append((p, data))
             else:
                 long[p] = np.array(self.vocabulary.encode(data), "<i4").tobytes()
-        if fresh:
-            out.update(zip([p for p, _ in fresh], self.vocabulary.encode_all([d for _, d in fresh]), strict=True))
+        for lo in range(0, len(fresh), TABLES):
+            own = fresh[lo : lo + TABLES]
+            out.update(zip([p for p, _ in own], self.vocabulary.encode_all([d for _, d in own]), strict=True))
         self.new.update(out)
         return out | long
 
@@ -380,8 +382,9 @@ def _content(spark, ranks: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """(doc_id, ids) of each row: the ids of the whole text, matches of ``pattern`` encoded one by one.
+    With ``decoded`` also the bytes that the ids decode to, as :func:`decode` gives them, in the same pass.
 
     ``ranks`` is a path on the driver; its content (about a megabyte, no larger for more documents) is broadcast.
     A null or empty text has no ids, an empty array. Repeated rows are encoded each; a null id stays null; other columns
@@ -390,7 +393,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
     content = _content(docs.sparkSession, ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(content.value, pattern)
+        own, by_rank = encoder(content.value, pattern), vocabulary_bytes(content.value)
         for batch in batches:
             for lo, hi in spans(batch.column(1)):
                 packed = own.encode([x or "" for x in batch.column(1).slice(lo, hi - lo).to_pylist()])
@@ -398,10 +401,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
                 np.cumsum([len(x) // 4 for x in packed], out=ends[1:])
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
                 ids = pa.ListArray.from_arrays(pa.array(ends), values)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), ids], names=["doc_id", "ids"])
+                made = {"doc_id": batch.column(0).slice(lo, hi - lo), "ids": ids}
+                yield pa.RecordBatch.from_pydict(made | ({"decoded": joined_bytes(ids, by_rank)} if decoded else {}))
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, ids array<int>")
+    return texts.mapInArrow(run, "doc_id long, ids array<int>" + (", decoded binary" if decoded else ""))
 
 
 def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -414,22 +418,25 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
         by_rank = vocabulary_bytes(content.value)
         for batch in batches:
             lists = batch.column(1).fill_null(pa.scalar([], pa.list_(pa.int32()))) if batch.column(1).null_count else batch.column(1)
-            ends = lists.offsets.to_numpy().astype(np.int64)
-            ids = lists.values.slice(ends[0], ends[-1] - ends[0])
-            known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(by_rank)))
-            tokens = by_rank.take(pc.if_else(known, ids, None))
-            if tokens.null_count:
-                raise ValueError("an id outside the vocabulary")
-            _, offsets, data = tokens.buffers()
-            cut = np.frombuffer(offsets, np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
-            spans = cut[ends - ends[0]]
-            out = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(spans.tobytes()), data])
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, out.cast(pa.binary())], names=["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, joined_bytes(lists, by_rank)], names=["doc_id", "ids", "decoded"])
 
     rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
+def joined_bytes(lists: pa.ListArray, by_rank: pa.Array) -> pa.Array:
+    """The bytes of each list of ids."""
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    ids = lists.values.slice(ends[0], ends[-1] - ends[0])
+    known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(by_rank)))
+    tokens = by_rank.take(pc.if_else(known, ids, None))
+    if tokens.null_count:
+        raise ValueError("an id outside the vocabulary")
+    _, offsets, data = tokens.buffers()
+    cut = np.frombuffer(offsets, np.int64)[tokens.offset : tokens.offset + len(tokens) + 1][ends - ends[0]]
+    return pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(cut.tobytes()), data]).cast(pa.binary())
+
+
 @lru_cache(maxsize=2)
 def vocabulary_bytes(content: bytes) -> pa.Array:
     """Bytes of each token by rank; null where a rank has none."""

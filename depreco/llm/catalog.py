@@ -76,8 +76,7 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN, path
 
-    ranks = str(path("byte_bpe_50k.tiktoken"))
-    coded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, PATTERN), ranks)
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), str(path("byte_bpe_50k.tiktoken")), PATTERN, decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

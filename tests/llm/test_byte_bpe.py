@@ -129,6 +129,7 @@ def test_odd_rows(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("clash")).withColumn("decoded", F.lit(1))
     coded = byte_bpe.decode(byte_bpe.encode(docs, RANKS, public.PATTERN), RANKS).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.ids, bytes(r.decoded)) for r in coded) == sorted((i is None, i or 0, lib.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows)
+    assert sorted(byte_bpe.encode(docs, RANKS, public.PATTERN, decoded=True).collect(), key=str) == sorted(coded, key=str)
     assert byte_bpe.decode(byte_bpe.encode(docs.limit(0), RANKS, public.PATTERN), RANKS).count() == 0
 
 
