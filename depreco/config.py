@@ -63,6 +63,8 @@ class Params:
     cost_age_high: float = 10.0
     cost_history_months: int = 144
     small_group: str = "zero"  # 'zero' (as the original) or 'null'
+    outlier: str = "age"  # 'age' (as the original), or with a filter on the ratio as well: 'ratio_sd', 'iqr'
+    ratio_multiplier: float = 3.0  # of that filter: standard deviations, or interquartile ranges beyond the quartiles
     # economic factors
     num_threshold: int = 20
     halfyear_shift: float = 5.5

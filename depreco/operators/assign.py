@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEVELS = ("Category", "SubcatGroup", "Make")
+CLASS = ["CategoryId", "SubcategoryId", "MakeId"]
 
 
 def assign_schedules(rows: DataFrame, schedules: DataFrame) -> DataFrame:
@@ -36,3 +37,33 @@ def assign_schedules(rows: DataFrame, schedules: DataFrame) -> DataFrame:
     f = rows.select(*cols, keys.alias("_k"))
     cond = F.expr("_k.l = _ml AND _k.c <=> _mc AND _k.s <=> _ms AND _k.m <=> _mm")
     return f.join(m, cond).select(*cols, "Schedule")
+
+
+def closure(classes: DataFrame, schedules: DataFrame) -> DataFrame:
+    """(class, schedules): every schedule that a class reads at any level, as an array, with repeats where several
+    map rows give it. Built at class grain, however often a class occurs in ``classes``."""
+    found = assign_schedules(classes.select(*CLASS).distinct(), schedules)
+    return found.groupBy(*CLASS).agg(F.collect_list("Schedule").alias("schedules"))
+
+
+def _same_class(renamed: str):
+    same = F.lit(True)
+    for c in CLASS:
+        same = same & F.col(c).eqNullSafe(F.col(f"{renamed}{c}"))
+    return same
+
+
+def assign_by_closure(rows: DataFrame, closed: DataFrame) -> DataFrame:
+    """As :func:`assign_schedules`, from the closure of the rows' classes: one equi-join on the class, and no
+    row is expanded but to the schedules that it has."""
+    side = closed.select(*[F.col(c).alias(f"_{c}") for c in CLASS], "schedules")
+    return rows.join(side, _same_class("_")).select(*rows.columns, F.explode("schedules").alias("Schedule"))
+
+
+def with_lists(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """Rows of the (class, AgeMonths) that ``lists`` holds, with its column ``list``.
+
+    ``lists`` is a written table of pruned cells, so the planner knows its size: while it is small it is broadcast and the
+    rows stay where they are; beyond that both sides are shuffled on the class and the age."""
+    side = lists.select(*[F.col(c).alias(f"_{c}") for c in (*CLASS, "AgeMonths")], "list")
+    return rows.join(side, (F.col("AgeMonths") == F.col("_AgeMonths")) & _same_class("_")).select(*rows.columns, "list")

@@ -8,9 +8,11 @@ levels and joined to the schedule map, so a category that holds a third of all r
 few cells. The standard-deviation filter, the fit with intercept, the hat values and the
 mean Cook's distance are exact functions of the cell sums.
 
-The second pass must look at single rows: it joins each row to its class cell's list of fits
-(class grain) and expands only the rows that are influential in some schedule; their sums are
-taken off the cell sums. No window spans a schedule's rows; nothing is collected to the driver.
+Single rows are looked at once more, and only where it may matter. A row's Cook's distance grows with its
+squared residual, which is convex in y, so a class cell holds an influential row only if its least or its
+largest y is one. The cells that pass are a short written list, which each row of their classes and ages
+meets; where no cell passes the facts are not read again. The influential rows' sums are taken off the cell
+sums. No window spans a schedule's rows; nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 
 from depreco.config import Params
 from depreco.functions import age_years_4dp, clamp, safe_div
-from depreco.operators.assign import assign_schedules
+from depreco.operators import outliers
+from depreco.operators.assign import CLASS, assign_by_closure, assign_schedules, closure, with_lists
 
 # Leverage this close to 1 is treated as exactly 1 (Cook's distance undefined).
 HAT_ONE_TOL = 1e-9
@@ -29,21 +32,21 @@ HAT_ONE_TOL = 1e-9
 def regression_input(cost_rows: DataFrame, p: Params) -> DataFrame:
     """Cost rows in the age band with an in-band ratio, reduced to the fit's columns.
 
-    Both filters are properties of the row, so they run before the schedule explode."""
+    Both filters are properties of the row, so they run before anything is aggregated."""
     keep = F.col("Age").between(p.cost_age_low, p.cost_age_high) & (F.col("Flag") == "inUse")
     return cost_rows.where(keep).select(
         "CategoryId", "SubcategoryId", "MakeId", "AgeMonths", F.col("Age").alias("x"),
-        F.log(F.col("CostRatio")).alias("y"),
+        F.log(F.col("CostRatio")).alias("y"), F.col("CostRatio").alias("r"),
     )
 
 
-CLASS = ["CategoryId", "SubcategoryId", "MakeId"]
-
-
 def class_cells(slim: DataFrame) -> DataFrame:
-    """(class, AgeMonths) -> n, sum(y), within-cell sum of squares of y: the only pass over all rows."""
+    """(class, AgeMonths) -> n, sum(y), within-cell sum of squares of y and its range: the only pass over all rows."""
     n = F.count(F.lit(1))
-    return slim.groupBy(*CLASS, "AgeMonths").agg(n.alias("n"), F.sum("y").alias("sy"), (F.var_pop("y") * n).alias("ss"))
+    return slim.groupBy(*CLASS, "AgeMonths").agg(
+        n.alias("n"), F.sum("y").alias("sy"), (F.var_pop("y") * n).alias("ss"),
+        F.max("x").alias("x"), F.min("y").alias("y_min"), F.max("y").alias("y_max"),
+    )
 
 
 def merge_cells(cells: DataFrame) -> DataFrame:
@@ -144,21 +147,29 @@ def fitted_cells(cells: DataFrame, p: Params) -> DataFrame:
     return fit_cells(cells.withColumn("_rows", total).where(F.col("_rows") >= p.min_fit_rows).drop("_rows"), p)
 
 
-def influential_rows(slim: DataFrame, fitted: DataFrame, schedules: DataFrame) -> DataFrame:
-    """(Schedule, x, y) of the rows beyond their schedule's Cook threshold.
+_DISTANCE = "power({y} - {f}a - {f}b * x, 2) * {f}lev > {f}threshold"
+
 
-    Rows meet their class cell's fits unexpanded; a class is in few schedules, so the list is short."""
-    classes = slim.select(*CLASS, "AgeMonths").distinct()
-    fits = assign_schedules(classes, schedules).join(fitted.select("Schedule", "AgeMonths", "a", "b", "lev", "threshold"), ["Schedule", "AgeMonths"])
-    fits = fits.where(F.col("lev").isNotNull()).groupBy(*CLASS, "AgeMonths").agg(
-        F.collect_list(F.struct("Schedule", "a", "b", "lev", "threshold")).alias("fits")
+def influential_cells(classes: DataFrame, closed: DataFrame, fitted: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
+    """(class, AgeMonths, list): the fits in which the cell's least or largest y is beyond the Cook threshold.
+
+    With ``bounds`` on the ratio the fit's rows are those within them, so the range of y is cut to theirs."""
+    j = assign_by_closure(classes.select(*CLASS, "AgeMonths", "x", "y_min", "y_max"), closed).join(
+        fitted.where(F.col("lev").isNotNull()).select("Schedule", "AgeMonths", "a", "b", "lev", "threshold"), ["Schedule", "AgeMonths"]
     )
-    fits = fits.select(*[F.col(c).alias(f"_{c}") for c in (*CLASS, "AgeMonths")], "fits")
-    same = F.col("AgeMonths") == F.col("_AgeMonths")
-    for c in CLASS:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    hit = F.expr("filter(fits, f -> power(y - f.a - f.b * x, 2) * f.lev > f.threshold)")
-    return slim.join(fits, same).select("x", "y", F.explode(hit).alias("f")).select("f.Schedule", "x", "y")
+    fit = ["Schedule", "a", "b", "lev", "threshold"]
+    if bounds is not None:
+        j = j.join(bounds, ["Schedule", "AgeMonths"])
+        fit += ["lo", "hi"]
+    beyond = F.expr(f"({_DISTANCE.format(y='y_min', f='')}) OR ({_DISTANCE.format(y='y_max', f='')})")
+    return j.where(beyond).groupBy(*CLASS, "AgeMonths").agg(F.collect_list(F.struct(*fit)).alias("list"))
+
+
+def influential_rows(slim: DataFrame, cells: DataFrame, bounded: bool = False) -> DataFrame:
+    """(Schedule, x, y) of the rows beyond their schedule's Cook threshold, from the cells that may hold one."""
+    test = _DISTANCE.format(y="y", f="f.") + (" AND r BETWEEN f.lo AND f.hi" if bounded else "")
+    hit = F.explode(F.expr(f"filter(list, f -> {test})"))
+    return with_lists(slim, cells).select("x", "y", hit.alias("f")).select("f.Schedule", "x", "y")
 
 
 def decay_table(cells: DataFrame, fitted: DataFrame, influential: DataFrame, p: Params) -> DataFrame:
@@ -188,10 +199,20 @@ def decay_table(cells: DataFrame, fitted: DataFrame, influential: DataFrame, p:
 
 def decay_fit(slim: DataFrame, schedules: DataFrame, p: Params, keep=lambda df: df) -> DataFrame:
     """The decay table of regression rows ``slim``; ``keep`` writes a small table that several
-    steps read and returns it."""
-    cells = keep(sd_filter_cells(age_cells(slim, schedules), p.sd_multiplier).where("keep"))
+    steps read and returns it.
+
+    ``p.outlier`` names a further filter on the ratio (:mod:`depreco.operators.outliers`); ``age`` has none."""
+    classes = keep(class_cells(slim))
+    closed = keep(closure(classes, schedules))
+    cells = keep(sd_filter_cells(merge_cells(assign_by_closure(classes, closed)), p.sd_multiplier).where("keep"))
+    bounds = None
+    if p.outlier != "age":
+        cells, bounds = outliers.ratio_filter(slim, closed, cells, p, keep)
     fitted = keep(fitted_cells(cells, p))
-    return decay_table(cells, fitted, influential_rows(slim, fitted, schedules), p)
+    listed = keep(influential_cells(classes, closed, fitted, bounds))
+    if listed.isEmpty():  # nothing to read again
+        slim = slim.limit(0)
+    return decay_table(cells, fitted, influential_rows(slim, listed, bounds is not None), p)
 
 
 def capped_decay(decay: DataFrame, p: Params) -> DataFrame:

@@ -117,6 +117,22 @@ def upload_table(share: DataFrame) -> DataFrame:
 
 
 # -- DOM-17 ---------------------------------------------------------------------------------
+def map_integrity(outputs: DataFrame, taxonomy: DataFrame, schedules: DataFrame) -> DataFrame:
+    """(ClassificationId, Schedule, in_taxonomy, schedule_known) of every output class: whether the taxonomy has it
+    (else it inherits nothing and has no economic factors) and whether some input row feeds its schedule (else
+    it has no factor of its own)."""
+    known = taxonomy.select("ClassificationId").distinct().withColumn("_tax", F.lit(True))
+    fed = schedules.select("Schedule").distinct().withColumn("_fed", F.lit(True))
+    j = outputs.join(known, "ClassificationId", "left").join(fed, "Schedule", "left")
+    return j.select("ClassificationId", "Schedule", F.coalesce("_tax", F.lit(False)).alias("in_taxonomy"), F.coalesce("_fed", F.lit(False)).alias("schedule_known"))
+
+
+def integrity_checks(integrity: DataFrame) -> DataFrame:
+    n = F.count(F.lit(1))
+    rows = [F.struct(F.lit(name).alias("check"), n.alias("lhs"), F.count(F.when(F.col(c), 1)).alias("rhs")) for name, c in (("classes_in_taxonomy", "in_taxonomy"), ("schedules_known", "schedule_known"))]
+    return integrity.agg(F.array(*rows).alias("r")).select(F.inline("r")).withColumn("ok", F.col("lhs") == F.col("rhs"))
+
+
 def reconciliation_checks(classes: DataFrame, unique_of: DataFrame, key: list[str]) -> DataFrame:
     """Row-count equalities between result tables plus key uniqueness, as one checks table.
 

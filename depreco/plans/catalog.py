@@ -19,7 +19,9 @@ from depreco.functions import r6
 from depreco.operators import decay as D
 from depreco.operators import publish as PB
 from depreco.operators import ratios as R
-from depreco.operators.assign import assign_schedules
+from depreco.operators import outliers as OU
+from depreco.operators.assign import CLASS as CLASS_IDS
+from depreco.operators.assign import assign_by_closure, closure
 from depreco.plans import oracle as O
 from depreco.plans.pipeline import Run
 from depreco.sources import extracts as X
@@ -37,10 +39,10 @@ CLASS = ["ClassificationId", *NAMES]
 CLAMPED = P.with_(as_of=date(2001, 5, 15))
 
 
-def register(name: str, oracle: str, as_of: date = P.as_of):
+def register(name: str, oracle: str, as_of: date = P.as_of, points: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
-        ORACLES[name] = O.query(oracle, as_of)
+        ORACLES[name] = O.query(oracle, as_of, points)
         return fn
 
     return deco
@@ -156,7 +158,8 @@ def q_schedule_outputs(spark, sf_dir):
 # -- schedule assignment (DOM-01) --------------------------------------------------------------------
 @register("schedule_assignment", f"SELECT Schedule, CustomerAssetId, ModelYear, Age, {O.r6('CostRatio')}, Flag FROM scheduled_costs")
 def q_schedule_assignment(spark, sf_dir):
-    a = assign_schedules(cost_rows(spark, sf_dir), schedules_in(spark, sf_dir))
+    rows, run = cost_rows(spark, sf_dir), stages(spark, sf_dir)
+    a = assign_by_closure(rows, run.keep(closure(rows.select(*CLASS_IDS), run.schedules)))
     return a.select("Schedule", "CustomerAssetId", "ModelYear", "Age", r6("CostRatio").alias("CostRatio"), "Flag")
 
 
@@ -191,15 +194,40 @@ def q_decay_factor(spark, sf_dir):
     return _round(stages(spark, sf_dir).decay.select("Schedule", "rows_in", "n", "factor"), ["factor"])
 
 
+# Multipliers at which the filters drop rows of the fixtures.
+RATIO_SD = P.with_(outlier="ratio_sd", ratio_multiplier=1.5)
+RATIO_IQR = P.with_(outlier="iqr", ratio_multiplier=0.5)
+
+
+def _decay_with(p):
+    return lambda spark, sf_dir: _round(
+        stages(spark, sf_dir, p).decay.select("Schedule", "rows_in", "n", F.coalesce("n_influential", F.lit(0)).alias("n_influential"), "factor"), ["factor"]
+    )
+
+
+for _name, _p in (("decay_factor_ratio_sd", RATIO_SD), ("decay_factor_iqr", RATIO_IQR)):
+    register(_name, f"""SELECT d.Schedule, d.rows_in, d.n, coalesce(f.n, 0) AS n_influential, {O.r6('d.factor').replace('AS d.factor', 'AS factor')}
+    FROM decay d LEFT JOIN (SELECT Schedule, count(*) AS n FROM judged WHERE far GROUP BY Schedule) f ON f.Schedule = d.Schedule""",
+             points=O.ratio_points(_p.outlier, _p.ratio_multiplier))(_decay_with(_p))
+
+
+@register("ratio_quartiles", f"SELECT Schedule, AgeMonths, n, {O.r6('low', 'high')} FROM quartiles")
+def q_ratio_quartiles(spark, sf_dir):
+    run = stages(spark, sf_dir)
+    slim = D.regression_input(X.cost_extract(run.inputs.cost_assets, P), P)
+    classes = run.keep(D.class_cells(slim))
+    closed = run.keep(closure(classes, run.schedules))
+    cells = run.keep(D.sd_filter_cells(D.merge_cells(assign_by_closure(classes, closed)), P.sd_multiplier).where("keep"))
+    ratios = run.keep(assign_by_closure(OU.ratio_cells(slim), closed))
+    found = OU.quantiles(slim, ratios, closed, cells, P, (0.25, 0.75), run.keep)
+    return _round(cells.select("Schedule", "AgeMonths", "n").join(found, ["Schedule", "AgeMonths"]).select("Schedule", "AgeMonths", "n", F.col("q0").alias("low"), F.col("q1").alias("high")), ["low", "high"])
+
+
 @register("decay_by_class", f"SELECT '{P.market_code}' AS MarketCode, o.ClassificationId, r6(d.capped) AS ResidSF FROM readers o LEFT JOIN decay d ON d.Schedule = o.Schedule")
 def q_decay_by_class(spark, sf_dir):
     return _round(stages(spark, sf_dir).decay_class, ["ResidSF"])
 
 
-# The earlier name.
-QUERIES["residual_by_class"], ORACLES["residual_by_class"] = QUERIES["decay_by_class"], ORACLES["decay_by_class"]
-
-
 # -- economic factors (DOM-05..08) ---------------------------------------------------------------------
 @register("weighted_rollup", "SELECT period, Schedule, SaleYear, yearAge, units AS totalunits, r6(mean) AS avg FROM buckets")
 def q_weighted_rollup(spark, sf_dir):
@@ -322,7 +350,7 @@ SELECT MarketCode, ClassificationId, r6(ResidSF / nullif(Residlm, 0) - 1) AS MoM
        r6(SFWorstRetail - RetailEconSfWorst) AS MoMWorstRet, r6(SFBestAuction - AuctionEconSfBest) AS MoMBestAuc,
        r6(SFWorstAuction - AuctionEconSfWorst) AS MoMWorstAuc FROM published""")
 def q_mom_delta(spark, sf_dir):
-    s = full_run(spark, sf_dir).share_page
+    s = full_run(spark, sf_dir).review
     return _round(s.select("MarketCode", "ClassificationId", *PB.DELTAS), list(PB.DELTAS))
 
 
@@ -332,11 +360,20 @@ SELECT *, lhs = rhs AS ok FROM (
          (SELECT count(*) FROM readers) AS lhs, (SELECT count(*) FROM retail) AS rhs
   UNION ALL SELECT 'decay_vs_worst_auction', (SELECT count(*) FROM readers), (SELECT count(*) FROM sheet WHERE auctioned)
   UNION ALL SELECT 'classes_mapped_once', (SELECT CAST(sum(mapped) AS BIGINT) FROM readers), (SELECT count(*) FROM readers)
+  UNION ALL SELECT 'classes_in_taxonomy', (SELECT count(*) FROM readers), (SELECT count(*) FROM readers o WHERE ClassificationId IN (SELECT ClassificationId FROM taxonomy))
+  UNION ALL SELECT 'schedules_known', (SELECT count(*) FROM readers), (SELECT count(*) FROM readers o WHERE Schedule IN (SELECT Schedule FROM feeds))
   UNION ALL SELECT 'unique_MarketCode_ClassificationId', (SELECT count(DISTINCT (MarketCode, ClassificationId)) FROM published), (SELECT count(*) FROM published)) c""")
 def q_reconciliation_checks(spark, sf_dir):
     return full_run(spark, sf_dir).checks
 
 
+@register("map_orphans", """
+SELECT ClassificationId, Schedule, ClassificationId IN (SELECT ClassificationId FROM taxonomy) AS in_taxonomy, Schedule IN (SELECT Schedule FROM feeds) AS schedule_known
+FROM readers WHERE ClassificationId NOT IN (SELECT ClassificationId FROM taxonomy) OR Schedule NOT IN (SELECT Schedule FROM feeds)""")
+def q_map_orphans(spark, sf_dir):
+    return stages(spark, sf_dir).integrity.where(~F.col("in_taxonomy") | ~F.col("schedule_known"))
+
+
 @register("published_factors", f"{FACTOR_SQL} FROM published")
 def q_published_factors(spark, sf_dir):
     return _round(full_run(spark, sf_dir).upload, PB.FACTORS)

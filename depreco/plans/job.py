@@ -1,5 +1,8 @@
-"""The monthly job: read inputs, compute, write the upload file, the review table, the taxonomy
-listing and the history partition, and print the reconciliation checks.
+"""The monthly job: read inputs, compute, stage the upload file, the review table, the taxonomy listing and
+the history partition, check them, and publish all four by one commit.
+
+A check that is required and fails leaves nothing published; the others are printed. What an earlier run
+committed without coming to its end is finished first, so its month is in the history.
 
     python -m depreco.plans.job --as-of 2020-06-23 --inputs inputs.json --out /data/factors
     python -m depreco.plans.job --fixture-dir /root/testdata/sf0.01 --out /tmp/factors
@@ -19,14 +22,26 @@ import dataclasses
 import json
 from datetime import date, datetime
 
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
 from depreco.config import FIXTURE_PARAMS, Params, written_best_years
 from depreco.plans.pipeline import Run
 from depreco.session import get_spark
 from depreco.sources import fixtures as FX
+from depreco.sources import sinks
+from depreco.sources.publication import Publication, recover
 from depreco.sources.readers import TableInputs
-from depreco.sources.sinks import UPLOAD_PREFIX, write_review, write_taxonomy, write_upload
+from depreco.sources.sinks import UPLOAD_PREFIX
 from depreco.streaming import history
 
+#: Checks that must hold before anything is published.
+REQUIRED = ("unique_MarketCode_ClassificationId", "upload_vs_review", "upload_vs_history", "upload_keys_present")
+
+
+class PublishRefused(RuntimeError):
+    """A required check failed; nothing was published."""
+
 
 def settings(base: Params, given: dict, as_of: date | None = None, written_years: bool = False) -> Params:
     """``base`` with the given fields; unknown names are an error. Lists become tuples."""
@@ -40,24 +55,55 @@ def settings(base: Params, given: dict, as_of: date | None = None, written_years
     return p.with_(best_years=written_best_years(p.as_of)) if written_years else p
 
 
-def run_job(spark, inputs, p: Params, out: str, history_path: str | None = None, prefix: str = UPLOAD_PREFIX, stamp: datetime | None = None) -> dict:
-    """Paths of what was written. A history folder that does not exist yet is a first run; any other
-    trouble with reading it is an error."""
+def observed(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``rows`` with its row count and its rows without a key, counted by the write itself."""
+    seen = Observation(name)
+    no_key = F.count(F.when(F.col("MarketCode").isNull() | F.col("ClassificationId").isNull(), 1))
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), no_key.alias("no_key")), seen
+
+
+def written_checks(seen: dict[str, Observation]) -> list[tuple[str, int, int]]:
+    """(check, lhs, rhs) from what the writes counted."""
+    rows = {name: s.get["rows"] for name, s in seen.items()}
+    out = [(f"upload_vs_{name}", rows["upload"], n) for name, n in rows.items() if name != "upload"]
+    return [*out, ("upload_keys_present", seen["upload"].get["no_key"], 0)]
+
+
+def run_job(
+    spark, inputs, p: Params, out: str, history_path: str | None = None, prefix: str = UPLOAD_PREFIX,
+    stamp: datetime | None = None, required: tuple[str, ...] = REQUIRED,
+) -> dict:
+    """Paths of what was published. A history folder that does not exist yet is a first run; any other
+    trouble with reading it is an error. ``PublishRefused`` if a check that ``required`` names fails; a name
+    without such a check in this run (the history's, where there is none) asks for nothing."""
     stamp = stamp or datetime.combine(p.as_of, datetime.now().time())
+    recover(spark, out, *([history_path] if history_path else []))
     if history_path and history.exists(spark, history_path):
         inputs.last_month = history.read_history(spark, history_path)
-    run = Run(inputs, p)
+    run, published = Run(inputs, p), Publication(spark, out)
     try:
         run.prepare()
+        upload, seen_upload = observed(run.upload.orderBy(*sinks.UPLOAD_ORDER), "upload")
+        review, seen_review = observed(run.review.orderBy(*sinks.UPLOAD_ORDER), "review")
+        seen = {"upload": seen_upload, "review": seen_review}
         paths = {
-            "upload": write_upload(run.upload, out, stamp, prefix),
-            "review": write_review(run.share_page, out, stamp),
-            "taxonomy": write_taxonomy(run.taxonomy, out, stamp),
+            "upload": published.stage(sinks.upload_path(out, stamp, prefix), lambda at: sinks.single_csv(upload, at)),
+            "review": published.stage(f"{out}/{sinks.output_name(sinks.REVIEW_PREFIX, stamp)}", review.write.parquet),
+            "taxonomy": published.stage(f"{out}/{sinks.output_name(sinks.TAXONOMY_PREFIX, stamp)}", run.taxonomy.orderBy(*sinks.TAXONOMY_ORDER).write.parquet),
         }
         if history_path:
-            history.append_month(history.to_history(run.upload, run.taxonomy, p.effective_date), history_path)
+            month, seen["history"] = observed(history.to_history(run.upload, run.taxonomy, p.effective_date), "history")
+            published.stage(history.partition_path(history_path, p.effective_date), month.drop(history.PARTITION).write.parquet)
             paths["history"] = history_path
-        run.checks.show(truncate=False)  # six rows
+        checks = [(r.check, r.lhs, r.rhs) for r in run.checks.collect()] + written_checks(seen)  # a dozen rows
+        for name, lhs, rhs in checks:
+            print(f"{name}: {lhs} {rhs} {'ok' if lhs == rhs else 'DIFFERENT'}")
+        if failed := [name for name, lhs, rhs in checks if name in required and lhs != rhs]:
+            raise PublishRefused(", ".join(failed))
+        published.commit()
+    except BaseException:
+        published.discard_staged()
+        raise
     finally:
         run.close()
     return paths
@@ -73,6 +119,7 @@ def main(argv=None) -> None:
     ap.add_argument("--settings", help="JSON file with fields of Params")
     ap.add_argument("--written-best-years", action="store_true")
     ap.add_argument("--upload-prefix", default=UPLOAD_PREFIX)
+    ap.add_argument("--require", nargs="*", default=REQUIRED, help="checks that must hold before anything is published")
     a = ap.parse_args(argv)
     given = {}
     if a.settings:
@@ -88,7 +135,7 @@ def main(argv=None) -> None:
         with open(a.inputs) as f:
             cfg = json.load(f)
         inputs = TableInputs(spark, cfg, cfg.pop("formats", {}))
-    for k, v in run_job(spark, inputs, p, a.out, a.history, a.upload_prefix).items():
+    for k, v in run_job(spark, inputs, p, a.out, a.history, a.upload_prefix, required=tuple(a.require)).items():
         print(f"{k}: {v}")
 
 

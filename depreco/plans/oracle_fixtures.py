@@ -101,7 +101,10 @@ FIXTURES = [
     SELECT 'USA', 'CA AbR ' || CAST(ClassificationId AS VARCHAR), 'Category', CategoryId, NULL, NULL, 'AuctionBorrowRetail'
     FROM classifications WHERE SubcategoryId IS NULL"""),
     ("out_map", """
-    SELECT Country, ClassificationId, Schedule, SubcategoryId, SubcategoryName, Level2, 'Y' AS Plot FROM in_map WHERE ClassificationId IS NOT NULL"""),
+    SELECT Country, ClassificationId, Schedule, SubcategoryId, SubcategoryName, Level2, 'Y' AS Plot FROM in_map WHERE ClassificationId IS NOT NULL
+    UNION ALL SELECT Country, ClassificationId, Schedule, SubcategoryId, SubcategoryName, 'Category', 'N' FROM in_map WHERE Level2 = 'SubcatGroup' AND CategoryId = 3
+    UNION ALL SELECT Country, CAST(9000000 + ClassificationId AS INTEGER), 'none ' || CAST(CategoryId AS VARCHAR), SubcategoryId, SubcategoryName, Level2, 'Y'
+              FROM in_map WHERE Level2 = 'Category' AND CategoryId = 2"""),
     ("out_borrow_map", """
     SELECT 'USA' AS Country, k.ClassificationId,
            CASE WHEN k.MakeId = 6 THEN 'RS ' ELSE 'RS RbA ' END || CAST(g.ClassificationId AS VARCHAR) AS Schedule,

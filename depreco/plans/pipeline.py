@@ -53,6 +53,10 @@ class Run:
     def _tables(self) -> RunTables:
         return RunTables(self.inputs.classifications.sparkSession)
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """A table of the run's own, written and read back."""
+        return self._tables.keep(df)
+
     def close(self) -> None:
         self._tables.close()
 
@@ -234,16 +238,21 @@ class Run:
         return PB.mom_limit(PB.attach_last_month(self.gapped, self.last_month), self.p)
 
     @cached_property
-    def share_page(self) -> DataFrame:
+    def review(self) -> DataFrame:
         return PB.mom_delta(self.limited)
 
     @cached_property
     def upload(self) -> DataFrame:
-        return PB.upload_table(self.share_page)
+        return PB.upload_table(self.review)
+
+    @cached_property
+    def integrity(self) -> DataFrame:
+        return PB.map_integrity(self.outputs, self.taxonomy, self.schedules)
 
     @cached_property
     def checks(self) -> DataFrame:
-        return PB.reconciliation_checks(self.classes, self.upload, ["MarketCode", "ClassificationId"])
+        counts = PB.reconciliation_checks(self.classes, self.upload, ["MarketCode", "ClassificationId"])
+        return counts.unionByName(PB.integrity_checks(self.integrity))
 
 
 def build(inputs, p: Params) -> Run:

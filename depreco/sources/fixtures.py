@@ -260,9 +260,16 @@ def in_borrow_map(spark: SparkSession, sf_dir: str, classes: DataFrame | None =
 
 def out_map(spark: SparkSession, sf_dir: str, inputs_map: DataFrame | None = None) -> DataFrame:
     src = inputs_map if inputs_map is not None else in_map(spark, sf_dir)
-    return src.where(F.col("ClassificationId").isNotNull()).select(
-        "Country", "ClassificationId", "Schedule", "SubcategoryId", "SubcategoryName", "Level2", "Plot"
+    rows = src.where(F.col("ClassificationId").isNotNull()).select(
+        "Country", "ClassificationId", "Schedule", "SubcategoryId", "SubcategoryName", "Level2", "Plot", "CategoryId"
     )
+    # classes mapped twice to one schedule, at different levels
+    twice = rows.where((F.col("Level2") == "SubcatGroup") & (F.col("CategoryId") == 3)).withColumns({"Level2": F.lit("Category"), "Plot": F.lit("N")})
+    # a class that the taxonomy lacks, reading a schedule that nothing feeds
+    orphan = rows.where((F.col("Level2") == "Category") & (F.col("CategoryId") == 2)).withColumns(
+        {"ClassificationId": (F.col("ClassificationId") + 9000000).cast("int"), "Schedule": F.concat(F.lit("none "), F.col("CategoryId").cast("string"))}
+    )
+    return rows.unionByName(twice).unionByName(orphan).drop("CategoryId")
 
 
 def out_borrow_map(spark: SparkSession, sf_dir: str, classes: DataFrame | None = None) -> DataFrame:

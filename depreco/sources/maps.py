@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from depreco.config import Params
 
+# Column and marker names of the map sheets.
 IN_DROPPED = ["ClassificationId", "Plot", "CategoryName", "SubcategoryName", "MakeName", "CSMM", "ValidSchedule"]
 OUT_COLUMNS = ["ClassificationId", "Schedule", "SubcategoryId", "SubcategoryName", "Level2", "Plot"]
 BORROW_TYPE = "RetailBorrowAuction"
@@ -29,13 +30,14 @@ def schedule_outputs(out_map: DataFrame, out_borrow_map: DataFrame, p: Params) -
     """Output side: the schedule each class reads (``Out`` plus ``OutR`` rows with the marker).
 
     One row per class. A class that is mapped more than once reads the schedule of its own map
-    before a borrowed one, then the first by name; ``mapped`` counts its rows, and the
+    before a borrowed one, then the first by name; of equal schedules the first by level and the other
+    columns, missing values first, so the choice is the same in every run. ``mapped`` counts its rows, and the
     reconciliation checks report the rows that were dropped."""
     own = out_map.where(F.col("Country") == p.country).select(*OUT_COLUMNS, F.lit(0).alias("_borrowed"))
     borrowed = out_borrow_map.where(
         (F.col("Country") == p.country) & F.col("Schedule").contains(BORROW_MARKER)
     ).select(*OUT_COLUMNS, F.lit(1).alias("_borrowed"))
     rest = [c for c in OUT_COLUMNS if c != "ClassificationId"]
-    first = F.min_by(F.struct(*rest), F.struct("_borrowed", "Schedule"))
+    first = F.min_by(F.struct(*rest), F.struct("_borrowed", "Schedule", "Level2", "SubcategoryId", "SubcategoryName", "Plot"))
     out = own.unionByName(borrowed).groupBy("ClassificationId").agg(first.alias("r"), F.count(F.lit(1)).alias("mapped"))
     return out.select("ClassificationId", *[f"r.{c}" for c in rest], "mapped")

@@ -41,15 +41,14 @@ def to_history(upload: DataFrame, taxonomy: DataFrame, publish_date: date) -> Da
     return out
 
 
+def partition_path(path: str, publish_date: date) -> str:
+    """The folder of one month."""
+    return f"{path.rstrip('/')}/{PARTITION}={publish_date:%Y-%m-%d}"
+
+
 def append_month(history_rows: DataFrame, path: str) -> None:
     """Write (or rewrite) the month's partition only."""
-    spark = history_rows.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        history_rows.write.mode("overwrite").partitionBy(PARTITION).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    history_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

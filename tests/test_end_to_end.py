@@ -1,5 +1,6 @@
 """Registered queries against their DuckDB oracles on the smallest tables, plus sinks."""
 
+import csv
 import os
 import re
 import tempfile
@@ -54,17 +55,18 @@ def test_sinks_and_history_round_trip(spark):
     out = tempfile.mkdtemp(prefix="depreco-sink-", dir="/tmp")
     stamp = datetime(2001, 8, 15, 9, 5)
     up_path = write_upload(upload, out, stamp, "monthly")
-    assert os.path.basename(up_path) == "monthly200108150905"
-    lines = [x for f in sorted(os.listdir(up_path)) if f.startswith("part-") for x in open(f"{up_path}/{f}").read().splitlines()]
+    assert os.path.basename(up_path) == "monthly200108150905.csv" and os.path.isfile(up_path)
+    with open(up_path) as f:
+        lines = f.read().splitlines()
     assert lines[0] == ",".join(upload.columns)
     want = sorted(map(tuple, upload.collect()), key=lambda r: r[:2])
     body = [x.split(",") for x in lines if x != lines[0]]
     assert [(r[0], int(r[1])) for r in body] == [r[:2] for r in want]  # file order
     for got, row in zip(body, want, strict=True):
         assert [None if v == "NA" else pytest.approx(float(v)) for v in got[2:]] == list(row[2:])
-    rv_path = write_review(run.share_page, out, stamp)
+    rv_path = write_review(run.review, out, stamp)
     review = spark.read.parquet(rv_path)
-    assert review.columns == run.share_page.columns and sorted(map(tuple, review.collect()), key=str) == sorted(map(tuple, run.share_page.collect()), key=str)
+    assert review.columns == run.review.columns and sorted(map(tuple, review.collect()), key=str) == sorted(map(tuple, run.review.collect()), key=str)
     files = sorted(f for f in os.listdir(rv_path) if f.startswith("part-"))
     ids = [r.ClassificationId for f in files for r in spark.read.parquet(f"{rv_path}/{f}").collect()]
     assert ids == sorted(ids)
@@ -131,11 +133,117 @@ def test_monthly_job_two_months(spark):
     months = {r[0] for r in history.read_history(spark, hist).select(history.PARTITION).distinct().collect()}
     assert months == {date(2001, 7, 31), date(2001, 8, 31)}
     m1 = {r.ClassificationId: r for r in history.read_month(spark, hist, date(2001, 7, 31)).collect()}
+    assert os.path.isfile(paths["upload"]) and _listed(f"{out}/m2") == sorted(os.path.basename(paths[k]) for k in ("upload", "review", "taxonomy"))
     m2 = spark.read.option("header", True).option("inferSchema", True).csv(paths["upload"]).collect()
     moved = [(r, m1[r.ClassificationId]) for r in m2 if r.ClassificationId in m1 and r.ResidSF not in (None, "NA")]
     assert moved and all(abs(float(r.ResidSF) - prev.ResidSf) <= P.mom_cap + 1e-9 for r, prev in moved)
 
 
+def _listed(folder):
+    return sorted(x for x in os.listdir(folder) if not x.endswith(".crc"))
+
+
+def test_upload_of_many_parts_is_one_ordered_file(spark):
+    out = tempfile.mkdtemp(prefix="depreco-sink-", dir="/tmp")
+    rows = spark.range(0, 5000, 1, 7).selectExpr("CASE WHEN id % 2 = 0 THEN 'A' ELSE 'B, \"x\"' END AS MarketCode", "cast(5000 - id AS int) AS ClassificationId", "CASE WHEN id % 3 > 0 THEN id / 8 END AS ResidSF")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        assert rows.orderBy("MarketCode", "ClassificationId").rdd.getNumPartitions() > 3
+        path = write_upload(rows, out, datetime(2001, 8, 15, 9, 5))
+        write_upload(rows, out, datetime(2001, 8, 15, 9, 5))  # again: replaces it
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert _listed(out) == ["factors200108150905.csv"]
+    with open(path, newline="") as f:
+        got = list(csv.reader(f, escapechar="\\"))
+    assert got[0] == rows.columns and len(got) == 5001
+    assert [(r[0], int(r[1])) for r in got[1:]] == sorted((r.MarketCode, r.ClassificationId) for r in rows.collect())
+    assert {r[2] for r in got[1:]} >= {"NA", "0.125"}
+    empty = write_upload(rows.limit(0), out, datetime(2001, 8, 15, 9, 6))
+    with open(empty) as f:
+        assert f.read().splitlines() == [",".join(rows.columns)]
+
+
+def test_a_failure_in_the_middle_publishes_nothing(spark, monkeypatch):
+    from depreco.plans import job
+
+    out = tempfile.mkdtemp(prefix="depreco-job-", dir="/tmp")
+    hist = f"{out}/history"
+
+    def fails(*_):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr(job.history, "to_history", fails)  # upload, review and taxonomy are staged by then
+    with pytest.raises(RuntimeError, match="disk full"):
+        job.run_job(spark, FX.load_inputs(spark, SF_SMALL, P), P, out, hist)
+    assert _listed(out) == []
+
+
+def test_a_commit_is_finished_by_the_next_run(spark, monkeypatch):
+    from depreco.sources import publication
+
+    out = tempfile.mkdtemp(prefix="depreco-pub-", dir="/tmp")
+    month = f"{out}/history/AppraisalBookPublishDate=2001-07-31"
+    spark.range(3).write.parquet(month)  # an earlier publication of the same month
+
+    def publish():
+        p = publication.Publication(spark, out)
+        p.stage(f"{out}/a", spark.range(5).write.parquet)
+        p.stage(f"{out}/b", spark.range(6).write.parquet)
+        p.stage(month, spark.range(7).write.parquet)
+        return p
+
+    assert "a" not in _listed(out)
+    publish()  # dies before the commit: readers see what was there
+    assert spark.read.parquet(f"{out}/history").count() == 3
+    moves, real = [], publication.Files.rename
+
+    def dies(self, path, to):
+        moves.append(to)
+        if len(moves) == 3:  # the commit, the first move, then the end
+            raise KeyboardInterrupt
+        real(self, path, to)
+
+    p = publish()
+    with monkeypatch.context() as m:
+        m.setattr(publication.Files, "rename", dies)
+        with pytest.raises(KeyboardInterrupt):
+            p.commit()
+    p.discard_staged()  # what a failing job calls: a committed publication stays
+    assert [x for x in _listed(out) if not x.startswith("_")] == ["a", "history"]
+    assert sorted(publication.recover(spark, out, f"{out}/history")) == sorted([f"{out}/a", f"{out}/b", month])
+    assert _listed(out) == ["a", "b", "history"] and _listed(f"{out}/history") == ["AppraisalBookPublishDate=2001-07-31"]
+    assert [spark.read.parquet(x).count() for x in (f"{out}/a", f"{out}/b", month)] == [5, 6, 7]
+    assert publication.recover(spark, out, f"{out}/history") == []
+
+
+def test_a_failed_required_check_stops_the_publication(spark, capsys):
+    from depreco.plans.job import REQUIRED, PublishRefused, run_job
+
+    out = tempfile.mkdtemp(prefix="depreco-job-", dir="/tmp")
+    with pytest.raises(PublishRefused, match="classes_mapped_once"):  # the fixtures map some classes twice
+        run_job(spark, FX.load_inputs(spark, SF_SMALL, P), P, out, f"{out}/history", required=(*REQUIRED, "classes_mapped_once"))
+    assert _listed(out) == ["history"] and history.read_history(spark, f"{out}/history").count() == 0  # as for a first run
+    said = capsys.readouterr().out
+    assert "classes_mapped_once" in said and "DIFFERENT" in said and "upload_vs_history" in said
+
+
+def test_counts_of_the_writes(spark):
+    from depreco.plans.job import observed, written_checks
+
+    out = tempfile.mkdtemp(prefix="depreco-job-", dir="/tmp")
+    rows = spark.createDataFrame([("A", 1), ("A", 2), (None, 3), ("B", None)], "MarketCode string, ClassificationId int")
+    seen = {}
+    for name, df in (("upload", rows), ("review", rows.limit(3))):
+        df, seen[name] = observed(df.orderBy("ClassificationId"), name)
+        df.write.parquet(f"{out}/{name}")
+    assert written_checks(seen) == [("upload_vs_review", 4, 3), ("upload_keys_present", 2, 0)]
+
+
 def test_unreadable_history_is_an_error(spark):
     """Only a missing folder is a first run."""
     from depreco.plans.job import run_job

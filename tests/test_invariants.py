@@ -37,7 +37,7 @@ def test_gap_holds_before_limiter(run):
 
 
 def test_limiter_bound(run):
-    s = run.share_page
+    s = run.review
     pairs = [("ResidSF", "Residlm"), ("SFBestRetail", "RetailEconSfBest"), ("SFWorstRetail", "RetailEconSfWorst"),
              ("SFBestAuction", "AuctionEconSfBest"), ("SFWorstAuction", "AuctionEconSfWorst")]
     for cur, last in pairs:

@@ -10,7 +10,9 @@ from depreco.operators import decay as D
 from depreco.operators import hierarchy as H
 from depreco.operators import publish as PB
 from depreco.operators import ratios as R
-from depreco.operators.assign import assign_schedules
+from depreco.operators import outliers as OU
+from depreco.operators.assign import assign_by_closure, assign_schedules, closure
+from depreco.session import RunTables
 from depreco.sources import maps as M
 from tests.conftest import rows
 
@@ -30,6 +32,38 @@ def test_assignment_bag_semantics_and_null_keys(spark):
     assert got == [(1, "C1"), (1, "CS1"), (1, "M1"), (2, "C1"), (3, "CSnull")]
 
 
+def test_closure_gives_what_assignment_gives(spark):
+    m = spark.createDataFrame(
+        [("C1", "Category", 1, 99, 99), ("C1", "SubcatGroup", 1, 10, 99), ("M1", "Make", 1, 10, 5), ("CSnull", "SubcatGroup", 2, None, None), ("X", "Other", 1, 10, 5)],
+        MAP_SCHEMA,
+    )
+    f = spark.createDataFrame([(1, 1, 10, 5), (2, 1, 11, 5), (3, 2, None, 7), (4, None, None, None), (5, 1, 10, 5)], "id int, CategoryId int, SubcategoryId int, MakeId int")
+    closed = closure(f, m)
+    assert closed.count() == 3  # a row for each class that reads a schedule
+    got = assign_by_closure(f, closed)
+    assert got.columns == [*f.columns, "Schedule"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, assign_schedules(f, m).collect()))
+    assert sorted(r.Schedule for r in got.where("id = 5").collect()) == ["C1", "C1", "M1"]  # one schedule by two levels: twice
+
+
+def test_map_integrity_names_orphans(spark):
+    outputs = spark.createDataFrame([(1, "A"), (2, "B"), (3, "A"), (4, None)], "ClassificationId int, Schedule string")
+    taxonomy = spark.createDataFrame([(1,), (1,), (2,), (4,)], "ClassificationId int")
+    feeds = spark.createDataFrame([("A",), ("A",)], "Schedule string")
+    found = PB.map_integrity(outputs, taxonomy, feeds)
+    assert {(r.ClassificationId, r.in_taxonomy, r.schedule_known) for r in found.collect()} == {(1, True, True), (2, True, False), (3, False, True), (4, True, False)}
+    assert {r.check: (r.lhs, r.rhs, r.ok) for r in PB.integrity_checks(found).collect()} == {"classes_in_taxonomy": (4, 3, False), "schedules_known": (4, 2, False)}
+
+
+def test_a_class_mapped_twice_to_one_schedule_has_one_choice(spark):
+    cols = "Country string, ClassificationId int, Schedule string, SubcategoryId int, SubcategoryName string, Level2 string, Plot string"
+    twins = [("USA", 1, "A", 5, "s", "Make", "Y"), ("USA", 1, "A", 5, "s", "Category", "Y"), ("USA", 1, "A", 4, "s", "Category", "Y"), ("USA", 1, "A", None, "t", "Category", "N"), ("USA", 1, "B", None, None, None, None)]
+    none = spark.createDataFrame([], cols)
+    for order in (twins, twins[::-1], twins[2:] + twins[:2]):
+        [r] = M.schedule_outputs(spark.createDataFrame(order, cols), none, P).collect()
+        assert (r.Schedule, r.Level2, r.SubcategoryId, r.SubcategoryName, r.mapped) == ("A", "Category", None, "t", 5)
+
+
 def _age4(m):
     return float(np.round(m * 2500 / 3)) / 10000.0
 
@@ -45,7 +79,10 @@ def _category_schedules(spark):
 
 
 def _fit(spark, rows_, p=P):
-    return {r.Schedule: r for r in D.decay_fit(rows_, _category_schedules(spark), p).collect()}
+    tables = RunTables(spark)
+    out = {r.Schedule: r for r in D.decay_fit(rows_, _category_schedules(spark), p, tables.keep).collect()}
+    tables.close()
+    return out
 
 
 def test_cooks_distance_matches_hat_matrix(spark):
@@ -104,6 +141,83 @@ def test_sd_filter_keeps_equal_ages(spark):
     assert got == {60: True, 108: False}
 
 
+def _ratio_rows(spark, seed, n, values=None):
+    """Rows of two makes at ages 2 to 9, in a category schedule that overlaps a schedule of one make."""
+    rng = np.random.default_rng(seed)
+    r = rng.choice(values, n) if values else np.exp(rng.normal(0.1, 0.08, n)).clip(0.79, 1.45)
+    months = 12 * rng.integers(2, 10, n) + 1
+    data = [(1, 10, int(k), int(m), _age4(int(m)), float(np.log(x)), float(x)) for k, m, x in zip(rng.integers(1, 3, n), months, r, strict=True)]
+    rows_ = spark.createDataFrame(data, "CategoryId int, SubcategoryId int, MakeId int, AgeMonths int, x double, y double, r double")
+    return rows_, data, spark.createDataFrame([("S", "Category", 1, None, None), ("M", "Make", 1, 10, 2)], MAP_SCHEMA)
+
+
+def _in_schedule(name, data):
+    return [d for d in data if name == "S" or d[2] == 2]
+
+
+@pytest.fixture
+def keep(spark):
+    tables = RunTables(spark)
+    yield tables.keep
+    tables.close()
+
+
+@pytest.mark.parametrize(("values", "bins"), [(None, 512), (None, 16), ([1.0, 1.1, 1.3], 2), ([1.2], 512)])
+def test_quantiles_of_overlapping_groups_are_exact(spark, monkeypatch, keep, values, bins):
+    monkeypatch.setattr(OU, "BINS", bins)
+    slim, data, schedules = _ratio_rows(spark, 3, 700, values)
+    slim = keep(slim)
+    classes = keep(D.class_cells(slim))
+    closed = keep(closure(classes, schedules))
+    cells = keep(D.merge_cells(assign_by_closure(classes, closed)))
+    ratios = keep(assign_by_closure(OU.ratio_cells(slim), closed))
+    points = (0.25, 0.5, 0.75, 1.0)
+    got = {(q.Schedule, q.AgeMonths): q for q in OU.quantiles(slim, ratios, closed, cells, P, points, keep).collect()}
+    assert len(got) == cells.count() == 16
+    for (name, age), q in got.items():
+        own = [d[6] for d in _in_schedule(name, data) if d[3] == age]
+        assert [q[f"q{k}"] for k in range(4)] == pytest.approx(np.quantile(own, points), rel=1e-14)
+
+
+@pytest.mark.parametrize(("mode", "k"), [("ratio_sd", 1.5), ("iqr", 0.5), ("iqr", 50.0)])
+def test_ratio_filters_match_numpy(spark, keep, mode, k):
+    slim, data, schedules = _ratio_rows(spark, 5, 600)
+    slim = keep(slim)
+    p = P.with_(sd_multiplier=10.0, ratio_multiplier=k, outlier=mode)
+    got = {r.Schedule: r for r in D.decay_fit(slim, schedules, p, keep).collect()}
+    for name in ("S", "M"):
+        own = np.array([d[3:] for d in _in_schedule(name, data)])
+        keep = np.zeros(len(own), bool)
+        for age in np.unique(own[:, 0]):
+            group = own[:, 0] == age if mode == "iqr" else np.ones(len(own), bool)
+            r = own[group, 3]
+            if mode == "iqr":
+                q1, q3 = np.quantile(r, [0.25, 0.75])
+                lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+            else:
+                lo, hi = r.mean() - k * r.std(ddof=1), r.mean() + k * r.std(ddof=1)
+            keep |= group & (own[:, 3] >= lo) & (own[:, 3] <= hi)
+        x, y = own[keep, 1], own[keep, 2]
+        assert k > 10 or 0 < (~keep).sum() < len(own)
+        X = np.column_stack([np.ones_like(x), x])
+        beta = np.linalg.lstsq(X, y, rcond=None)[0]
+        e = y - X @ beta
+        s2 = e @ e / (len(x) - 2)
+        h = np.diag(X @ np.linalg.inv(X.T @ X) @ X.T)
+        cook = e**2 / (2 * s2) * h / (1 - h) ** 2
+        far = cook > 20 * cook.mean()
+        out = got[name]
+        assert (out.rows_in, out.n_influential) == (keep.sum(), far.sum())
+        assert out.s2 == pytest.approx(s2, rel=1e-9)
+        assert out.factor == pytest.approx(np.exp(8 * (x[~far] @ y[~far]) / (x[~far] @ x[~far])), rel=1e-11)
+
+
+def test_unknown_outlier_mode_is_an_error(spark):
+    slim, _, schedules = _ratio_rows(spark, 5, 50)
+    with pytest.raises(ValueError, match="outlier"):
+        D.decay_fit(slim, schedules, P.with_(outlier="none"))
+
+
 def test_best_year_pick_ties_go_to_latest_year(spark):
     # tie_years: equal factors in 1998 and 2000, a NULL factor is ignored (V10)
     df = spark.createDataFrame(

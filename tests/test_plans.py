@@ -7,6 +7,7 @@ import pytest
 from depreco.config import FIXTURE_PARAMS as P
 from depreco.operators import decay as D
 from depreco.operators import ratios as R
+from depreco.operators.assign import assign_by_closure, closure
 from depreco.plans.pipeline import Run
 from depreco.sources import extracts as X
 from depreco.sources import fixtures as FX
@@ -53,14 +54,42 @@ def test_assignment_meets_cells_only(run):
         assert any("Aggregate" in x for x in lines[first:])
 
 
-def test_second_decay_pass_expands_influential_rows_only(run):
-    cells = run._tables.keep(D.sd_filter_cells(D.age_cells(slim(run), run.schedules), P.sd_multiplier).where("keep"))
-    fitted = run._tables.keep(D.fitted_cells(cells, P))
-    p = optimized(D.influential_rows(slim(run), fitted, run.schedules))
-    top = p.split("\n")[:4]
+def test_second_decay_pass_reads_pruned_cells_without_shuffling_facts(run):
+    rows = slim(run)
+    classes = run.keep(D.class_cells(rows))
+    closed = run.keep(closure(classes, run.schedules))
+    assert "lineitem" not in plan(D.merge_cells(assign_by_closure(classes, closed)))  # everything else comes from the written cells
+    cells = run.keep(D.sd_filter_cells(D.merge_cells(assign_by_closure(classes, closed)), P.sd_multiplier).where("keep"))
+    fitted = run.keep(D.fitted_cells(cells, P))
+    listed = run.keep(D.influential_cells(classes, closed, fitted))
+    assert 0 < listed.count() < classes.count()
+    df = D.influential_rows(rows, listed)
+    p = plan(df)
+    assert scans(df, "lineitem") == 1 and "distinct" not in p.lower()
+    assert "BroadcastExchange" in p and not re.search(r"(?<!Broadcast)Exchange ", p)  # the facts stay where they are
+    top = optimized(df).split("\n")[:4]
     assert any("Generate explode(filter(" in x for x in top)
 
 
+def test_no_second_pass_where_no_cell_can_hold_an_influential_row(run):
+    kept = []
+
+    def keep(df):
+        kept.append(df)
+        return run.keep(df)
+
+    df = D.decay_fit(slim(run), run.schedules, P.with_(cook_multiplier=1e9), keep)
+    assert scans(df, "lineitem") == 0
+    assert sum(scans(k, "lineitem") for k in kept) == 1
+
+
+def test_raw_rows_meet_the_closure_unexpanded(run):
+    rows = X.cost_extract(run.inputs.cost_assets, P)
+    closed = run.keep(closure(rows, run.schedules))
+    p = optimized(assign_by_closure(rows, closed))
+    assert "named_struct" not in p and "Category" in p and p.count("Generate") == 1 and "explode(schedules" in p
+
+
 def test_published_values_are_scanned_once(run):
     assert scans(X.auction_published(run.inputs.class_values, P), "lineitem") == 1
 
