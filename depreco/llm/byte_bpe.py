@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from .store import ship
 
-MEMO_PIECES = 100_000  # pieces of up to MEMO_BYTES whose ids a worker remembers, in each of two halves
+MEMO_PIECES = 250_000  # pieces of up to MEMO_BYTES whose ids a worker remembers, in each of two halves
 MEMO_BYTES = 48
-TABLES = 1 << 13  # pieces whose tables are filled side by side
+TABLES = 1 << 14  # pieces whose tables are filled side by side
 BLOCK_CHARS = 1 << 20  # texts are taken in blocks of about so many characters; a longer one is matched in parts of it
 
 _ID = 20  # bits of a token's rank in the key of a pair
