@@ -447,6 +447,28 @@ def test_mined_url_rules_match_brute_force(spark):
             assert r.mined == (sorted(best[0]) if best else None)
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_a_long_judged_url_is_a_few_items(spark, copies):
+    """60 tokens of one URL, alone and on a third of the rows; URLs that share some of its tokens follow its verdict."""
+    names = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    urls = ["https://a.example.com/en/" + "/".join(names)] * copies  # blocked by the list
+    urls += [f"https://www.example.com/en/{c}" for c in "abcdefghijklmnopqrst"] * 4  # allowed
+    open_ = ["ftp://b.example.org/" + "/".join(names[:17]), "ftp://b.example.org/" + names[59], "ftp://b.example.org/none"]
+    got = url_rules.judge(spark.createDataFrame(list(enumerate(urls + open_)), "page_id long, url string")).collect()
+    by_id = {r.page_id: r for r in got}
+    n = len(urls)
+    assert len(got) == n + 3 and (by_id[0].verdict, by_id[copies].verdict) == ("block", "allow")
+    assert by_id[n].verdict == "block" and by_id[n].mined == ["h:example", *sorted(f"p:{w}" for w in names[:17])]
+    assert by_id[n + 1].verdict == "block" and by_id[n + 1].mined == ["h:example", f"p:{names[59]}"]
+
+
+def test_tokens_of_the_same_urls_share_an_item(spark):
+    sets = [["a", "b", "c"], ["a", "b"], ["d"], ["a", "b", "c"], ["c", "d"]]
+    judged = spark.createDataFrame([(s, "allow") for s in sets], "items array<string>, verdict string")
+    got = {r.token: r.item for r in url_rules.items_of(judged).collect()}
+    assert got == {"a": "a", "b": "a", "c": "c", "d": "d"}
+
+
 # --- 9, 10 ---------------------------------------------------------------------------------------
 
 
