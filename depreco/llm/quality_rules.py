@@ -1,7 +1,8 @@
 """Quality rules: gradient-boosted trees over document statistics, behind two fixed base rules.
 
 Statistics are counted over every whole text (:mod:`depreco.llm.text_stats`); the trees are trained on
-the driver from a bounded sample of labelled rows and travel to the tasks as flat node arrays. Some
+the driver from the statistics of a bounded sample of labelled rows, counted in tasks, and travel to the tasks
+as flat node arrays. Some
 trends are fixed by constraint: more symbols, repeated lines, repeated words, shouting marks or capitals
 never raise a score.
 
@@ -18,9 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .boosting import Trees, fit, predict
-from .samples import labelled
+from .samples import picked
 from .store import ship
 from .text_stats import COUNTS, counts
 from .words import blocks
@@ -53,8 +55,19 @@ def stats_of(texts: list[str]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = PER_CLASS) -> Trees:
-    rows = labelled(docs, labels, "quality", per_class)
-    return fit(features(stats_of([t for t, _ in rows])), np.array([y for _, y in rows], float), TREND)
+    """Trees from the labels. No text comes to the driver, only the counts of each sampled row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, texts in blocks(batch.column(2)):
+                made = pa.array(list(counts(texts)), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), made], names=["_id", "_label", "stats"])
+
+    rows = picked(docs, labels, "quality", per_class)
+    schema = T.StructType([rows.schema["_id"], rows.schema["_label"], T.StructField("stats", T.ArrayType(T.LongType()))])
+    found = sorted(rows.select("_id", "_label", "_text").mapInArrow(run, schema).collect(), key=lambda r: r._id)
+    stats = np.array([r.stats for r in found], np.int64).reshape(len(found), len(COUNTS))
+    return fit(features(stats), np.array([r._label for r in found], float), TREND)
 
 
 def quality_rules(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

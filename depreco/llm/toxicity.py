@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .samples import labelled
+from .samples import picked
 from .store import ship
 from .words import LOWER, U64, Texts, blocks, mix, words
 
@@ -77,59 +78,74 @@ def probabilities(cuts: np.ndarray, eta: np.ndarray) -> np.ndarray:
     return np.diff(edges, axis=1)
 
 
-def _held(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(texts, hashes, owners) block by block; owners count from the block's first text."""
-    for lo, hi, block in blocks(pa.array(texts, pa.string())):
-        yield (hi - lo, *_terms(block))
-
-
-def _distinct(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """The hashes with each text's repeats left out."""
+def _distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes with each text's repeats left out, and their owners."""
     order = np.lexsort((hashes, owner))
     h, t = hashes[order], owner[order]
     first = np.ones(len(h), bool)
     first[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
-    return h[first]
-
-
-def choose_terms(texts: list[str], toxic: np.ndarray) -> np.ndarray:
-    """Sorted hashes of the terms whose share of toxic texts stands out.
-
-    Candidates come from the toxic texts alone; the others are counted for those only, a block at a time."""
-    yes = [t for t, v in zip(texts, toxic, strict=True) if v]
-    no = [t for t, v in zip(texts, toxic, strict=True) if not v]
-    none = np.zeros(0, np.uint64)
-    if not yes or not no:
-        return none
-    vocab, d1 = np.unique(np.concatenate([_distinct(h, t) for _, h, t in _held(yes)] or [none]), return_counts=True)
-    vocab, d1 = vocab[d1 >= LEAST_TEXTS], d1[d1 >= LEAST_TEXTS]
-    if not len(vocab):
-        return none
-    d0 = np.zeros(len(vocab), np.int64)
-    for _, h, t in _held(no):
-        h = _distinct(h, t)
-        at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-        d0 += np.bincount(at[vocab[at] == h], minlength=len(vocab))
-    n1, n0 = len(yes), len(no)
-    share = (d1 + d0) / (n1 + n0)
-    z = (d1 / n1 - d0 / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
-    good = np.flatnonzero((z >= LEAST_Z) & (d1 >= LEAST_SHARE * (d1 + d0)))
-    return np.sort(vocab[good[np.argsort(-z[good], kind="stable")[:MOST_TERMS]]])
-
-
-def fit(texts: list[str], toxic: np.ndarray, steps: int = 300, rate: float = 0.1, decay: float = 1e-4) -> Severity:
-    terms = choose_terms(texts, toxic)
+    return h[first], t[first]
+
+
+def term_counts(rows: DataFrame) -> DataFrame:
+    """(term, yes, no): in how many toxic and in how many other texts of the sample each term is.
+
+    Tasks count what they hold, Spark adds the counts up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            toxic = batch.column(0).to_numpy(zero_copy_only=False) == 1
+            for lo, hi, texts in blocks(batch.column(1)):
+                terms, owner = _distinct(*_terms(texts))
+                known, at = np.unique(terms, return_inverse=True)
+                yes = np.bincount(at, toxic[lo:hi][owner], len(known)).astype(np.int64)
+                every = np.bincount(at, minlength=len(known))
+                yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(yes), pa.array(every - yes)], names=["term", "yes", "no"])
+
+    found = rows.select("_label", "_text").mapInArrow(run, "term long, yes long, no long")
+    return found.groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+
+
+def choose_terms(rows: DataFrame) -> np.ndarray:
+    """Sorted hashes of the terms whose share of toxic texts stands out: the MOST_TERMS best at most."""
+    by_label = {r._label: r["count"] for r in rows.groupBy("_label").count().collect()}
+    n1, n0 = by_label.get(1, 0), by_label.get(0, 0)
+    if not n1 or not n0:
+        return np.zeros(0, np.uint64)
+    yes, both = F.col("yes"), F.col("yes") + F.col("no")
+    share = both / (n1 + n0)
+    z = (yes / n1 - F.col("no") / n0) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / n1 + 1 / n0))
+    good = term_counts(rows).filter(yes >= LEAST_TEXTS).withColumn("z", z).filter((F.col("z") >= LEAST_Z) & (yes >= LEAST_SHARE * both))
+    best = good.orderBy(F.desc("z"), "term").limit(MOST_TERMS).select("term").collect()
+    return np.sort(np.array([r.term for r in best], np.int64).view(np.uint64))
+
+
+def sparse_rows(rows: DataFrame, terms: np.ndarray) -> DataFrame:
+    """(_id, _label, cols, counts): which of the chosen terms each text of the sample holds, and how often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, texts in blocks(batch.column(2)):
+                row, col, count = _matrix(*_terms(texts), hi - lo, terms)
+                at = pa.array(np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(at, pa.array(x.astype(np.int32))) for x in (col, count)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), *lists], names=["_id", "_label", "cols", "counts"])
+
+    ints = T.ArrayType(T.IntegerType())
+    schema = T.StructType([rows.schema["_id"], rows.schema["_label"], T.StructField("cols", ints), T.StructField("counts", ints)])
+    return rows.select("_id", "_label", "_text").mapInArrow(run, schema)
+
+
+def fit(
+    terms: np.ndarray, row: np.ndarray, col: np.ndarray, count: np.ndarray, toxic: np.ndarray, steps: int = 300, rate: float = 0.1, decay: float = 1e-4
+) -> Severity:
+    """The regression from sparse rows (text, term, count) and the texts' labels."""
     if not len(terms):
         return Severity(terms, np.zeros(0), 30.0 + np.arange(GRADES - 1))
-    parts, done = [], 0
-    for n, h, t in _held(texts):
-        row, col, count = _matrix(h, t, n, terms)
-        parts.append((row + done, col, count))
-        done += n
-    row, col, count = (np.concatenate(x) for x in zip(*parts, strict=True))
     value = 1 + np.log(count)
-    held = np.bincount(row, count, len(texts))
-    grade = np.zeros(len(texts), int)
+    n = len(toxic)
+    held = np.bincount(row, count, n)
+    grade = np.zeros(n, int)
     thirds = np.quantile(held[toxic == 1], [1 / 3, 2 / 3])
     grade[toxic == 1] = 1 + np.searchsorted(thirds, held[toxic == 1], "left")
 
@@ -139,7 +155,7 @@ def fit(texts: list[str], toxic: np.ndarray, steps: int = 300, rate: float = 0.1
     one_hot = np.eye(GRADES)[grade]
     for step in range(1, steps + 1):
         cuts = first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
-        eta = np.bincount(row, value * w[col], len(texts))
+        eta = np.bincount(row, value * w[col], n)
         below = 1 / (1 + np.exp(-np.clip(cuts[None, :] - eta[:, None], -40, 40)))
         p = np.maximum((probabilities(cuts, eta) * one_hot).sum(1), 1e-12)
         slope = below * (1 - below)
@@ -147,7 +163,7 @@ def fit(texts: list[str], toxic: np.ndarray, steps: int = 300, rate: float = 0.1
         d_cut = slope * (one_hot[:, :-1] - one_hot[:, 1:]) / p[:, None]
         d_eta = -d_cut.sum(1)
         g_cut = -d_cut.mean(0)
-        g_w = -np.bincount(col, value * d_eta[row], len(terms)) / len(texts) + decay * w
+        g_w = -np.bincount(col, value * d_eta[row], len(terms)) / n + decay * w
         g_gap = np.array([g_cut[k + 1 :].sum() for k in range(GRADES - 2)]) * np.exp(gaps)
         g = np.concatenate([g_w, [g_cut.sum()], g_gap])
         state[0] = 0.9 * state[0] + 0.1 * g
@@ -158,8 +174,14 @@ def fit(texts: list[str], toxic: np.ndarray, steps: int = 300, rate: float = 0.1
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = PER_CLASS) -> Severity:
-    rows = labelled(docs, labels, "toxic", per_class)
-    return fit([t for t, _ in rows], np.array([y for _, y in rows], int))
+    """The model from the labels. No text comes to the driver: terms are counted on Spark, and of each sampled row its
+    counts of the chosen terms are collected, at most MOST_TERMS numbers."""
+    rows = picked(docs, labels, "toxic", per_class)
+    terms = choose_terms(rows)
+    found = sorted(sparse_rows(rows, terms).collect(), key=lambda r: r._id) if len(terms) else []
+    row = np.repeat(np.arange(len(found)), [len(r.cols) for r in found])
+    col, count = (np.array([x for r in found for x in r[c]], np.int64) for c in ("cols", "counts"))
+    return fit(terms, row, col, count, np.array([r._label for r in found], int))
 
 
 def toxicity(docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
