@@ -58,7 +58,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("row.doc_id", "n_lines", "n_dropped", "text")
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("row.doc_id", "n_lines", "n_dropped", "left_whole", "text")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,13 @@
 """Line deduplication by site-relative frequency, in DataFrame operations only.
 
 Pages are grouped by host. For each line the number of the host's pages that hold it is divided by the
-host's page total; lines above ``percent`` of the pages (and on at least ``least_pages``) are
-boilerplate of that host and are dropped from its pages, whatever other hosts do with them.
+host's page total; lines above ``percent`` of the pages (and on at least ``least_pages``, two, as a line on one page
+is no repeat) are boilerplate of that host and are dropped from its pages, whatever other hosts do with them.
 
 A line is compared without surrounding white space; blank lines are neither counted nor dropped, and a
 line counts once per page however often it stands there. A page that would lose all its lines is a copy
 of other pages rather than content with boilerplate around it: it is left whole, for near-duplicate
-detection to judge. Null hosts form one group; a null text has no lines and stays null; repeated rows
+detection to judge, and ``left_whole`` marks it. Texts are taken whole, of any length. Null hosts form one group; a null text has no lines and stays null; repeated rows
 are pages of their own. An empty table gives an empty result.
 
 Copies of one page are no evidence of boilerplate. With ``classes``, the near-duplicate classes of the
@@ -31,7 +31,7 @@ from .columns import once
 from .store import Scratch
 
 PERCENT = 1
-LEAST_PAGES = 3
+LEAST_PAGES = 2
 BLANK = " \t\x0b\x0c\r"
 
 
@@ -76,7 +76,8 @@ def line_dedup(
     classes: DataFrame | None = None, id_col: str = "doc_id",
 ) -> DataFrame:
     """One row for each row of ``docs``: its columns in the struct ``row``, the text without boilerplate
-    lines in ``text``, its line total in ``n_lines`` and the lines dropped in ``n_dropped``.
+    lines in ``text``, its line total in ``n_lines``, the lines dropped in ``n_dropped``, and in ``left_whole`` whether it
+kept lines over the ratio as it has no others.
 
     ``classes`` is what :func:`depreco.llm.near_dedup.near_duplicates` gives for ``docs``; without it every row is a page."""
     # Written first: the join is then planned from the table's real size.
@@ -94,4 +95,5 @@ def line_dedup(
         F.when(F.size("kept") == F.size("every"), F.col("text")).otherwise(F.array_join("kept", "\n")).alias("text"),
         F.coalesce(F.size("every"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("every") - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size("kept") > F.size("rest"), F.lit(False)).alias("left_whole"),
     )

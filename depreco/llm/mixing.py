@@ -3,16 +3,19 @@
 Every source gets a target of words: its weight's share of the mix, but at most ``cap`` times its own
 size, what is cut off being shared again by weight among the rest. A target of e whole sizes and a rest
 is met by e complete epochs and a sample without replacement for the rest: each document draws the key
-``-ln(u) / w`` (u: a uniform hash of its id, w: its quality weight), the source is sorted by key, and
+``-ln(u) / w`` (u: a uniform hash of its id, its text and its number among equal rows, w: its quality weight), the source is sorted by key, and
 documents are taken up to the prefix sum that comes nearest to the rest.
 
 No source is ever sorted in one task. Keys are cut into nested equal-width bins; sums per bin (partial
 aggregates) show which bin the budget ends in, and only that bin is cut again, LEVELS times, until the
-cut is one key. Whether a document is taken is then a comparison with its source's cut. Several
-documents with equal keys (repeated rows) are taken together or not at all.
+cut is one key. Whether a document is taken is then a comparison with its source's cut.
+
+Rows that share an id draw apart by their texts, and equal rows by their number: they are counted, not sorted, and a
+count is dealt out again in runs of RUN rows. So a hot id, or one row many times over, is cut like any other rows.
 
 Defined results: a null text has size 0, and so takes 0; a null source is a source, the last; a null id
-draws by its text; an empty table gives an empty result. Reruns agree.
+counts as empty text in the draw; a text of any length is counted whole; an empty table gives an empty result.
+Reruns agree.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ SHARE = 1.5
 CAP = 2
 LEVELS = 4  # of 12 bits each, which name one key of 48
 SYMBOLS = "#*$%&|<>"
+RUN = 50_000  # equal rows that one task numbers
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -37,11 +41,18 @@ def sized(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), text.alias("text"))
     chars = F.greatest(F.char_length("text"), F.lit(1))
     weight = 0.1 + 0.9 * F.char_length(F.translate("text", SYMBOLS, "")) / chars
-    draw = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text")).cast("binary"))
+    same = rows.select(
+        "doc_id", "source", F.md5(F.col("text").cast("binary")).alias("text_key"), weight.alias("weight"),
+        F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
+    ).groupBy("doc_id", "source", "text_key", "weight", "size").agg(F.count(F.lit(1)).alias("n"))
+    runs = same.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN)))).repartition("text_key", "doc_id", "run")
+    number = F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("n"), (F.col("run") + 1) * RUN) - 1))
+    each = runs.select("doc_id", "source", "text_key", "weight", "size", number.alias("number"))
+    draw = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_key", F.col("number").cast("string")).cast("binary"))
     uniform = (F.conv(F.substring(draw, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
     # 1 - exp(-(-ln u) / w) = 1 - u ** (1 / w): smaller keys first.
-    place = F.floor((1 - F.pow(uniform, 1 / weight)) * float(1 << 48)).cast("long")
-    return rows.select("doc_id", "source", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), place.alias("place"))
+    place = F.floor((1 - F.pow(uniform, 1 / F.col("weight"))) * float(1 << 48)).cast("long")
+    return each.select("doc_id", "source", "size", place.alias("place"))
 
 
 def targets(rows: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:

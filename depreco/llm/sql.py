@@ -46,7 +46,7 @@ WITH pages AS (
     SELECT source, count(*) AS total FROM pages GROUP BY 1
 ), common AS (
     SELECT h.source, h.body FROM held h JOIN hosts t ON t.source IS NOT DISTINCT FROM h.source
-    WHERE h.on_pages >= 3 AND h.on_pages * 100 > t.total * 1
+    WHERE h.on_pages >= 2 AND h.on_pages * 100 > t.total * 1
 ), judged AS (
     SELECT l.*, c.body IS NOT NULL AS gone FROM lines l LEFT JOIN common c ON c.source IS NOT DISTINCT FROM l.source AND c.body = l.body
 ), merged AS (
@@ -56,6 +56,7 @@ WITH pages AS (
 )
 SELECT p.doc_id, coalesce(m.n_lines, 0)::BIGINT AS n_lines,
        CASE WHEN m.content THEN m.n_gone ELSE 0 END::BIGINT AS n_dropped,
+       coalesce(NOT m.content AND m.n_gone > 0, false) AS left_whole,
        CASE WHEN m.content AND m.n_gone > 0 THEN m.rest ELSE p.text END AS text
 FROM pages p LEFT JOIN merged m ON m.page = p.page
 """
@@ -64,8 +65,8 @@ MIXING = r"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
            0.1::DOUBLE + 0.9::DOUBLE * length(translate(coalesce(text, ''), '#*$%&|<>', '')) / greatest(length(coalesce(text, '')), 1) AS quality,
-           (('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS draw
-    FROM documents
+           (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':' || number::VARCHAR), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS draw
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) - 1 AS number FROM documents)
 ), placed AS (
     SELECT doc_id, source, size, floor((1 - pow(draw, 1 / quality)) * 281474976710656::DOUBLE)::BIGINT AS place FROM sized
 ), totals AS (
