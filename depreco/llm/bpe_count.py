@@ -8,7 +8,8 @@ merge costs a logarithm of the word's length, so one very long word is no troubl
 The vocabulary file is a public ``tokenizers`` JSON of the word-end BPE kind: NFC, white space to a
 space, lower case, a split pattern, byte symbols, an end-of-word suffix on the last symbol. Special
 tokens count one where their string occurs in a text, as the library does by default; none are added.
-A null text counts as the empty text: 0 bytes, 0 tokens.
+A null text counts as the empty text: 0 bytes, 0 tokens. A text of any length is counted whole; an empty table gives
+an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@
 
 Words are lower-cased (A-Z). An item of fewer than MIN_TILE words is one tile, its whole sequence. Items
 without words match nothing. A null or empty text matches nothing; repeated rows are found each, but
-share one comparison; a null id is compared by its text like any other. Empty tables give an empty result.
+share one comparison; a null id is compared by its text like any other. A text of any length is compared whole.
+An item of one word is contained in every text with that word: leave such items out of the benchmark where that is
+not wanted. Empty tables give an empty result.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ hold at least PERCENT of the template's shingles, compared as words.
 
 The result has a row for each document and license found: the best containment and the word where the
 first window that reaches it begins. Documents without findings have no row. A null or empty text has no
-words; a repeated row is reported once; a null id is reported as null. Empty tables give an empty result.
+words; a text of any length is scanned whole; a repeated row is reported once; a null id is reported as null. Empty
+tables give an empty result.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ grow with the corpus, so none of them may be broadcast, and hot keys are split a
 No pairs are dropped: bands miss a pair of similarity 0.75 once in four million (see hyperminhash),
 and the exact check has the last word.
 
-Rows with a null id take no part in linking: their component is null and they are kept. Repeated rows
+Texts are compared whole, of any length. Rows with a null id take no part in linking: their component is
+null and they are kept. Empty tables give an empty result; other columns are carried or not read. Repeated rows
 share their class; ``deduplicate`` keeps one of them.
 """
 

@@ -7,7 +7,8 @@ trends are fixed by constraint: more symbols, repeated lines, repeated words, sh
 never raise a score.
 
 A null or empty text has no words: all counts are 0 and it fails the base rules. Rows are scored
-independently, so repeated rows get equal results; a null id stays null. Without usable labels the
+independently, so repeated rows get equal results; a null id stays null; texts of any length are counted whole; an
+empty table gives an empty result. Without usable labels the
 trees are empty and every row that passes the base rules is kept.
 """
 

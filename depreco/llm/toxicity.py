@@ -9,7 +9,7 @@ result is the expected grade. Features are ``1 + log(count)`` of each chosen ter
 Terms are runs of ASCII letters and digits or non-ASCII bytes, A-Z folded, and their first 4 to 8
 bytes, which stand for a stem with any ending. A null or empty text has no
 terms: its severity is that of ``x = 0``. Rows are scored independently, so repeated rows get equal
-results; a null id stays null. Without toxic labels no terms are chosen and nothing is flagged.
+results; a null id stays null; texts of any length are read whole; an empty table gives an empty result. Without toxic labels no terms are chosen and nothing is flagged.
 """
 
 from __future__ import annotations

@@ -226,27 +226,6 @@ def test_chunks_cover_every_byte(network):
         assert np.allclose(quality_cnn.half_maxima(code, t).max(0), np.max(slow, axis=0), atol=1e-4)
 
 
-def test_gradients_are_right():
-    rng = np.random.default_rng(2)
-    net = quality_cnn._start(rng)
-    block = next(W.blocks(pa.array(["some words here " * 30, "x", "other *** words " * 9])))[2]
-    y = np.array([1.0, 0.0, 1.0])
-
-    def loss(n):
-        code, first = quality_cnn.layout(block)
-        p, _ = quality_cnn.head(n, quality_cnn.pooled(quality_cnn.half_maxima(code, quality_cnn.tables(n)), first)[0])
-        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
-
-    got = quality_cnn._gradients(net, block, y)
-    for k in (2, 3, 5, 6):
-        flat = net[k].reshape(-1)
-        for i in rng.choice(flat.size, min(3, flat.size), replace=False):
-            step = np.zeros_like(flat)
-            step[i] = 1e-3
-            up, down = (net._replace(**{net._fields[k]: (flat + s * step).reshape(net[k].shape)}) for s in (1, -1))
-            assert abs((loss(up) - loss(down)) / 2e-3 - got[k].reshape(-1)[i]) < 2e-3
-
-
 def test_base_counts_match_brute_force():
     texts = ODD + ["a b c a b c a b", "l\nl\n\nl \nl", "#*$%&|<> é#", "x x x x x", "same\r\nsame\r\nother"]
     names = [text_stats.COUNTS.index(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
