@@ -38,6 +38,7 @@ def main():
     from depreco.config import FIXTURE_PARAMS as P
     from depreco.operators import decay as D
     from depreco.operators import ratios as R
+    from depreco.operators.assign import assign_by_closure, closure
     from depreco.plans.pipeline import Run
     from depreco.session import get_spark
     from depreco.sources import extracts as X
@@ -46,12 +47,17 @@ def main():
     spark = get_spark(os.environ.get("CHECK_MASTER", "local[8]"), shuffle_partitions=16)
     run = Run(FX.load_inputs(spark, sf_dir, P), P)
     slim = D.regression_input(X.cost_extract(run.inputs.cost_assets, P), P)
-    keep = run._tables.keep
-    cells = keep(D.sd_filter_cells(D.age_cells(slim, run.schedules), P.sd_multiplier).where("keep"))
-    fitted = keep(D.fitted_cells(cells, P))
+    keep = run.keep
+    classes = keep(D.class_cells(slim))
+    closed = keep(closure(classes, run.schedules))
+    cells = keep(D.sd_filter_cells(D.merge_cells(assign_by_closure(classes, closed)), P.sd_multiplier).where("keep"))
+    listed = keep(D.influential_cells(classes, closed, keep(D.fitted_cells(cells, P))))
+    costs = X.cost_extract(run.inputs.cost_assets, P)
     stages = {
-        "decay pass 1: (schedule, age) cells": D.age_cells(slim, run.schedules),
-        "decay pass 2: influential rows": D.influential_rows(slim, fitted, run.schedules),
+        "decay pass 1: class cells": D.class_cells(slim),
+        "(schedule, age) cells from the written class cells and their closure": D.merge_cells(assign_by_closure(classes, closed)),
+        "decay pass 2: influential rows of the listed cells": D.influential_rows(slim, listed),
+        "schedule assignment of raw rows": assign_by_closure(costs, keep(closure(costs, run.schedules))),
         "retail cells (one comparables scan, three periods)": R.retail_cells(run.inputs.comparables, run.schedules, P),
         "auction means (published values, both periods)": R.auction_means(X.auction_published(run.inputs.class_values, P), run.schedules),
         "publication tail (after the written stages)": run.prepare().upload,
