@@ -67,14 +67,17 @@ def tiles(item: list[str], text: list[str], least: int) -> list[tuple[int, int,
     return out
 
 
-def line_dedup(rows: list[tuple], percent: int, least_pages: int) -> list[tuple]:
-    """(host, text) rows -> (text, n_lines, n_dropped)."""
+def line_dedup(rows: list[tuple], percent: int, least_pages: int, classes: list | None = None) -> list[tuple]:
+    """(host, text) rows -> (text, n_lines, n_dropped). Rows of one of the ``classes`` are one page."""
     blank = " \t\x0b\x0c\r"
-    total, held = defaultdict(int), defaultdict(int)
-    for host, text in rows:
-        total[host] += 1
+    pages, on = defaultdict(set), defaultdict(set)
+    for i, (host, text) in enumerate(rows):
+        page = classes[i] if classes else i
+        pages[host].add(page)
         for line in {x.strip(blank) for x in (text or "").split("\n")} - {""}:
-            held[host, line] += 1
+            on[host, line].add(page)
+    total = {k: len(v) for k, v in pages.items()}
+    held = {k: len(v) for k, v in on.items()}
     out = []
     for host, text in rows:
         if text is None:

@@ -36,7 +36,8 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
         if name == "quality":
             return [r for r in rows if score[r["doc_id"]] >= 0.5]
         if name == "lines":
-            out = brute.line_dedup([(r["source"], r["text"]) for r in rows], 1, 3)
+            found = brute.near_duplicates([(r["doc_id"], r["text"]) for r in rows])
+            out = brute.line_dedup([(r["source"], r["text"]) for r in rows], 1, 2, [found[r["doc_id"]][1] for r in rows])
             return [{**r, "text": text, "n_chars": len(text) if n else r["n_chars"]} for r, (text, _, n) in zip(rows, out, strict=True)]
         if name == "near_copies":
             found = brute.near_duplicates([(r["doc_id"], r["text"]) for r in rows])
@@ -85,7 +86,7 @@ def test_stages_take_odd_rows(spark):
 @pytest.mark.parametrize("name", list(catalog.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(catalog.ORACLES[name])
     columns = [d[0] for d in want.description]
