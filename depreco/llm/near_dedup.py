@@ -21,7 +21,8 @@ is linked with nothing). Two texts are linked when ``100 * |A & B| >= 75 * |A |
    once to each block it has candidates in; blocks with many requests are replicated over salts.
 
 Joins with texts, sets, registers or band rows are sort-merge joins whatever their size: those tables
-grow with the corpus, so none of them may be broadcast, and hot keys are split at run time.
+grow with the corpus, so none of them may be broadcast, and hot keys are split at run time. Classes of copies that hold
+a large part of all rows are few by that very size; these alone are broadcast, to their own rows.
 
 No pairs are dropped: bands miss a pair of similarity 0.75 once in four million (see hyperminhash),
 and the exact check has the last word.
@@ -47,6 +48,7 @@ from .words import U64, blocks, mix, shingle_sets
 
 SHINGLE_WORDS = 5
 PERCENT = 75
+HOT_SHARE = 200  # a class of more than 1 / HOT_SHARE of all rows is hot; there are fewer than HOT_SHARE of them
 CELL = 2048  # members of a bucket whose registers one task compares with one another
 BLOCK = 256  # classes whose sets travel together
 REQUESTS = 512  # requests a copy of a block answers
@@ -276,7 +278,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = scratch.keep(sketches(docs, id_col, text_col))
     named = rows.filter("n_shingles > 0 and doc_id is not null")
     # One row for each class; the smallest id stands for it when its text is needed again.
-    classes = scratch.keep(named.groupBy("f1", "f2").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")).withColumnRenamed("f1", "cid").drop("f2"))
+    first = named.groupBy("f1", "f2").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"), F.count(F.lit(1)).alias("n_rows"))
+    classes = scratch.keep(first.withColumnRenamed("f1", "cid"))
     near = scratch.keep(crowded(classes))
     members = scratch.keep(near.select("cid").distinct().join(classes.select("cid", "doc_id"), "cid"))
     sets = scratch.keep(full_sets(docs, members, id_col, text_col))
@@ -292,13 +295,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = components(links, scratch)
     label = classes.select("cid", "doc_id").join(label.withColumnRenamed("node", "cid"), "cid").select("cid", "label", "doc_id")
     smallest = label.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    label = label.join(smallest, "label").select(F.col("cid").alias("f1"), F.col("component_id").alias("linked"))
-    own = classes.select(F.col("cid").alias("f1"), F.col("doc_id").alias("first_id"))
-    own = own.join(label, "f1", "left").select("f1", F.coalesce("linked", "first_id").alias("class_id"))
-    out = rows.join(own, "f1", "left").select(
-        "doc_id", "text_key", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("class_id"))).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    label = label.join(smallest, "label").select(F.col("cid").alias("f1"), "doc_id", F.col("component_id").alias("linked"))
+    own = classes.select(F.col("cid").alias("f1"), "f2", "doc_id", "n_rows").join(label, ["f1", "doc_id"], "left")
+    own = scratch.keep(own.select("f1", "f2", "n_rows", F.coalesce("linked", "doc_id").alias("class_id")))
+    # Back to the rows. Fewer than HOT_SHARE classes can hold over that part of all rows: their rows meet them where they
+    # are. Rows without a set meet none. So no task gets more of the others than a class of that size.
+    hot = F.col("n_rows") * HOT_SHARE > rows.count()
+    slim = rows.select("doc_id", "text_key", "n_shingles", "f1", "f2").filter("n_shingles > 0")
+    large = F.broadcast(own.filter(hot).drop("n_rows"))
+    apart = slim.join(large.drop("class_id"), ["f1", "f2"], "left_anti").join(own.filter(~hot).drop("n_rows").hint("merge"), ["f1", "f2"], "left")
+    met = slim.join(large, ["f1", "f2"]).unionByName(apart)
+    out = met.select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("component_id"))
+    out = out.unionByName(rows.filter("n_shingles = 0").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id")))
     return scratch.finish(out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_key"))
 
 

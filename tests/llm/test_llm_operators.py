@@ -102,6 +102,21 @@ def test_near_duplicates_match_brute_force(spark, copies):
     assert got == brute.near_duplicates([(100 + i, t) for i, t in enumerate(copies)])
 
 
+def test_hot_copies_and_empty_texts_meet_their_classes(spark, copies):
+    """A third of all rows one text, a third without words; some of either have null ids."""
+    n = len(copies)
+    texts = copies + [copies[-1]] * n + ["", None, " "] * (n // 3)
+    ids = [*range(100, 100 + 2 * n - 2), None, None, *range(900, 900 + 3 * (n // 3) - 2), None, None]
+    docs = docs_of(spark, texts, ids=ids).repartition(6)
+    found = near_dedup.near_duplicates(docs).collect()
+    assert len(found) == len(texts)
+    want = brute.near_duplicates([(i, t) for i, t in zip(ids, texts, strict=True) if i is not None])
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found if r.doc_id is not None} == want
+    assert all(r.component_id is None and r.kept for r in found if r.doc_id is None)
+    # in the join of all rows only the classes' own side is small
+    assert sum(r.component_id == want[100 + n - 1][1] for r in found) > n
+
+
 def test_near_duplicates_in_cut_buckets(spark, copies, monkeypatch):
     """Buckets larger than a cell, blocks and request batches give the same result."""
     rng = random.Random(5)
