@@ -1,9 +1,11 @@
 """Benchmark decontamination by greedy string tiling.
 
 1. ``seeds``: every run of MIN_TILE words of the benchmark items is a seed. Texts are read once; their
-   runs pass a bitmap of the seeds first (fixed size, so it is safe to send to every task; a larger
-   benchmark only lets more runs through) and then join the seeds. Pairs of text and item go on when
-   they share enough seeds for the cover that is asked for.
+   runs pass a bitmap of the seeds first, of about BITMAP_SHARE bits a seed, between two fixed bounds, so it is safe
+   to send to every task (beyond the upper one a larger benchmark only lets more runs through). A pair of
+   text and item needs a number of shared seeds for the cover that is asked for, so an item's commonest seeds,
+   fewer than that number, are not needed to find it: pairs are found by the others, and go on when they share
+   enough seeds of all.
 2. ``tile``: for each such pair, the longest match of words that are not yet marked in either is marked,
    again and again, until none of MIN_TILE words is left. Matches of a length are found with running
    Karp-Rabin hashes of all unmarked windows; the longest length by bisection. A word is marked once, so
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import Scratch, ship
@@ -31,7 +33,8 @@ from .words import U64, Texts, blocks, windows, words
 
 MIN_TILE = 4
 PERCENT = 50
-BITMAP_BITS = 1 << 22
+BITMAP_BITS = (22, 28)  # least and most, as powers of two
+BITMAP_SHARE = 32
 
 _ROLL = U64(0x9E3779B97F4A7C15)
 
@@ -163,17 +166,18 @@ def contaminations(
     items = named.select("item_key", "item").distinct()
     seeds = items.mapInArrow(_item_words, "item_key long, n_words long, seed long")
     seeds = scratch.keep(seeds.groupBy("item_key", "n_words", "seed").agg(F.count("*").alias("times")))
-    # At most BITMAP_BITS / 64 rows come to the driver, whatever the benchmark's size.
-    slot = F.pmod("seed", F.lit(BITMAP_BITS))
-    packed = seeds.select(F.shiftright(slot, 6).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(seed, {BITMAP_BITS}) & 63 as int))").alias("bit"))
-    bitmap = np.zeros(BITMAP_BITS // 64, np.uint64)
-    for row in packed.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
-        bitmap[row["at"]] = np.int64(row["bits"]).view(np.uint64)
-    sent = spark.sparkContext.broadcast(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
+    bits = 1 << min(max(BITMAP_BITS[0], (BITMAP_SHARE * seeds.count()).bit_length()), BITMAP_BITS[1])
+    # At most 2 ** BITMAP_BITS[1] / 64 pairs of numbers come to the driver, whatever the benchmark's size.
+    slot = F.pmod("seed", F.lit(bits))
+    packed = seeds.select(F.shiftright(slot, 6).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(seed, {bits}) & 63 as int))").alias("bit"))
+    filled = packed.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[filled["at"].to_numpy()] = filled["bits"].to_numpy()
+    sent = spark.sparkContext.broadcast(bitmap.view(np.uint8))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(text_key, seed) of the runs of MIN_TILE words that pass the bitmap, once for each text."""
-        flags = sent.value.view(bool)
+        flags = sent.value
         for batch in batches:
             for lo, hi, texts in blocks(batch.column(1)):
                 code, at = windows(words(texts), MIN_TILE, whole_short=True)
@@ -184,17 +188,23 @@ def contaminations(
                     every.append(short)
                     owner.append(np.repeat(np.arange(hi - lo), np.diff(first)))
                 code, owner = np.concatenate(every), np.concatenate(owner)
-                hit = flags[code % U64(BITMAP_BITS)]
+                place = code & U64(bits - 1)
+                hit = (flags[place >> U64(3)] >> (place & U64(7)).astype(np.uint8)) & 1 == 1
                 pair = np.unique(np.stack([owner[hit].astype(np.uint64), code[hit]]), axis=1)
                 keys = batch.column(0).slice(lo, hi - lo).take(pa.array(pair[0].astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(pair[1].view(np.int64))], names=["text_key", "seed"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    found = rows.select("text_key", "text").mapInArrow(likely, "text_key long, seed long")
+    found = scratch.keep(rows.select("text_key", "text").mapInArrow(likely, "text_key long, seed long").distinct())
     # A tile of L words holds L - MIN_TILE + 1 >= L / MIN_TILE runs, so a cover of c words needs c / MIN_TILE.
-    shared = found.join(seeds, "seed").groupBy("text_key", "item_key", "n_words").agg(F.sum("times").alias("shared"))
-    pairs = scratch.keep(shared.filter(F.col("shared") * (100 * MIN_TILE) >= F.col("n_words") * percent).select("text_key", "item_key"))
+    enough = lambda n: n * (100 * MIN_TILE) >= F.col("n_words") * percent
+    ranked = seeds.join(found.groupBy("seed").agg(F.count(F.lit(1)).alias("n_texts")), "seed")
+    commoner = F.sum("times").over(Window.partitionBy("item_key").orderBy(F.desc("n_texts"), "seed"))
+    probes = ranked.withColumn("upto", commoner).filter(enough(F.col("upto"))).select("item_key", "seed")
+    met = found.join(probes, "seed").select("text_key", "item_key").distinct()
+    shared = met.join(found, "text_key").join(seeds, ["item_key", "seed"]).groupBy("text_key", "item_key", "n_words").agg(F.sum("times").alias("shared"))
+    pairs = scratch.keep(shared.filter(enough(F.col("shared"))).select("text_key", "item_key"))
     # Only texts with a candidate are fetched again, each once.
     wanted = rows.select("text_key", "text").join(pairs.select("text_key").distinct(), "text_key", "left_semi")
     texts = scratch.keep(wanted.groupBy("text_key").agg(F.first("text").alias("text")))

@@ -146,3 +146,26 @@ def test_repeated_and_equal_urls_are_judged_alike(spark):
     got = url_rules.judge(pages).collect()
     assert len(got) == len(urls) and len({(r.host, r.path, r.verdict, str(r.mined)) for r in got if r.host == "q.org"}) == 1
     assert {r.verdict for r in got if not r.host} == {"allow"}
+
+
+def test_items_of_common_words_and_a_full_bitmap_lose_no_pair(spark, monkeypatch):
+    """Few words, so seeds are on very many texts and the bitmap lets most runs through; every cover is found."""
+    rng = random.Random(9)
+    say = lambda n: [f"w{rng.randrange(6)}" for _ in range(n)]
+    items = [say(n) for n in (3, 8, 8, 15, 25, 40)]
+    texts = [say(rng.randrange(2, 60)) for _ in range(60)]
+    for i, item in enumerate(items):  # parts of items, in another order
+        for share in (0.4, 0.5, 0.7, 1.0):
+            cut = item[: max(1, round(share * len(item)))]
+            texts.append([f"x{i}", *cut[len(cut) // 2 :], "y", *cut[: len(cut) // 2], *say(3)])
+    monkeypatch.setattr(decontaminate, "BITMAP_BITS", (6, 7))
+    docs = docs_of(spark, [(i, " ".join(t)) for i, t in enumerate(texts)]).repartition(5)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_covered for r in decontaminate.contaminations(docs, bench).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        for i, item in enumerate(items):
+            covered = sum(x[2] for x in brute.tiles(item, t, decontaminate.MIN_TILE))
+            if 2 * covered >= len(item):
+                want[d, i] = covered
+    assert got == want and len(want) > 20
