@@ -83,6 +83,25 @@ def test_no_second_pass_where_no_cell_can_hold_an_influential_row(run):
     assert sum(scans(k, "lineitem") for k in kept) == 1
 
 
+@pytest.mark.parametrize("outlier", ["ratio_sd", "iqr"])
+def test_ratio_filters_read_the_facts_once(spark, outlier):
+    """The passes after the first read the written rows of the fit: with the filter that leaves rows out and with Cook's."""
+    params = P.with_(outlier=outlier, ratio_multiplier=0.5)
+    r = Run(FX.load_inputs(spark, SF_SMALL, params), params)
+    kept, write = [], r._tables.keep
+    r._tables.keep = lambda df: kept.append(df) or write(df)
+    assert scans(r.decay, "lineitem") == 0
+    assert sum(scans(k, "lineitem") for k in kept) == 1
+    r.close()
+
+
+def test_written_regression_rows_are_the_rows(run):
+    rows = slim(run)
+    got = run.regression_rows
+    assert got.columns == rows.columns and scans(got, "lineitem") == 0
+    assert rows.count() > 0 and got.exceptAll(rows).isEmpty() and rows.exceptAll(got).isEmpty()
+
+
 def test_raw_rows_meet_the_closure_unexpanded(run):
     rows = X.cost_extract(run.inputs.cost_assets, P)
     closed = run.keep(closure(rows, run.schedules))
