@@ -8,7 +8,9 @@ from depreco.config import FIXTURE_PARAMS as P
 from depreco.operators import decay as D
 from depreco.operators import ratios as R
 from depreco.operators.assign import assign_by_closure, closure
+from depreco.plans.catalog import QUERIES
 from depreco.plans.pipeline import Run
+from depreco.session import RunTables
 from depreco.sources import extracts as X
 from depreco.sources import fixtures as FX
 from tests.conftest import SF_SMALL
@@ -158,3 +160,11 @@ def test_same_factors_without_automatic_broadcasts(spark, run):
     assert len(got) == len(want)
     for a, b in zip(got, want, strict=True):
         assert all((x is None) == (y is None) and (x is None or isinstance(x, str) or close(x, y)) for x, y in zip(a, b, strict=True))
+
+
+def test_quartiles_read_the_facts_once(spark, monkeypatch):
+    kept, write = [], RunTables.keep
+    monkeypatch.setattr(RunTables, "keep", lambda self, df: kept.append(df) or write(self, df))
+    df = QUERIES["ratio_quartiles"](spark, SF_SMALL)
+    assert df.count() > 0 and scans(df, "lineitem") == 0
+    assert sum(scans(k, "lineitem") for k in kept) == 1
