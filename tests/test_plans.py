@@ -168,3 +168,23 @@ def test_quartiles_read_the_facts_once(spark, monkeypatch):
     df = QUERIES["ratio_quartiles"](spark, SF_SMALL)
     assert df.count() > 0 and scans(df, "lineitem") == 0
     assert sum(scans(k, "lineitem") for k in kept) == 1
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_fact_passes_are_short_enough_to_compile(spark, run, broadcast):
+    """The JVM interprets a method of more than 8000 bytes of bytecode, which makes a pass over the facts ten times slower."""
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fresh = FX.load_inputs(spark, SF_SMALL, P)
+        rows = D.regression_input(X.cost_extract(fresh.cost_assets, P), P)
+        passes = [rows.drop("y"), D.class_cells(rows), R.class_cells(fresh.comparables, P), X.auction_published(fresh.class_values, P), X.auction_current(fresh.class_values_in_progress, P)]
+        for df in passes:
+            text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
